@@ -44,7 +44,7 @@ def weighted_sum(amount: Column, weight: Column) -> Column:
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``part / whole * 100`` on decimals, NULL when the whole is zero."""
     w = whole.cast("decimal(22,2)")
-    return F.round(part.cast("decimal(22,2)") / F.nullif(w, F.lit(0).cast("decimal(22,2)")) * 100, digits)
+    return F.round(part.cast("decimal(22,2)") * 100 / F.nullif(w, F.lit(0).cast("decimal(22,2)")), digits)
 
 
 def blank_to_null(col: Column) -> Column:

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Name of the session setting that carries the key; its value is read by the engine at run time
-# (a variable reference), so the key itself is in no code.
-KEY_VARIABLE = "tradewind_pii_key"
+# Keys are passed as columns of a key table, never as literals: a literal would show in the plan.
 
 
 def encrypt(col: Column, key: Column) -> Column:
