@@ -6,7 +6,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Closed domains, in declaration order.
 ORDER_STATUS = ["created", "approved", "invoiced", "processing", "shipped", "delivered", "canceled", "unavailable"]
@@ -23,63 +22,63 @@ EVENT_TYPE = [
     "seller_view",
 ]
 
-RANGE = T.StructType.fromDDL("lower timestamp, upper timestamp, lower_inc boolean, upper_inc boolean")
+RANGE = "struct<lower: timestamp, upper: timestamp, lower_inc: boolean, upper_inc: boolean>"
 
-# Column names keep the spelling of the public data set ("lenght").
-TABLES: dict[str, T.StructType] = {
-    "geolocation": T.StructType.fromDDL(
+# Schemas in DDL form, as ``spark.read.schema`` takes them. Column names keep the spelling of the public data set ("lenght").
+TABLES: dict[str, str] = {
+    "geolocation": (
         "zip_code_prefix string, latitude decimal(9,6), longitude decimal(9,6), city string, state string"
     ),
-    "product_category": T.StructType.fromDDL("category_name string, name_english string"),
-    "customer": T.StructType.fromDDL(
+    "product_category": ("category_name string, name_english string"),
+    "customer": (
         "customer_id string, customer_unique_id string, zip_code_prefix string, customer_city string, customer_state string"
     ),
-    "seller": T.StructType.fromDDL(
+    "seller": (
         "seller_id string, zip_code_prefix string, seller_city string, seller_state string"
     ),
-    "product": T.StructType.fromDDL(
+    "product": (
         "product_id string, category_name string, product_name_lenght smallint, product_description_lenght smallint, "
         "product_photos_qty smallint, product_weight_g decimal(8,2), product_length_cm decimal(6,2), "
         "product_height_cm decimal(6,2), product_width_cm decimal(6,2), specifications variant, photo_urls array<string>"
     ),
-    "order": T.StructType.fromDDL(
+    "order": (
         "order_id string, customer_id string, order_status string, order_purchase_timestamp timestamp, "
         "order_approved_at timestamp, order_delivered_carrier_date timestamp, order_delivered_customer_date timestamp, "
-        "order_estimated_delivery_date timestamp"
-    ).add("promotion_period", RANGE),
-    "order_item": T.StructType.fromDDL(
+        f"order_estimated_delivery_date timestamp, promotion_period {RANGE}"
+    ),
+    "order_item": (
         "order_id string, order_item_id smallint, order_purchase_timestamp timestamp, product_id string, "
         "seller_id string, shipping_limit_date timestamp, price decimal(10,2), freight_value decimal(10,2)"
     ),
-    "payment": T.StructType.fromDDL(
+    "payment": (
         "order_id string, payment_sequential smallint, order_purchase_timestamp timestamp, payment_type string, "
         "payment_installments smallint, payment_value decimal(10,2)"
     ),
-    "review": T.StructType.fromDDL(
+    "review": (
         "review_id string, order_id string, order_purchase_timestamp timestamp, review_score smallint, "
         "review_comment_title string, review_comment_message string, review_creation_date timestamp, "
         "review_answer_timestamp timestamp"
     ),
 }
 
-COLLECTIONS: dict[str, T.StructType] = {
-    "products_catalog": T.StructType.fromDDL(
+COLLECTIONS: dict[str, str] = {
+    "products_catalog": (
         "product_id string, product_category_name string, category_name_english string, name string, "
         "description string, product_name_lenght int, product_description_lenght int, product_photos_qty int, "
         "product_weight_g int, product_length_cm int, product_height_cm int, product_width_cm int, "
         "photo_urls array<string>, specifications variant, tags array<string>, avg_review_score double, "
         "total_reviews int, schema_version int, created_at timestamp, updated_at timestamp"
     ),
-    "event_logs": T.StructType.fromDDL(
+    "event_logs": (
         "event_type string, customer_unique_id string, session_id string, product_id string, seller_id string, "
         "category string, metadata variant, page_url string, timestamp timestamp, ttl_expire timestamp"
     ),
-    "user_sessions": T.StructType.fromDDL(
+    "user_sessions": (
         "_id string, customer_unique_id string, "
         "cart array<struct<product_id: string, quantity: int, unit_price: double, seller_id: string>>, "
         "created_at timestamp, expires_at timestamp"
     ),
-    "geolocation": T.StructType.fromDDL(
+    "geolocation": (
         "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, "
         "geolocation_city string, geolocation_state string"
     ),
