@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # Runtime settings. Timestamps carry no offset in the inputs, so the zone is pinned.
 # The skew settings let a join on a key that holds a large share of the rows be split at run time,
 # also where the split costs one more exchange further up.
+# Sessions of a customer are merged inside each task before they are brought together.
 # Order tables are joined on (order_id, order_purchase_timestamp); an input already partitioned
 # by order_id alone may be reused for that.
 RUNTIME_CONF = {
@@ -20,6 +21,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 
