@@ -16,11 +16,22 @@ def on_shop(build: Callable[[Shop], DataFrame]) -> Query:
     """A registered query from a function of the shop views."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(build(Shop(configure(spark), sf_dir)))
+        return portable(build(_shop(configure(spark), sf_dir)))
 
     return run
 
 
+_last: tuple[SparkSession, str, Shop] | None = None
+
+
+def _shop(spark: SparkSession, folder: str) -> Shop:
+    """The shop of a session and folder; the views are lazy, so one object serves all queries."""
+    global _last
+    if _last is None or _last[0] is not spark or _last[1] != folder:
+        _last = (spark, folder, Shop(spark, folder))
+    return _last[2]
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Plain column types for comparison with another engine.
 

@@ -69,46 +69,70 @@ def mode_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFr
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``column_name, probability, value``.
 
-    A bounded sketch narrows every quantile to a bracket of values; one more pass counts what lies
-    below and ranks only the values inside. Rows outside the bracket are reduced to one count before
-    the shuffle. Nothing holds all distinct values of a column in one place, which the built-in exact
-    percentile does.
+    A bounded sketch narrows every quantile to a bracket of values. A second pass counts what lies
+    below the bracket and finds the first value above it; a third ranks only the values inside. So
+    nothing holds all distinct values of a column in one place, which the built-in exact percentile
+    does, and only a sliver of the rows is shuffled.
     """
     spread: list[float] = sorted(
         {min(1.0, max(0.0, p + d)) for p in probabilities for d in (-_SLACK, _SLACK)}
     )
     values = {c: F.col(c).cast("double") for c in columns}
-    sketches = df.agg(
-        *[F.percentile_approx(values[c], spread, SKETCH_ACCURACY).alias(c) for c in columns]
-    )  # one row
+    targets = list(itertools.product(columns, probabilities))
+    sketches = df.agg(*[F.percentile_approx(values[c], spread, SKETCH_ACCURACY).alias(c) for c in columns])
+    rows = df.select(*columns, sketches.select(F.struct(*columns)).scalar().alias("_b"))
 
-    def bracket(c: str, p: float) -> Column:
+    def bracket(c: str, p: float) -> tuple[Column, Column]:
         low = spread.index(min(1.0, max(0.0, p - _SLACK)))
         high = spread.index(min(1.0, max(0.0, p + _SLACK)))
+        return F.col("_b")[c][low], F.col("_b")[c][high]
+
+    def entry(c: str, p: float, side: int, n: Column, x: Column, total: Column) -> Column:
         return F.struct(
             F.lit(c).alias("column_name"),
             F.lit(p).alias("probability"),
-            F.col("_b")[c][low].alias("low"),
-            F.col("_b")[c][high].alias("high"),
-            values[c].alias("x"),
+            F.lit(side).alias("side"),
+            n.alias("n"),
+            x.alias("x"),
+            total.alias("total"),
         )
 
-    targets = list(itertools.product(columns, probabilities))
-    tagged = (
-        df.select(*columns, sketches.select(F.struct(*columns)).scalar().alias("_b"))
-        .select(F.inline(F.array(*[bracket(c, p) for c, p in targets])))
-        .where(F.col("x").isNotNull())
+    counts = rows.agg(
+        *[
+            F.struct(
+                F.count(F.when(values[c] < bracket(c, p)[0], 1)).alias("below"),
+                F.min(F.when(values[c] > bracket(c, p)[1], values[c])).alias("next"),
+                F.count(values[c]).alias("total"),
+            ).alias(f"t{i}")
+            for i, (c, p) in enumerate(targets)
+        ]
     )
-    side = F.when(F.col("x") < F.col("low"), -1).when(F.col("x") > F.col("high"), 1).otherwise(0)
-    counted = (
-        tagged.select("column_name", "probability", "x", side.alias("side"))
-        .groupBy("column_name", "probability", "side", F.when(F.col("side") == 0, F.col("x")).alias("inside"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x"))
+    none, nothing = F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    edges = [
+        e
+        for i, (c, p) in enumerate(targets)
+        for e in (
+            entry(c, p, -1, F.col(f"t{i}.below"), none, F.col(f"t{i}.total")),
+            # The first value above closes the ranking; how many rows follow it does not matter.
+            entry(c, p, 1, F.col(f"t{i}.total"), F.col(f"t{i}.next"), F.col(f"t{i}.total")),
+        )
+    ]
+    inside = [
+        F.when(values[c].between(*bracket(c, p)), entry(c, p, 0, F.lit(1).cast("bigint"), values[c], nothing))
+        for c, p in targets
+    ]
+    keys = ["column_name", "probability"]
+    ranked_values = (
+        rows.select(F.inline(F.array_compact(F.array(*inside))))
+        .groupBy(*keys, "side", "x")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("total", nothing)
+        .unionByName(counts.select(F.inline(F.array(*edges))))
     )
-    key = Window.partitionBy("column_name", "probability")
+    key = Window.partitionBy(*keys)
     ranked = (
-        counted.withColumn("upto", F.sum("n").over(key.orderBy("side", "x").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("n").over(key))
+        ranked_values.withColumn("upto", F.sum("n").over(key.orderBy("side", "x").rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("total", F.max("total").over(key))
         .withColumn("at", (F.col("total") - 1) * F.col("probability"))
         .withColumn("first", F.col("upto") - F.col("n"))
     )
@@ -117,12 +141,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         return F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("x")))
 
     lower, upper = F.floor("at"), F.least(F.floor("at") + 1, F.col("total") - 1)
-    found = ranked.groupBy("column_name", "probability").agg(
+    found = ranked.groupBy(*keys).agg(
         value_at(lower).alias("a"), value_at(upper).alias("b"), F.max(F.col("at") - F.floor("at")).alias("t")
     )
-    return found.select(
-        "column_name", "probability", (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("value")
-    )
+    return found.select(*keys, (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("value"))
 
 
 def _quantiles_by_column(df: DataFrame, columns: list[str], probabilities: dict[str, float], approximate: bool) -> DataFrame:

@@ -76,8 +76,8 @@ def rule_summary(df: DataFrame, rules: list[Rule]) -> DataFrame:
 # --- document schemas ------------------------------------------------------------------------------
 
 
-def _type_holds(value: Column, kind: str) -> Column:
-    shape = F.schema_of_variant(value)
+def _type_holds(value: Column, shape: Column, kind: str) -> Column:
+    """Whether a value of the given shape (``schema_of_variant``) has a type."""
     if kind == "string":
         return shape == "STRING"
     if kind == "int":
@@ -93,12 +93,14 @@ def _type_holds(value: Column, kind: str) -> Column:
     raise ValueError(f"unknown type {kind!r}")
 
 
-def _field_violations(doc: Column, f: Field, prefix: str) -> list[Column]:
-    """Messages (or NULL) for one property of ``doc``."""
-    path, name = f"$['{f.path}']", f"{prefix}{f.path}"
-    value = F.try_variant_get(doc, path, "variant")
+def _child(doc: Column, name: str, kind: str = "variant") -> Column:
+    return F.try_variant_get(doc, f"$['{name}']", kind)
+
+
+def _field_violations(value: Column, shape: Column, f: Field, name: str) -> list[Column]:
+    """Messages (or NULL) for one property, given its value and shape."""
     present = value.isNotNull()  # a JSON null is present and of type null
-    right = F.coalesce(_type_holds(value, f.kind), F.lit(False))
+    right = F.coalesce(_type_holds(value, shape, f.kind), F.lit(False))
     out = [F.when(present & ~right, F.lit(f"{name}: not {f.kind}"))]
     if f.required:
         out.insert(0, F.when(~present, F.lit(f"{name}: missing")))
@@ -113,44 +115,57 @@ def _field_violations(doc: Column, f: Field, prefix: str) -> list[Column]:
     return out
 
 
-def _item_violations(doc: Column, f: Field) -> Column:
+def _item_violations(value: Column, f: Field) -> Column:
     """Distinct messages over all elements of an array property."""
-    items = F.coalesce(
-        F.try_variant_get(doc, f"$['{f.path}']", "array<variant>"), F.array().cast("array<variant>")
-    )
+    nothing = F.array().cast("array<string>")
+    items = F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array().cast("array<variant>"))
+
+    def holds(x: Column, kind: str) -> Column:
+        return F.coalesce(_type_holds(x, F.schema_of_variant(x), kind), F.lit(False))
+
     if isinstance(f.items, str):
-        bad = F.exists(items, lambda x: ~F.coalesce(_type_holds(x, f.items), F.lit(False)))
-        return F.when(bad, F.array(F.lit(f"{f.path}[]: not {f.items}"))).otherwise(F.array().cast("array<string>"))
+        bad = F.exists(items, lambda x: ~holds(x, f.items))
+        return F.when(bad, F.array(F.lit(f"{f.path}[]: not {f.items}"))).otherwise(nothing)
 
     def messages(x: Column) -> Column:
-        is_object = F.coalesce(_type_holds(x, "object"), F.lit(False))
-        inner = [m for g in f.items for m in _field_violations(x, g, f"{f.path}[].")]
-        return F.when(is_object, F.array_compact(F.array(*inner))).otherwise(
+        inner = []
+        for g in f.items:
+            value = _child(x, g.path)
+            inner += _field_violations(value, F.schema_of_variant(value), g, f"{f.path}[].{g.path}")
+        return F.when(holds(x, "object"), F.array_compact(F.array(*inner))).otherwise(
             F.array(F.lit(f"{f.path}[]: not object"))
         )
 
     return F.array_distinct(F.flatten(F.transform(items, messages)))
 
 
-def document_violations(doc: Column, fields: list[Field]) -> Column:
-    """What is wrong with a document (VARIANT): a sorted list of messages, empty when valid.
+def validate_documents(df: DataFrame, column: str, fields: list[Field]) -> DataFrame:
+    """Adds ``violations`` to documents held as JSON text or VARIANT. Nothing is dropped.
 
-    A missing property is only wrong when required; a JSON null has the wrong type for every
-    property. Documents that are no object at all get the single message ``not an object``.
+    A sorted list of messages, empty when valid. A missing property is only wrong when required; a
+    JSON null has the wrong type for every property; what is no object at all gets the single message
+    ``not an object``. A document is parsed once, every property is taken out once and its type
+    determined once, in projections that build on each other.
     """
-    flat = F.array_compact(F.array(*[m for f in fields for m in _field_violations(doc, f, "")]))
-    parts = [flat, *[_item_violations(doc, f) for f in fields if f.items is not None]]
-    found = F.array_sort(F.flatten(F.array(*parts)))
-    is_object = F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
-    return F.when(is_object, found).otherwise(F.array(F.lit("not an object")))
-
-
-def validate_documents(df: DataFrame, column: str, fields: list[Field]) -> DataFrame:
-    """Adds ``violations`` to documents held as JSON text or VARIANT. Nothing is dropped."""
     doc = F.col(column)
     if df.schema[column].dataType.typeName() == "string":
         doc = F.try_parse_json(column)
-    return df.withColumn("violations", document_violations(doc, fields))
+    staged = (
+        df.withColumn("_doc", doc)
+        .withColumn("_values", F.struct(*[_child(F.col("_doc"), f.path).alias(f.path) for f in fields]))
+        .withColumn(
+            "_shapes", F.struct(*[F.schema_of_variant(F.col("_values")[f.path]).alias(f.path) for f in fields])
+        )
+    )
+    flat = [
+        m for f in fields for m in _field_violations(F.col("_values")[f.path], F.col("_shapes")[f.path], f, f.path)
+    ]
+    nested = [_item_violations(F.col("_values")[f.path], f) for f in fields if f.items is not None]
+    found = F.array_sort(F.flatten(F.array(F.array_compact(F.array(*flat)), *nested)))
+    is_object = F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False))
+    return staged.withColumn(
+        "violations", F.when(is_object, found).otherwise(F.array(F.lit("not an object")))
+    ).drop("_doc", "_values", "_shapes")
 
 
 # --- counts, dependencies, versions ----------------------------------------------------------------

@@ -61,9 +61,9 @@ def search_in_category(catalog: DataFrame, category: str, query: str) -> DataFra
 def products_with_spec(catalog: DataFrame, path: str, pattern: str) -> DataFrame:
     """Regex on a nested specification that is one text or an array of texts."""
     field = path.rsplit(".", 1)[-1]
-    specs = _specs(catalog)
-    return catalog.where(any_element_rlike(specs, path, pattern)).select(
-        "product_id", "name", F.to_json(F.try_variant_get(specs, path, "variant")).alias(field)
+    found = catalog.withColumn("_field", F.try_variant_get(_specs(catalog), path, "variant"))
+    return found.where(any_element_rlike(F.col("_field"), "$", pattern)).select(
+        "product_id", "name", F.to_json("_field").alias(field)
     )
 
 

@@ -27,9 +27,13 @@ class Shop:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._spark = spark
         self._folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        """A stored table; its files are listed and its schema is read once per shop."""
+        if name not in self._tables:
+            self._tables[name] = self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self._tables[name]
 
     @cached_property
     def order(self) -> DataFrame:
