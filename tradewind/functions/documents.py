@@ -60,8 +60,7 @@ def _matches(v: Column, pattern: Any, nested: bool) -> Column:
     elif isinstance(pattern, list):
         items = F.try_variant_get(v, "$", "array<variant>")
         tests = [_is_array(v)]
-        for value in pattern:
-            tests.append(F.exists(items, lambda item, want=value: _matches(item, want, True)))
+        tests += [_any_matches(items, value) for value in pattern]
     else:
         tests = [_scalar_equals(v, pattern)]
         if not nested:
@@ -75,6 +74,10 @@ def _matches(v: Column, pattern: Any, nested: bool) -> Column:
     return F.coalesce(hit, F.lit(False))
 
 
+def _any_matches(items: Column, value: Any) -> Column:
+    return F.exists(items, lambda item: _matches(item, value, True))
+
+
 def contains_json(v: Column, pattern: str | dict | list) -> Column:
     """``v @> pattern``: every key of the pattern is there with an equal (or containing) value.
 

@@ -41,6 +41,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "tradewi
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions or 8))
+        .config("spark.ui.showConsoleProgress", "false")
+        # Call sites of every column expression are only of use while debugging, and cost build time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
