@@ -70,7 +70,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     """Exact quantiles with linear interpolation: ``column_name, probability, value``.
 
     A bounded sketch narrows every quantile to a bracket of values. A second pass counts what lies
-    below the bracket and finds the first value above it; a third ranks only the values inside. So
+    below the bracket and finds the values adjoining it; a third ranks only the values inside. So
     nothing holds all distinct values of a column in one place, which the built-in exact percentile
     does, and only a sliver of the rows is shuffled.
     """
@@ -101,19 +101,21 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         *[
             F.struct(
                 F.count(F.when(values[c] < bracket(c, p)[0], 1)).alias("below"),
+                F.max(F.when(values[c] < bracket(c, p)[0], values[c])).alias("last"),
                 F.min(F.when(values[c] > bracket(c, p)[1], values[c])).alias("next"),
                 F.count(values[c]).alias("total"),
             ).alias(f"t{i}")
             for i, (c, p) in enumerate(targets)
         ]
     )
-    none, nothing = F.lit(None).cast("double"), F.lit(None).cast("bigint")
+    nothing = F.lit(None).cast("bigint")
     edges = [
         e
         for i, (c, p) in enumerate(targets)
         for e in (
-            entry(c, p, -1, F.col(f"t{i}.below"), none, F.col(f"t{i}.total")),
-            # The first value above closes the ranking; how many rows follow it does not matter.
+            # A rank next to the bracket on either side takes the value adjoining it; how many rows
+            # follow the one above does not matter.
+            entry(c, p, -1, F.col(f"t{i}.below"), F.col(f"t{i}.last"), F.col(f"t{i}.total")),
             entry(c, p, 1, F.col(f"t{i}.total"), F.col(f"t{i}.next"), F.col(f"t{i}.total")),
         )
     ]
