@@ -38,11 +38,9 @@ class Shop:
     @cached_property
     def order(self) -> DataFrame:
         key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        status = (
-            F.when(F.col("o_orderstatus") == "F", "delivered")
-            .when(F.col("o_orderstatus") == "O", "shipped")
-            .otherwise("processing")
-        )
+        # Nested, so that a filter on one status folds to one on the stored column and reaches the scan.
+        code = F.col("o_orderstatus")
+        status = F.when(code == "F", "delivered").otherwise(F.when(code == "O", "shipped").otherwise("processing"))
         promo = make_range(day - _days(key % 10), day + _days(F.lit(5)))
         return self.table("orders").select(
             key.alias("order_id"),
@@ -104,12 +102,16 @@ class Shop:
         def row(review_id: Column, score: Column) -> Column:
             return F.struct(review_id.alias("review_id"), score.cast("smallint").alias("review_score"))
 
-        first = F.when(key % 9 != 0, row(key, 1 + (key * 7) % 5))
-        second = F.when(key % 13 == 0, row(key + 1000000, F.lit(1)))
+        first, second = row(key, 1 + (key * 7) % 5), row(key + 1000000, F.lit(1))
+        rows = (
+            F.when((key % 9 != 0) & (key % 13 == 0), F.array(first, second))
+            .when(key % 9 != 0, F.array(first))
+            .when(key % 13 == 0, F.array(second))
+        )
         return self.table("orders").select(
             key.alias("order_id"),
             F.col("o_orderdate").alias("order_purchase_timestamp"),
-            F.inline(F.array_compact(F.array(first, second))),
+            F.inline(rows),
         )
 
     @cached_property
