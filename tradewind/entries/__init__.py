@@ -32,6 +32,13 @@ def _shop(spark: SparkSession, folder: str) -> Shop:
     return _last[2]
 
 
+def with_nulls(df: DataFrame, *columns: str) -> DataFrame:
+    """Whole numbers that may be missing as doubles: some clients have no missing integer."""
+    for name in columns:
+        df = df.withColumn(name, df[name].cast("double"))
+    return df
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Plain column types for comparison with another engine.
 

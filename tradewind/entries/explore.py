@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.entries import on_shop
+from tradewind.entries import on_shop, with_nulls
 from tradewind.entries.views import avg, dbl, stamp, with_views
 from tradewind.functions.temporal import parse_timestamp
 from tradewind.operators import quality as Q
@@ -116,7 +116,16 @@ def _full(s: Shop) -> DataFrame:
 
 def _full_out(s: Shop) -> DataFrame:
     return _rounded(
-        _full(s).drop("shipping_limit_date"),
+        with_nulls(
+            _full(s).drop("shipping_limit_date"),
+            "review_id",
+            "review_score",
+            "order_item_id",
+            "product_id",
+            "seller_id",
+            "product_weight_g",
+            "seller_zip_code_prefix",
+        ),
         9,
         "customer_geolocation_lat",
         "customer_geolocation_lng",
@@ -198,7 +207,7 @@ def _versions(s: Shop) -> DataFrame:
     base = s.products_catalog.select("product_id", "name", "total_reviews")
     old = base.where(F.col("product_id") % 2 == 0).select("product_id", "name")
     new = base.where(F.col("product_id") % 2 == 1).withColumn("schema_version", F.lit(2))
-    return Q.read_versions([old, new])
+    return with_nulls(Q.read_versions([old, new]), "total_reviews")
 
 
 def _protected(s: Shop) -> DataFrame:
@@ -212,7 +221,15 @@ def _protected(s: Shop) -> DataFrame:
 QUERIES = {
     "e1_describe_tables": on_shop(
         lambda s: _rounded(
-            E.describe_tables(_profiled(s)), 4, "mean", "std", "min", "q25", "q50", "q75", "max"
+            with_nulls(E.describe_tables(_profiled(s)), "unique", "freq"),
+            4,
+            "mean",
+            "std",
+            "min",
+            "q25",
+            "q50",
+            "q75",
+            "max",
         )
     ),
     "e2_null_report": on_shop(lambda s: E.null_report(_profiled(s))),
@@ -246,7 +263,9 @@ QUERIES = {
     "e10c_fact_sales_by_state_and_payment": on_shop(lambda s: E.fact_sales_by_state_and_payment(_full(s))),
     "e10d_fact_review_score_by_category": on_shop(lambda s: E.fact_review_score_by_category(_full(s))),
     "e11_order_summary": on_shop(
-        lambda s: E.order_summary(s.order.drop("promotion_period"), s.customer, s.payment, s.review)
+        lambda s: with_nulls(
+            E.order_summary(s.order.drop("promotion_period"), s.customer, s.payment, s.review), "review_id", "review_score"
+        )
     ),
     "q1_duplicate_keys": on_shop(lambda s: Q.duplicate_keys(s.order_item, PRIMARY_KEYS["order_item"])),
     "q2_orphans": on_shop(
@@ -255,10 +274,13 @@ QUERIES = {
         )
     ),
     "q3a_set_null": on_shop(
-        lambda s: Q.on_parent_delete(
-            s.seller,
-            s.zip_centroid.where(F.col("zip_code_prefix") < 5),
-            Reference("seller", ["zip_code_prefix"], "geolocation", ["zip_code_prefix"], "set null"),
+        lambda s: with_nulls(
+            Q.on_parent_delete(
+                s.seller,
+                s.zip_centroid.where(F.col("zip_code_prefix") < 5),
+                Reference("seller", ["zip_code_prefix"], "geolocation", ["zip_code_prefix"], "set null"),
+            ),
+            "zip_code_prefix",
         )
     ),
     "q3b_cascade": on_shop(
@@ -284,13 +306,16 @@ QUERIES = {
     "q5_rule_summary": on_shop(lambda s: Q.rule_summary(_bad_payments(s), row_rules("payment"))),
     "q6_document_violations": on_shop(_document_report),
     "q7_reconcile": on_shop(
-        lambda s: Q.reconcile(
-            {"order": s.table("orders"), "order_item": s.table("lineitem")},
-            {
-                "order": s.order,
-                "order_item": insert_new(s.order_item.limit(0), s.order_item, PRIMARY_KEYS["order_item"]),
-                "payment": s.payment,
-            },
+        lambda s: with_nulls(
+            Q.reconcile(
+                {"order": s.table("orders"), "order_item": s.table("lineitem")},
+                {
+                    "order": s.order,
+                    "order_item": insert_new(s.order_item.where(F.lit(False)), s.order_item, PRIMARY_KEYS["order_item"]),
+                    "payment": s.payment,
+                },
+            ),
+            "source_rows",
         )
     ),
     "q8_timestamp_conversion": on_shop(
@@ -323,7 +348,7 @@ def _describe_sql() -> str:
                     f"round(quantile_cont({x}, {p}), 4) AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75)
                 )
                 parts.append(
-                    f"{head}, NULL::BIGINT AS \"unique\", NULL::VARCHAR AS top, NULL::BIGINT AS freq, "
+                    f"{head}, NULL::DOUBLE AS \"unique\", NULL::VARCHAR AS top, NULL::DOUBLE AS freq, "
                     f"round(avg({x}), 4) AS mean, round(stddev_samp({x}), 4) AS std, round(min({x}), 4) AS min, "
                     f"{quart}, round(max({x}), 4) AS max FROM {view}"
                 )
@@ -334,8 +359,8 @@ def _describe_sql() -> str:
                 )
                 nulls = ", ".join(f"NULL::DOUBLE AS {c}" for c in ("mean", "std", "min", "q25", "q50", "q75", "max"))
                 parts.append(
-                    f"{head}, count(DISTINCT {expr}) AS \"unique\", (SELECT v FROM {best}) AS top, "
-                    f"(SELECT n FROM {best}) AS freq, {nulls} FROM {view}"
+                    f"{head}, {dbl(f'count(DISTINCT {expr})')} AS \"unique\", (SELECT v FROM {best}) AS top, "
+                    f"{dbl(f'(SELECT n FROM {best})')} AS freq, {nulls} FROM {view}"
                 )
     return " UNION ALL ".join(parts)
 
@@ -407,12 +432,15 @@ _ORDER_COLUMNS = f"""
     o.order_id, o.customer_id, o.order_status, {stamp('o.ts')} AS order_purchase_timestamp,
     {stamp('o.delivered_at')} AS order_delivered_customer_date, {stamp('o.estimated_at')} AS order_estimated_delivery_date,
     pay.seq AS payment_sequential, pay.payment_type, pay.payment_installments, {dbl('pay.payment_value')} AS payment_value,
-    r.review_id, r.review_score, c.customer_unique_id, c.customer_city, c.customer_state"""
+    {dbl('r.review_id')} AS review_id, {dbl('r.review_score')} AS review_score, c.customer_unique_id, c.customer_city,
+    c.customer_state"""
 _FULL = f"""
-    SELECT {_ORDER_COLUMNS}, oi.order_item_id, oi.product_id, oi.seller_id, {dbl('oi.price')} AS price,
+    SELECT {_ORDER_COLUMNS}, {dbl('oi.order_item_id')} AS order_item_id, {dbl('oi.product_id')} AS product_id,
+           {dbl('oi.seller_id')} AS seller_id, {dbl('oi.price')} AS price,
            {dbl('oi.freight_value')} AS freight_value, c.zip_code_prefix AS customer_zip_code_prefix,
-           p.category_name AS product_category_name, p.product_weight_g, pc.name_english AS product_category_name_english,
-           s.zip_code_prefix AS seller_zip_code_prefix, s.seller_city, s.seller_state, cg.customer_geolocation_lat,
+           p.category_name AS product_category_name, {dbl('p.product_weight_g')} AS product_weight_g,
+           pc.name_english AS product_category_name_english,
+           {dbl('s.zip_code_prefix')} AS seller_zip_code_prefix, s.seller_city, s.seller_state, cg.customer_geolocation_lat,
            cg.customer_geolocation_lng, cg.customer_geolocation_city, cg.customer_geolocation_state,
            sg.seller_geolocation_lat, sg.seller_geolocation_lng, sg.seller_geolocation_city, sg.seller_geolocation_state
     {_FULL_JOIN}"""
@@ -479,7 +507,8 @@ SQL = {
         SELECT order_id, order_item_id, product_id, seller_id, {dbl('price')} AS price FROM v_item
         WHERE seller_id NOT IN (SELECT seller_id FROM v_seller WHERE seller_state <> 'AFRICA')""",
     "q3a_set_null": """
-        SELECT seller_id, CASE WHEN zip_code_prefix >= 5 THEN zip_code_prefix END AS zip_code_prefix, seller_city, seller_state
+        SELECT seller_id, CASE WHEN zip_code_prefix >= 5 THEN CAST(zip_code_prefix AS DOUBLE) END AS zip_code_prefix,
+               seller_city, seller_state
         FROM v_seller""",
     "q3b_cascade": f"""
         SELECT r.order_id, {stamp('r.ts')} AS order_purchase_timestamp, review_id, review_score
@@ -496,7 +525,7 @@ SQL = {
     ),
     "q6_document_violations": _VIOLATIONS,
     "q7_reconcile": """
-        SELECT 'order' AS tabla, (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM v_order) AS table_rows,
+        SELECT 'order' AS tabla, CAST((SELECT count(*) FROM orders) AS DOUBLE) AS source_rows, (SELECT count(*) FROM v_order) AS table_rows,
                true AS match
         UNION ALL
         SELECT 'order_item', (SELECT count(*) FROM lineitem), (SELECT count(*) FROM
@@ -523,7 +552,7 @@ SQL = {
         UNION ALL SELECT 'geolocation', count(DISTINCT zip_code_prefix) FROM v_customer
             WHERE customer_id IN (SELECT customer_id FROM v_order)""",
     "q13_read_versions": """
-        SELECT product_id, name, CASE WHEN product_id % 2 = 1 THEN total_reviews END AS total_reviews,
+        SELECT product_id, name, CASE WHEN product_id % 2 = 1 THEN CAST(total_reviews AS DOUBLE) END AS total_reviews,
                CASE WHEN product_id % 2 = 1 THEN 2 ELSE 1 END AS schema_version FROM v_catalog""",
     "q14_protect_pii": """
         SELECT c_custkey, c_name AS name, sha256('pepper' || c_name) AS pseudonym FROM customer""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.entries import on_shop
+from tradewind.entries import on_shop, with_nulls
 from tradewind.entries.views import dbl, stamp, with_views
 from tradewind.functions import documents as D
 from tradewind.functions import ranges
@@ -118,8 +118,8 @@ def _range_tests(s: Shop) -> DataFrame:
     period = F.col("promotion_period")
     return s.order.select(
         "order_id",
-        ranges.contains_point(period, F.col("order_purchase_timestamp")).alias("holds_purchase"),
-        ranges.contained_by(period, window).alias("inside_window"),
+        ranges.contains_point(period, F.col("order_purchase_timestamp")).cast("string").alias("holds_purchase"),
+        ranges.contained_by(period, window).cast("string").alias("inside_window"),
         seconds_between(F.col("order_estimated_delivery_date"), F.col("order_purchase_timestamp")).alias("promised"),
         next_year("1998-03-01").alias("next_year"),
     )
@@ -167,7 +167,11 @@ def _ingested(s: Shop) -> DataFrame:
 QUERIES = {
     "snk1_insert_new": on_shop(_upserted),
     "snk2_first_place_per_zip": on_shop(lambda s: L.clean_geolocation(_raw_geolocation(s))),
-    "snk7_clean_product": on_shop(lambda s: L.clean_product(_raw_products(s))),
+    "snk7_clean_product": on_shop(
+        lambda s: with_nulls(
+            L.clean_product(_raw_products(s)), "product_name_lenght", "product_description_lenght", "product_photos_qty"
+        )
+    ),
     "snk9a_items_with_order_time": on_shop(
         lambda s: L.clean_order_item(_raw_items(s), s.order).drop("shipping_limit_date")
     ),
@@ -217,8 +221,8 @@ SQL = {
         QUALIFY row_number() OVER (PARTITION BY zip ORDER BY city, state, CAST(lat AS DECIMAL(9,6)), CAST(lng AS DECIMAL(9,6))) = 1""",
     "snk7_clean_product": f"""
         SELECT p_partkey AS product_id, CASE WHEN p_partkey % 13 <> 0 THEN p_type END AS category_name,
-               length(p_name) AS product_name_lenght, NULL::BIGINT AS product_description_lenght,
-               CASE WHEN p_partkey % 3 <> 0 THEN 2 END AS product_photos_qty,
+               {dbl('length(p_name)')} AS product_name_lenght, NULL::DOUBLE AS product_description_lenght,
+               {dbl('CASE WHEN p_partkey % 3 <> 0 THEN 2 END')} AS product_photos_qty,
                {dbl('CASE WHEN p_partkey % 7 <> 0 AND p_partkey % 5 <> 0 AND p_partkey % 11 <> 0 THEN p_size * 100 END')}
                    AS product_weight_g,
                {dbl('p_size')} AS product_length_cm, {dbl('CASE WHEN p_partkey % 4 <> 0 THEN p_size END')} AS product_height_cm,
@@ -254,8 +258,8 @@ SQL = {
                list_has_all(json_keys(specifications), ['voltagem', 'material']) AS all_keys,
                list_has_all(tags, ['red', 'bolt']) AS red_bolt FROM v_product""",
     "s21_range_tests": """
-        SELECT order_id, promo_lower <= ts AND ts < promo_upper AS holds_purchase,
-               TIMESTAMP '1998-01-01' <= promo_lower AND promo_upper <= TIMESTAMP '1998-06-30' AS inside_window,
+        SELECT order_id, CAST(promo_lower <= ts AND ts < promo_upper AS VARCHAR) AS holds_purchase,
+               CAST(TIMESTAMP '1998-01-01' <= promo_lower AND promo_upper <= TIMESTAMP '1998-06-30' AS VARCHAR) AS inside_window,
                CAST(epoch(estimated_at) - epoch(ts) AS DOUBLE) AS promised, 1999 AS next_year FROM v_order""",
     "s33_pairs": """
         SELECT s_suppkey, s_suppkey % 7 AS shipping_days, 'true' AS accepts_returns FROM supplier""",
