@@ -100,8 +100,8 @@ def test_overlaps(spark):
     def make(n, prefix):
         out = []
         for i in range(n):
-            lo = None if rng.random() < 0.1 else rng.randint(0, 400)
-            hi = None if rng.random() < 0.1 else (lo or 0) + rng.randint(-1, 90)
+            lo = None if rng.random() < 0.1 else rng.randint(-800, 400)  # also before 1970
+            hi = None if rng.random() < 0.1 else (lo or 0) + rng.choice([-1, 0, 1, 2, 15, 90, 400, 4000])
             out.append((f"{prefix}{i}", lo, hi, rng.choice(["[)", "[]", "(]", "()"])))
         return out
 

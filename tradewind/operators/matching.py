@@ -71,53 +71,66 @@ def trigram_match(
     )
 
 
-def overlap_join(
-    left: DataFrame, right: DataFrame, left_range: str, right_range: str, bucket_days: int = 31
-) -> DataFrame:
+# Cell widths for overlaps: a minute, then four times as wide per level; at the last level the whole
+# range of timestamps (years 1 to 9999) lies in the cells -1 to 3.
+_MINUTE = 60_000_000
+_TOP = 15
+_FIRST_CELL, _LAST_CELL = -1, 3
+
+
+def overlap_join(left: DataFrame, right: DataFrame, left_range: str, right_range: str) -> DataFrame:
     """Pairs of rows whose ranges overlap, honouring bound flags and unbounded ends.
 
-    Time is cut into buckets and a pair is formed only in the first bucket both ranges touch, so no
-    pair appears twice and nothing has to be de-duplicated. Open ends reach to the first or last
-    bucket in use. Column names of the two sides must differ.
+    A range lives at the level whose cells are about as wide as it is long, so it touches two of them
+    at most; open ranges live at the top. A pair meets at the level of its longer range: the shorter
+    one looks into the cells it touches there. So short ranges are never paired through a wide cell
+    they merely share, and one long range is not cut into many pieces. A pair is formed only in the
+    first cell both touch, so nothing has to be de-duplicated. Column names of the two sides must differ.
     """
-    width = bucket_days * 86_400_000_000
 
-    def bucket(t: Column) -> Column:
-        return F.floor(F.unix_micros(t.cast("timestamp")) / width).cast("bigint")
+    def width(level: Column) -> Column:
+        return (F.pow(F.lit(4.0), level) * _MINUTE).cast("bigint")
 
-    def ends(df: DataFrame, column: str) -> DataFrame:
+    def placed(df: DataFrame, column: str) -> DataFrame:
         r = F.col(column)
+        lo, hi = (F.unix_micros(r[end].cast("timestamp")) for end in ("lower", "upper"))
+        length = F.greatest((hi - lo) / _MINUTE, F.lit(1.0))
+        fitting = F.least(F.ceil(F.log(4.0, length)), F.lit(_TOP)).cast("int")
+        level = F.when(lo.isNull() | hi.isNull(), F.lit(_TOP)).otherwise(fitting)
         return df.where(r.isNotNull() & ~ranges.is_empty(r)).select(
-            bucket(r["lower"]).alias("lo"), bucket(r["upper"]).alias("hi")
+            "*", lo.alias("_lo"), hi.alias("_hi"), level.alias("_own")
         )
 
-    # First and last bucket of either side: one row. Open ends are clamped to it.
-    extent = (
-        ends(left, left_range)
-        .unionByName(ends(right, right_range))
-        .agg(
-            F.least(F.min("lo"), F.min("hi")).alias("first"),
-            F.greatest(F.max("hi"), F.max("lo")).alias("last"),
+    def spread(df: DataFrame, other: DataFrame, prefix: str, longer: str, shorter: str) -> DataFrame:
+        """One row per level the other side asks for and cell touched there."""
+        # At most one entry per level.
+        asked = other.agg(F.collect_set("_own")).scalar()
+        own = F.col("_own")
+        entry = lambda level, role: F.struct(level.alias("_level"), F.lit(role).alias("_role"))
+        meetings = F.array_distinct(
+            F.transform(
+                F.col("_asked"),
+                lambda level: F.when(level == own, entry(own, "equal"))
+                .when(level < own, entry(own, longer))
+                .otherwise(entry(level, shorter)),
+            )
         )
-        .select(F.struct(F.coalesce("first", F.lit(0)).alias("first"), F.coalesce("last", F.lit(0)).alias("last")))
-    )
-
-    def spread(df: DataFrame, column: str, prefix: str) -> DataFrame:
-        r = F.col(column)
+        first = F.coalesce(F.floor(F.col("_lo") / width(F.col("_level"))), F.lit(_FIRST_CELL)).cast("bigint")
+        last = F.coalesce(F.floor(F.col("_hi") / width(F.col("_level"))), F.lit(_LAST_CELL)).cast("bigint")
+        kept = [c for c in df.columns if c not in ("_lo", "_hi", "_own")]
         return (
-            df.where(r.isNotNull() & ~ranges.is_empty(r))
-            .withColumn("_extent", extent.scalar())
-            .withColumn(f"_{prefix}lo", F.coalesce(bucket(r["lower"]), F.col("_extent.first")))
-            .withColumn(f"_{prefix}hi", F.coalesce(bucket(r["upper"]), F.col("_extent.last")))
-            .drop("_extent")
-            .withColumn("_bucket", F.explode(F.sequence(f"_{prefix}lo", f"_{prefix}hi")))
+            df.withColumn("_asked", asked)
+            .select(*kept, "_lo", "_hi", F.inline(meetings))
+            .withColumn(f"_{prefix}first", first)
+            .withColumn("_cell", F.explode(F.sequence(F.col(f"_{prefix}first"), last)))
+            .select(*kept, "_level", "_role", "_cell", f"_{prefix}first")
         )
 
-    a, b = spread(left, left_range, "a"), spread(right, right_range, "b")
-    first_common = F.col("_bucket") == F.greatest("_alo", "_blo")
-    return (
-        a.join(b, "_bucket")
-        .where(first_common & ranges.overlaps(F.col(left_range), F.col(right_range)))
-        .drop("_bucket", "_alo", "_ahi", "_blo", "_bhi")
+    a, b = placed(left, left_range), placed(right, right_range)
+    pairs = spread(a, b, "a", "left longer", "right longer").join(
+        spread(b, a, "b", "right longer", "left longer"), ["_level", "_role", "_cell"]
+    )
+    first_common = F.col("_cell") == F.greatest("_afirst", "_bfirst")
+    return pairs.where(first_common & ranges.overlaps(F.col(left_range), F.col(right_range))).drop(
+        "_level", "_role", "_cell", "_afirst", "_bfirst"
     )
-
