@@ -135,8 +135,8 @@ def test_describe_and_nulls(spark):
 
 
 def test_mode_takes_the_lowest_on_ties(spark):
-    df = spark.createDataFrame([("z", "b", 2), ("z", "a", 1), ("z", None, 1), ("y", None, 3)], "k string, c string, n int")
-    assert rows(P.mode_per_group(df, ["k"], ["c", "n"])) == [("y", None, 3), ("z", "a", 1)]
+    df = spark.createDataFrame([("z", "b", 10), ("z", "a", 9), ("z", None, 11), ("y", None, 3)], "k string, c string, n int")
+    assert rows(P.mode_per_group(df, ["k"], ["c", "n"])) == [("y", None, 3), ("z", "a", 9)]
 
 
 def test_shared_columns(spark):

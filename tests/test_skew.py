@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tradewind.operators.matching import trigram_match
+from tradewind.functions.ranges import make_range
+from tradewind.operators.matching import overlap_join, trigram_match
 from tradewind.operators.profiling import mode_per_group
 from tradewind.operators.topk import nested_top
 from tradewind.plans import catalog as C
@@ -123,3 +124,23 @@ def test_common_trigrams_form_no_pairs(spark):
     right = spark.range(2990, 6000).select(F.concat(F.lit("shop "), F.sha2(F.col("id").cast("string"), 256).substr(1, 12)).alias("r"))
     copies = left.unionByName(left).unionByName(left)
     assert trigram_match(copies, right, "l", "r", 0.9).count() == 10
+
+
+def test_crowded_period_forms_few_pairs(spark):
+    """Twenty thousand seconds of one day on each side, next to one range that never ends."""
+    at = lambda shift: F.timestamp_millis(F.col("id") * 4000 + shift)
+    left = spark.range(20_000).select(F.col("id").alias("a"), make_range(at(0), at(1000)).alias("p"))
+    forever = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("b"), make_range(at(0), F.lit(None).cast("timestamp")).alias("q")
+    )
+    right = spark.range(20_000).select(F.col("id").alias("b"), make_range(at(500), at(1500)).alias("q")).unionByName(forever)
+    pairs = overlap_join(left, right, "p", "q")
+    assert pairs.count() == 40_000
+    assert pairs.where("b >= 0 and a <> b").count() == 0
+
+
+def test_approximate_distinct_counts(hot):
+    items = hot["order_item"]
+    exact = R.monthly_sales_trend(hot["order"], items).first()["total_orders"]
+    rough = R.monthly_sales_trend(hot["order"], items, approximate_distinct=True).first()["total_orders"]
+    assert exact == 10_001 and abs(rough - exact) < 0.05 * exact

@@ -48,20 +48,29 @@ def mode_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFr
     Values are counted per key and value before a key comes together, so neither a key with very
     many rows nor one with very many distinct values has to fit into one task's memory.
     """
-    entries = F.array(
-        *[F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(columns)]
-    )
+    # One entry per column, with only that column's value set: values keep their type and its order.
+    names = [f"_v{i}" for i in range(len(columns))]
+    entries = [
+        F.struct(
+            F.lit(i).alias("_i"),
+            *[
+                (F.col(c) if i == j else F.lit(None).cast(df.schema[c].dataType)).alias(names[j])
+                for j, c in enumerate(columns)
+            ],
+        )
+        for i in range(len(columns))
+    ]
     counted = (
-        df.select(*keys, F.inline(entries))
-        .groupBy(*keys, "_i", "_v")
+        df.select(*keys, F.inline(F.array(*entries)))
+        .groupBy(*keys, "_i", *names)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    # Order by count descending, then value ascending, as one comparable struct; NULL values never win.
-    order = F.struct((-F.col("_n")).alias("n"), F.col("_v").alias("v"))
 
     def winner(i: int, c: str) -> Column:
-        best = F.min(F.when((F.col("_i") == i) & F.col("_v").isNotNull(), order))
-        return best["v"].cast(df.schema[c].dataType).alias(c)
+        # Most frequent, then lowest, as one comparable struct; NULL values never win.
+        value = F.col(names[i])
+        order = F.struct((-F.col("_n")).alias("n"), value.alias("v"))
+        return F.min(F.when((F.col("_i") == i) & value.isNotNull(), order))["v"].alias(c)
 
     return counted.groupBy(*keys).agg(*[winner(i, c) for i, c in enumerate(columns)])
 

@@ -57,6 +57,11 @@ def _multiplicity() -> Column:
     return F.coalesce(F.col("n_reviews"), F.lit(1))
 
 
+def _distinct(column: str, approximate: bool) -> Column:
+    """Distinct count; the approximate one keeps a bounded sketch per group and shuffles no values."""
+    return F.approx_count_distinct(column, 0.01) if approximate else F.count_distinct(column)
+
+
 def _avg_review(digits: int = 2) -> Column:
     return rounded_ratio(F.sum("sum_scores"), F.sum("n_scores"), digits)
 
@@ -142,6 +147,7 @@ def sales_by_category(
     review: DataFrame,
     start: str,
     end: str,
+    approximate_distinct: bool = False,
 ) -> DataFrame:
     """Orders, revenue and review score per category; children are joined on the order id alone."""
     chosen = temporal.half_open(delivered(order), "order_purchase_timestamp", start, end).select("order_id")
@@ -156,7 +162,7 @@ def sales_by_category(
     return (
         rows.groupBy("category")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            _distinct("order_id", approximate_distinct).alias("total_orders"),
             weighted_sum(F.col("price"), _multiplicity()).alias("gross_revenue"),
             _avg_review().alias("avg_score"),
         )
@@ -169,7 +175,11 @@ def _month_totals(rows: DataFrame, month: str) -> DataFrame:
 
 
 def monthly_sales_trend(
-    order: DataFrame, order_item: DataFrame, start: str | None = None, end: str | None = None
+    order: DataFrame,
+    order_item: DataFrame,
+    start: str | None = None,
+    end: str | None = None,
+    approximate_distinct: bool = False,
 ) -> DataFrame:
     """Orders, revenue, freight and average order value per month; without bounds all months."""
     picked = order
@@ -178,7 +188,7 @@ def monthly_sales_trend(
     return (
         _month_totals(delivered_items(picked, order_item), "month")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            _distinct("order_id", approximate_distinct).alias("total_orders"),
             F.sum("price").alias("gross_revenue"),
             F.sum("freight_value").alias("total_freight"),
         )
@@ -435,6 +445,7 @@ def geographic_distribution(
     review: DataFrame,
     seller: DataFrame,
     customer_key: str = "customer_id",
+    approximate_distinct: bool = False,
 ) -> DataFrame:
     """Orders, revenue, review score and active sellers per customer state."""
     who = _customers(customer, customer_key, "customer_state")
@@ -449,10 +460,10 @@ def geographic_distribution(
     return (
         rows.groupBy("customer_state")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            _distinct("order_id", approximate_distinct).alias("total_orders"),
             weighted_sum(F.col("price"), _multiplicity() * copies).alias("total_revenue"),
             rounded_ratio(F.sum(F.col("sum_scores") * copies), F.sum(F.col("n_scores") * copies)).alias("avg_review"),
-            F.count_distinct("matched_seller").alias("unique_sellers"),
+            _distinct("matched_seller", approximate_distinct).alias("unique_sellers"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_first(), "customer_state")
     )
