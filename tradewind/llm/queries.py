@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import quality, simhash_dedup
+from tradewind.llm import byte_bpe, pii, quality, simhash_dedup
 from tradewind.llm.tables import stored
 from tradewind.llm.text import documents
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is; the folder is a parameter of this machine."""
+    try:
+        import public_tokenizers
+    except ImportError:
+        return f"{TOKENIZERS}/{name}"
+    return public_tokenizers.path(name)
+
+
 SQL: dict[str, str] = {}
 
 
@@ -19,8 +31,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(documents(spark, sf_dir)).drop("text_key")
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digests(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.grouped(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op4_quality_rules, op5_personal_data, op8_byte_bpe, op9_simhash_near_dedup)}
