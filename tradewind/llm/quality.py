@@ -13,9 +13,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.llm.tables import stored
 from tradewind.llm.text import Hasher, Words, gram_starts, grams, slices
 
 #: The length of the windows whose repetition is counted.
@@ -110,10 +111,14 @@ def measure(texts: pa.Array, hasher: Hasher) -> list[np.ndarray]:
     ]
 
 
-def measures(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words and the measures the rules look at; a null text has no words and zero everywhere."""
+def measures(docs: DataFrame, kept: Column) -> DataFrame:
+    """``kept`` of every row of ``docs`` (as ``row``) with n_words and the measures the rules look at.
+
+    A null text has no words and zero everywhere.
+    """
     names = ["n_words", *MEASURES.split()]
-    schema = docs.select(F.col("doc_id").cast("long")).schema
+    source = docs.select(kept.alias("row"), F.col("text").cast("string").alias("text"))
+    schema = source.select("row").schema
     for name in names:
         schema = schema.add(name, "long")
 
@@ -121,9 +126,9 @@ def measures(docs: DataFrame) -> DataFrame:
         hasher = Hasher()
         for batch in slices(batches):
             found = [pa.array(x, pa.int64()) for x in measure(batch.column(1), hasher)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *found], ["row", *names])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)
 
 
 def votes(measured: DataFrame) -> DataFrame:
@@ -178,16 +183,19 @@ def evidence(rates: np.ndarray) -> np.ndarray:
     return np.log(rates[:, 1] / rates[:, 0])
 
 
-def judged(measured: DataFrame, least: float = 0.5) -> DataFrame:
-    """The measures with base_failed, posterior and kept.
+def vote_counts(voted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The patterns of votes and how often each occurs: at most 3 ** len(RULES) rows come to the driver."""
+    table = voted.groupBy("votes").count().collect()
+    patterns = np.array([row["votes"] for row in table], np.int64).reshape(-1, len(RULES))
+    return patterns, np.array([row["count"] for row in table], float)
+
+
+def judged(measured: DataFrame, share: float, rates: np.ndarray, least: float = 0.5) -> DataFrame:
+    """The measures with base_failed, posterior and kept, by what ``fit`` has estimated.
 
     base_failed: under 20 words, or over 30 words of 100 in repeated windows. Others are kept from a posterior of
-    ``least`` on. No rows give no rows. Repeated rows count as often as they occur.
+    ``least`` on.
     """
-    voted = votes(measured)
-    table = voted.groupBy("votes").count().collect()  # at most 3 ** len(RULES) rows
-    patterns = np.array([row["votes"] for row in table], np.int64).reshape(-1, len(RULES))
-    share, rates = fit(patterns, np.array([row["count"] for row in table], float))
     odds = F.lit(float(np.log(share / (1 - share))))
     for r, weight in enumerate(evidence(rates)):
         bad, good, silent = (F.lit(float(x)) for x in weight)
@@ -195,6 +203,23 @@ def judged(measured: DataFrame, least: float = 0.5) -> DataFrame:
         odds += F.when(vote == 0, bad).when(vote == 1, good).otherwise(silent)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     good = 1 / (1 + F.exp(-odds))
-    return voted.select(
+    return votes(measured).select(
         "*", failed.alias("base_failed"), good.alias("posterior"), (~failed & (good >= least)).alias("kept")
     )
+
+
+def decisions(docs: DataFrame) -> DataFrame:
+    """doc_id, measures, base_failed, posterior and kept for every row of ``docs``.
+
+    Repeated rows count as often as they occur and get a row each; a null doc_id is kept; no rows give no rows. Other
+    columns are not read.
+    """
+    measured = stored(measures(docs, F.col("doc_id").cast("long")).withColumnRenamed("row", "doc_id"), "quality-measures")
+    return judged(measured, *fit(*vote_counts(votes(measured))))
+
+
+def accepted(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns. The texts are measured twice, and never shuffled."""
+    estimates = fit(*vote_counts(votes(measures(docs, F.lit(None).cast("long")))))
+    whole = measures(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns)))
+    return judged(whole, *estimates).where("kept").select("row.*")

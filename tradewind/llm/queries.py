@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tradewind.llm import byte_bpe, pii, quality, simhash_dedup
-from tradewind.llm.tables import stored
+from tradewind.llm import byte_bpe, decontamination, pii, quality, simhash_dedup
 from tradewind.llm.text import documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -24,9 +22,13 @@ def vocabulary(name: str) -> str:
 SQL: dict[str, str] = {}
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, sf_dir), benchmark).drop("text_key")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = stored(quality.measures(documents(spark, sf_dir)), "quality-measures")
-    return quality.judged(measured).select(
+    return quality.decisions(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
     )
 
@@ -43,4 +45,4 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.grouped(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_quality_rules, op5_personal_data, op8_byte_bpe, op9_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_quality_rules, op5_personal_data, op8_byte_bpe, op9_simhash_near_dedup)}
