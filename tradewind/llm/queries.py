@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import byte_bpe, decontamination, language_id, pii, quality, simhash_dedup, url_filters
+from tradewind.llm import byte_bpe, decontamination, language_id, pii, quality, simhash_dedup, token_counts, url_filters
 from tradewind.llm.text import documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -37,6 +37,11 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(documents(spark, sf_dir)).drop("text_key")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return token_counts.per_document(documents(spark, sf_dir), file.read())
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(documents(spark, sf_dir))
 
@@ -53,4 +58,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op4_quality_rules, op5_personal_data, op7_language_id, op8_byte_bpe, op9_simhash_near_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op4_quality_rules, op5_personal_data, op6_token_counts, op7_language_id, op8_byte_bpe, op9_simhash_near_dedup, op10_url_filters)}
