@@ -65,13 +65,13 @@ def pair_counts(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return row[at], key[at], np.diff(np.append(at, len(row)))
 
 
-def counted(pieces: Iterator[tuple[list[bytes], np.ndarray]], most: int = 200_000) -> Iterator[pa.RecordBatch]:
+def counted(pieces: Iterator[tuple[list, np.ndarray]], most: int = 200_000, kind: pa.DataType = pa.binary()) -> Iterator[pa.RecordBatch]:
     """(token, n) batches from (tokens, counts) of many slices; counts of a token are added up within some slices."""
-    held: dict[bytes, int] = {}
+    held: dict = {}
 
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["token", "n"]
+            [pa.array(list(held), kind), pa.array(list(held.values()), pa.int64())], ["token", "n"]
         )
 
     for tokens, counts in pieces:
