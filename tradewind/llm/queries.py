@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import byte_bpe, decontamination, language_id, language_model, pii, quality, simhash_dedup, token_counts, url_filters
+from tradewind.llm import byte_bpe, decontamination, language_id, language_model, pii, quality, simhash_dedup, substring_dedup, token_counts, url_filters
 from tradewind.llm.text import documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -31,6 +31,10 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scored(documents(spark, sf_dir))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.deduplicated(documents(spark, sf_dir))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.decisions(documents(spark, sf_dir)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior"
@@ -62,4 +66,4 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judged(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_model, op4_quality_rules, op5_personal_data, op6_token_counts, op7_language_id, op8_byte_bpe, op9_simhash_near_dedup, op10_url_filters)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_model, op3_substring_dedup, op4_quality_rules, op5_personal_data, op6_token_counts, op7_language_id, op8_byte_bpe, op9_simhash_near_dedup, op10_url_filters)}
