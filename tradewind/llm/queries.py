@@ -19,7 +19,30 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-SQL: dict[str, str] = {}
+# Most of these queries end in a model, a hash or a tokenizer that SQL does not have; their tests hold them against brute force.
+SQL: dict[str, str] = {
+    "op3_substring_dedup": r"""
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+        ), windows AS (
+            SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS window_hash
+            FROM split, unnest(range(1, len(words) - 48)) AS at(i) WHERE len(words) >= 50
+        ), first_seen AS (
+            SELECT window_hash, min(doc_id) AS first_doc FROM windows GROUP BY window_hash
+        ), gone AS (
+            SELECT DISTINCT doc_id, i + k AS i
+            FROM windows JOIN first_seen USING (window_hash), unnest(range(0, 50)) AS step(k) WHERE first_doc < doc_id
+        ), kept AS (
+            SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS text
+            FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split) w
+            ANTI JOIN gone USING (doc_id, i) GROUP BY w.doc_id
+        ), removed AS (
+            SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+        )
+        SELECT doc_id, len(words) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM split LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+}
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
