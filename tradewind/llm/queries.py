@@ -26,7 +26,7 @@ SQL: dict[str, str] = {
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
         ), windows AS (
             SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS window_hash
-            FROM split, unnest(range(1, len(words) - 48)) AS at(i) WHERE len(words) >= 50
+            FROM split, unnest(range(1, len(words) - 48)) AS place(i) WHERE len(words) >= 50
         ), first_seen AS (
             SELECT window_hash, min(doc_id) AS first_doc FROM windows GROUP BY window_hash
         ), gone AS (
