@@ -119,7 +119,7 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 1), ("b", "x\ty", 2), ("c", "", 3)], "k string, t string, n int")
     K.append_tsv(df, str(tmp_path / "tsv"))
     lines = "".join(p.read_text() for p in (tmp_path / "tsv").glob("part-*")).splitlines()
-    assert sorted(lines) == ["a\t\\N\t1", 'b\t"x\ty"\t2', "c\t\t3"]
+    assert sorted(lines) == ["a\t\\N\t1", "b\tx\\ty\t2", "c\t\t3"]
     K.append_quoted_csv(df, str(tmp_path / "csv"))
     text = "".join(p.read_text() for p in (tmp_path / "csv").glob("part-*"))
     assert '"b","x\ty","2"' in text
@@ -170,8 +170,8 @@ def test_clustered_layout_has_narrow_blocks(spark, tmp_path):
     assert len(out) > 1 and all(x["b"] <= y["a"] for x, y in zip(out, out[1:]))
 
 
-def test_bucketed_tables_join_without_shuffle(spark):
-    spark.sql("create database if not exists bucketed_test location '/tmp/tradewind-bucketed-test'")
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    spark.sql(f"create database if not exists bucketed_test location '{tmp_path}'")
     try:
         for name in ("a", "b"):
             df = spark.range(200).select(F.col("id").alias("order_id"), F.lit(name).alias(name))
@@ -185,14 +185,79 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.sql("drop database if exists bucketed_test cascade")
 
 
-def test_filtered_copies(spark, tmp_path):
-    df = spark.createDataFrame([(i, i * 10) for i in range(6)], "product_id int, product_weight_g int")
-    K.write_filtered(df, "weight_from_20", str(tmp_path))
+@pytest.fixture
+def weights(spark, tmp_path):
+    path = str(tmp_path / "product")
+    spark.createDataFrame([(i, i * 10) for i in range(6)], "product_id int, product_weight_g int").write.parquet(path)
+    return path
+
+
+def from_copy(df):
+    return all("weight_from_20" in f for f in df.inputFiles())
+
+
+def test_filtered_copies(spark, tmp_path, weights):
+    table, folder = spark.read.parquet(weights), str(tmp_path / "copies")
+    K.write_filtered(table, "weight_from_20", folder)
     assert K.implies("product_weight_g >= 30", "product_weight_g >= 20")
     assert K.implies("product_weight_g > 20", "product_weight_g >= 20")
     assert not K.implies("product_weight_g >= 5", "product_weight_g >= 20")
     assert not K.implies("other >= 30", "product_weight_g >= 20")
-    covered = K.read_filtered(spark, df, "product_weight_g >= 30", str(tmp_path))
-    assert "weight_from_20" in plan_of(covered) and covered.count() == 3
-    full = K.read_filtered(spark, df, "product_weight_g >= 5", str(tmp_path))
-    assert "weight_from_20" not in plan_of(full) and full.count() == 5
+    covered = K.read_filtered(spark, table, "product_weight_g >= 30", folder)
+    assert from_copy(covered) and covered.count() == 3
+    full = K.read_filtered(spark, table, "product_weight_g >= 5", folder)
+    assert not from_copy(full) and full.count() == 5
+
+
+def test_a_copy_that_does_not_cover_is_not_used(spark, tmp_path, weights):
+    table, folder, heavy = spark.read.parquet(weights), str(tmp_path / "copies"), "product_weight_g >= 30"
+    K.write_filtered(table, "weight_from_20", folder)
+    other = table.withColumn("extra", F.lit(1))
+    assert K.read_filtered(spark, other, heavy, folder).columns == [*table.columns, "extra"]
+    in_memory = spark.createDataFrame([(9, 90)], table.schema)
+    assert K.read_filtered(spark, in_memory, heavy, folder).count() == 1
+    os.remove(f"{folder}/weight_from_20/_SUCCESS")  # unfinished
+    assert not from_copy(K.read_filtered(spark, table, heavy, folder))
+    K.write_filtered(table, "weight_from_20", folder)
+    assert from_copy(K.read_filtered(spark, table, heavy, folder))
+    K.append(in_memory, weights)  # the table grows
+    grown = K.read_filtered(spark, spark.read.parquet(weights), heavy, folder)
+    assert not from_copy(grown) and grown.count() == 4
+
+
+def test_tsv_round_trip(spark, tmp_path):
+    rows_in = [(1, "a\tb\nc\rd\\e", dt.datetime(2020, 1, 2, 3, 4, 5)), (2, "\\N", None), (3, None, None), (4, "", None), (5, "\\\\n\\t", None)]
+    schema, path = "id int, note string, at timestamp", str(tmp_path / "tsv")
+    K.append_tsv(spark.createDataFrame(rows_in, schema), path)
+    assert rows(S.read_tsv(spark, path, schema)) == sorted(rows_in, key=repr)
+
+
+def test_large_files_are_split(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    with open(path, "w") as file:
+        file.write("order_id,customer_id\n")
+        file.writelines(f"o{i},c{i}\n" for i in range(200_000))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512k")
+    try:
+        df = S.read_csv(spark, path, "order_id string, customer_id string")
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 200_000
+        assert S.read_csv(spark, path, "order_id string, customer_id string", multi_line=True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_insert_reads_only_the_years_it_touches(spark, by_year, tmp_path):
+    keys, away = ["order_id", "order_purchase_timestamp"], str(tmp_path / "away")
+    new = [("o1", dt.datetime(2017, 2, 1), 1), ("x1", dt.datetime(2017, 2, 1), 1), (None, dt.datetime(2017, 2, 1), 1)]
+    incoming = K.with_year(spark.createDataFrame(new, "order_id string, order_purchase_timestamp timestamp, n int"))
+    target = str(tmp_path / "order")
+    K.write_by_year(spark.read.parquet(by_year).drop("purchase_year"), target)
+    os.rename(f"{target}/purchase_year=2018", str(tmp_path / "kept"))
+    os.makedirs(f"{target}/purchase_year=2018")
+    with open(f"{target}/purchase_year=2018/part-broken.parquet", "w") as file:
+        file.write("not parquet: reading this year would fail")
+    for _ in range(2):
+        assert K.insert_new_into(incoming, target, keys, ["purchase_year"], quarantine=away) == 1
+    assert spark.read.parquet(f"{target}/purchase_year=2017").count() == 31
+    assert spark.read.parquet(away).count() == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +11,11 @@ from tradewind.entries import on_shop, with_nulls
 from tradewind.entries.views import avg, dbl, stamp, with_views
 from tradewind.functions.temporal import parse_timestamp
 from tradewind.operators import quality as Q
-from tradewind.operators.privacy import protect_pii, reveal
+from tradewind.operators.privacy import protect_pii, read_secrets, reveal
 from tradewind.operators.profiling import inclusion
 from tradewind.operators.upsert import insert_new
 from tradewind.plans import explore as E
+from tradewind.session import workspace
 from tradewind.schemas import DOCUMENT_FIELDS, PRIMARY_KEYS, Reference, Rule, row_rules
 from tradewind.sources.star_views import Shop
 
@@ -210,12 +213,29 @@ def _versions(s: Shop) -> DataFrame:
     return with_nulls(Q.read_versions([old, new]), "total_reviews")
 
 
+def _put(spark, path: str, content: bytes) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    stream.write(bytearray(content))
+    stream.close()
+
+
 def _protected(s: Shop) -> DataFrame:
+    """Key and salt come from files that only this run knows; what is hidden is checked to differ before it is revealed."""
     spark = s.order.sparkSession
-    secrets = spark.range(1).select(F.lit("0123456789abcdef").cast("binary").alias("key"), F.lit("pepper").alias("salt"))
+    folder = workspace(spark, "secrets")
+    for name, size in (("key", 16), ("salt", 24)):
+        _put(spark, f"{folder}/{name}", os.urandom(size))
+    secrets = read_secrets(spark, f"{folder}/key", f"{folder}/salt")
     source = s.table("customer").select("c_custkey", F.col("c_name").alias("name"), F.col("c_name").alias("pseudonym"))
     hidden = protect_pii(source, secrets, ["name"], ["pseudonym"])
-    return reveal(hidden, secrets, ["name"])
+    shown = reveal(hidden.withColumn("cipher", F.col("name")), secrets, ["name"])
+    return shown.select(
+        "c_custkey",
+        "name",
+        (F.col("cipher") != F.col("name").cast("binary")).alias("hidden"),
+        (F.length("pseudonym") == 64).alias("hashed"),
+    )
 
 
 QUERIES = {
@@ -260,8 +280,12 @@ QUERIES = {
     "e10b_review_score_by_category": on_shop(
         lambda s: E.review_score_by_category(s.order_item, s.product, s.review)
     ),
-    "e10c_fact_sales_by_state_and_payment": on_shop(lambda s: E.fact_sales_by_state_and_payment(_full(s))),
-    "e10d_fact_review_score_by_category": on_shop(lambda s: E.fact_review_score_by_category(_full(s))),
+    "e10c_fact_sales_by_state_and_payment": on_shop(
+        lambda s: E.sales_over_fact(s.order, s.customer, s.payment, s.review, s.order_item)
+    ),
+    "e10d_fact_review_score_by_category": on_shop(
+        lambda s: E.review_scores_over_fact(s.order, s.payment, s.review, s.order_item, s.product)
+    ),
     "e11_order_summary": on_shop(
         lambda s: with_nulls(
             E.order_summary(s.order.drop("promotion_period"), s.customer, s.payment, s.review), "review_id", "review_score"
@@ -555,6 +579,6 @@ SQL = {
         SELECT product_id, name, CASE WHEN product_id % 2 = 1 THEN CAST(total_reviews AS DOUBLE) END AS total_reviews,
                CASE WHEN product_id % 2 = 1 THEN 2 ELSE 1 END AS schema_version FROM v_catalog""",
     "q14_protect_pii": """
-        SELECT c_custkey, c_name AS name, sha256('pepper' || c_name) AS pseudonym FROM customer""",
+        SELECT c_custkey, c_name AS name, true AS hidden, true AS hashed FROM customer""",
 }
 SQL = {name: with_views(body) for name, body in SQL.items()}

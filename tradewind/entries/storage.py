@@ -55,10 +55,11 @@ _DELIVERY_SCHEMA = "order_id bigint, order_status string, order_delivered_custom
 
 
 def _tsv(s: Shop) -> DataFrame:
+    """A status with a tab, a line break and a backslash goes out and comes back."""
     path = workspace(s.order.sparkSession, "tsv")
-    sinks.append_tsv(_deliveries(s), path)
-    options = {"sep": "\t", "nullValue": sinks.NULL_MARKER}
-    return s.order.sparkSession.read.schema(_DELIVERY_SCHEMA).options(**options).csv(path)
+    marked = _deliveries(s).withColumn("order_status", F.concat("order_status", F.lit("\tand\nmore\\n")))
+    sinks.append_tsv(marked, path)
+    return files.read_tsv(s.order.sparkSession, path, _DELIVERY_SCHEMA)
 
 
 def _quoted(s: Shop) -> DataFrame:
@@ -90,13 +91,23 @@ def _clustered(s: Shop) -> DataFrame:
     return half_open(stored, "order_purchase_timestamp", "1998-03-01", "1998-04-01").select("order_id", "customer_id")
 
 
-def _filtered(s: Shop) -> DataFrame:
-    """Late orders from their stored copy."""
-    spark, folder = s.order.sparkSession, workspace(s.order.sparkSession, "filtered")
-    sinks.write_filtered(_orders(s), "late_orders", folder)
-    return sinks.read_filtered(spark, _orders(s), sinks.NAMED_FILTERS["late_orders"], folder).select(
-        "order_id", "order_delivered_customer_date"
-    )
+def _filtered(name: str, table, *columns: str, grow: bool = False):
+    """Rows of a named filter from their stored copy; with ``grow`` the table gets more rows after the copy."""
+
+    def build(s: Shop) -> DataFrame:
+        spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "filtered")
+        source = table(s).select(*columns)
+        key = columns[0]
+        sinks.append(source.where(F.hash(key) % 2 == 0) if grow else source, f"{root}/table")
+        sinks.write_filtered(spark.read.parquet(f"{root}/table"), name, f"{root}/copies")
+        if grow:
+            sinks.append(source.where(F.hash(key) % 2 != 0), f"{root}/table")
+        return sinks.read_filtered(spark, spark.read.parquet(f"{root}/table"), sinks.NAMED_FILTERS[name], f"{root}/copies")
+
+    return on_shop(build)
+
+
+_LATE = ("order_id", "order_delivered_customer_date", "order_estimated_delivery_date")
 
 
 def _inserted_twice(s: Shop) -> DataFrame:
@@ -108,17 +119,22 @@ def _inserted_twice(s: Shop) -> DataFrame:
     return s.order.sparkSession.read.parquet(path)
 
 
-def _archived(s: Shop) -> DataFrame:
-    """Orders per year in the table and in the archive after one year has moved."""
-    spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "archive")
-    sinks.write_by_year(_orders(s), f"{root}/order")
-    archive_year(spark, f"{root}/order", f"{root}/archive", 1996)
-
-    def counts(path: str, place: str) -> DataFrame:
-        years = spark.read.parquet(path).groupBy("purchase_year").agg(F.count(F.lit(1)).alias("filas"))
-        return years.withColumn("place", F.lit(place))
+def _archived(late_rows: bool):
+    def build(s: Shop) -> DataFrame:
+        """All orders with their place after one year has moved; with ``late_rows`` some come after the first move."""
+        spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "archive")
+        orders, late = _orders(s), (F.year("order_purchase_timestamp") == 1996) & (F.col("order_id") % 3 == 0)
+        sinks.write_by_year(orders.where(~late) if late_rows else orders, f"{root}/order")
+        archive_year(spark, f"{root}/order", f"{root}/archive", 1996)
+        if late_rows:
+            sinks.write_by_year(orders.where(late), f"{root}/order", mode="append")
+            archive_year(spark, f"{root}/order", f"{root}/archive", 1996)
+        columns = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "purchase_year"]
+        places = {"active": f"{root}/order", "archive": f"{root}/archive/arch_order_1996"}
+        parts = [spark.read.parquet(path).select(*columns, F.lit(place).alias("place")) for place, path in places.items()]
+        return parts[0].unionByName(parts[1])
 
-    return counts(f"{root}/order", "active").unionByName(counts(f"{root}/archive/arch_order_1996", "archive"))
+    return on_shop(build)
 
 
 def _split(s: Shop) -> DataFrame:
@@ -141,14 +157,27 @@ QUERIES = {
     "snk5_json_documents": on_shop(_json_sessions),
     "snk14_year_layout": on_shop(_year_of_layout),
     "snk15_clustered_layout": on_shop(_clustered),
-    "snk16_filtered_copy": on_shop(_filtered),
-    "r1_archive_year": on_shop(_archived),
+    "snk16_filtered_copy": _filtered("late_orders", lambda s: s.order, *_LATE),
+    "snk16_filtered_copy_stale": _filtered("late_orders", lambda s: s.order, *_LATE, grow=True),
+    "snk16_boleto_or_voucher": _filtered("boleto_or_voucher", lambda s: s.payment, "order_id", "payment_sequential", "payment_type"),
+    "snk16_weight_from_20": _filtered("weight_from_20", lambda s: s.product, "product_id", "product_weight_g"),
+    "snk16_score_from_4": _filtered("score_from_4", lambda s: s.products_catalog, "product_id", "avg_review_score"),
+    "snk16_product_views": _filtered("product_views", lambda s: s.event_logs, "event_id", "event_type"),
+    "r1_archive_year": _archived(False),
+    "r1_archive_late_rows": _archived(True),
     "r3_split_open_partition": on_shop(_split),
 }
 
 _DELIVERED = f"""
     SELECT order_id, order_status, {stamp('delivered_at')} AS order_delivered_customer_date FROM v_order"""
 
+_LATE_SQL = f"""
+    SELECT order_id, {stamp('delivered_at')} AS order_delivered_customer_date,
+           {stamp('estimated_at')} AS order_estimated_delivery_date FROM v_order WHERE delivered_at > estimated_at"""
+_PLACES_SQL = f"""
+    SELECT order_id, customer_id, order_status, {stamp('ts')} AS order_purchase_timestamp, year(ts) AS purchase_year,
+           CASE WHEN year(ts) = 1996 THEN 'archive' ELSE 'active' END AS place FROM v_order"""
+
 SQL = {
     "src1_csv_orders": f"""
         SELECT order_id, customer_id, order_status, {stamp('ts')} AS order_purchase_timestamp,
@@ -157,7 +186,9 @@ SQL = {
     "snk1_insert_new_stored": f"""
         SELECT order_id, order_item_id, product_id, seller_id, {dbl('price')} AS price FROM v_item
         QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY product_id, seller_id, v_item.price) = 1""",
-    "snk3_tsv": _DELIVERED,
+    "snk3_tsv": f"""
+        SELECT order_id, order_status || chr(9) || 'and' || chr(10) || 'more' || chr(92) || 'n' AS order_status,
+               {stamp('delivered_at')} AS order_delivered_customer_date FROM v_order""",
     "snk4_quoted_csv": _DELIVERED,
     "snk5_json_documents": f"""
         SELECT id AS _id, round({dbl('sum(quantity * unit_price)')}, 2) AS total FROM v_line GROUP BY 1""",
@@ -166,11 +197,15 @@ SQL = {
         WHERE ts >= TIMESTAMP '1997-10-01' AND ts < TIMESTAMP '1998-01-01'""",
     "snk15_clustered_layout": """
         SELECT order_id, customer_id FROM v_order WHERE ts >= TIMESTAMP '1998-03-01' AND ts < TIMESTAMP '1998-04-01'""",
-    "snk16_filtered_copy": f"""
-        SELECT order_id, {stamp('delivered_at')} AS order_delivered_customer_date FROM v_order WHERE delivered_at > estimated_at""",
-    "r1_archive_year": """
-        SELECT year(ts) AS purchase_year, count(*) AS filas, CASE WHEN year(ts) = 1996 THEN 'archive' ELSE 'active' END AS place
-        FROM v_order GROUP BY 1""",
+    "snk16_filtered_copy": _LATE_SQL,
+    "snk16_filtered_copy_stale": _LATE_SQL,
+    "snk16_boleto_or_voucher": """
+        SELECT order_id, seq AS payment_sequential, payment_type FROM v_payment WHERE payment_type IN ('voucher', 'boleto')""",
+    "snk16_weight_from_20": "SELECT product_id, product_weight_g FROM v_product WHERE NOT product_weight_g < 20",
+    "snk16_score_from_4": "SELECT product_id, avg_review_score FROM v_catalog WHERE NOT avg_review_score < 4",
+    "snk16_product_views": "SELECT event_id, event_type FROM v_event WHERE event_type = 'product_view'",
+    "r1_archive_year": _PLACES_SQL,
+    "r1_archive_late_rows": _PLACES_SQL,
     "r3_split_open_partition": """
         SELECT year(ts) AS purchase_year, count(*) AS filas, CAST(sum(order_id) AS BIGINT) AS ids FROM v_order GROUP BY 1""",
 }

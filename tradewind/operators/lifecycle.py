@@ -59,34 +59,41 @@ def _files(spark: SparkSession, path: str):
 def archive_year(spark: SparkSession, table_path: str, archive_path: str, year: int) -> str:
     """Move one year out of a year-partitioned table into the archive. Returns a message.
 
-    The rows are copied next to their place in the archive, counted, put in place by a rename, and
-    only then is the partition's folder removed from the table; no other year is read or rewritten. Every
-    step may be repeated after a failure: an archive that is already in place is counted again before
-    the source goes.
+    The files of the partition are listed once. Their rows that the archive does not hold yet (compared over all columns,
+    repeated rows as often as they occur) are written beside it and moved in; then the archive is checked to hold every
+    row that was read, and only then are the listed files removed. So rows that come late join what is archived, rows
+    appended meanwhile stay in the table, foreign rows in the archive stay there, and every step may be
+    repeated after a failure. No other year is read or rewritten.
     """
+    # The two messages.
     name, archived = f"order_{year}", f"arch_order_{year}"
     source, fs = _files(spark, f"{table_path}/{YEAR_COLUMN}={year}")
     target, target_fs = _files(spark, f"{archive_path}/{archived}")
-    if not fs.exists(source):
+    listed = [s.getPath() for s in fs.listStatus(source) if s.isFile()] if fs.exists(source) else []
+    data = [f for f in listed if not f.getName().startswith(("_", "."))]
+    if not data:
         return f"Partition {name} does not exist"
-    rows = spark.read.parquet(source.toString())
-    expected = rows.count()
-    if not target_fs.exists(target):
-        staging = f"{archive_path}/_staging-{uuid.uuid4().hex}"
-        rows.withColumn(YEAR_COLUMN, F.lit(year)).write.parquet(staging)
-        _same_count(spark, staging, expected)
-        target_fs.rename(_files(spark, staging)[0], target)
-    _same_count(spark, target.toString(), expected)
-    fs.delete(source, True)
+    rows = spark.read.parquet(*(f.toString() for f in data)).withColumn(YEAR_COLUMN, F.lit(year))
+    stored = spark.read.parquet(target.toString()) if target_fs.exists(target) else None
+    missing = rows if stored is None else rows.exceptAll(stored.select(*rows.columns))
+    if not missing.isEmpty():
+        staging = _files(spark, f"{archive_path}/_staging-{uuid.uuid4().hex}")[0]
+        missing.write.parquet(staging.toString())
+        target_fs.mkdirs(target)
+        for s in target_fs.listStatus(staging):
+            if s.getPath().getName().startswith("part-"):
+                target_fs.rename(s.getPath(), spark._jvm.org.apache.hadoop.fs.Path(target, s.getPath().getName()))
+        target_fs.delete(staging, True)
+        stored = spark.read.parquet(target.toString())
+    if not rows.exceptAll(stored.select(*rows.columns)).isEmpty():
+        raise RuntimeError(f"{target} does not hold every row of {source}")
+    for f in listed:
+        fs.delete(f, False)
+    if not fs.listStatus(source):
+        fs.delete(source, True)
     return f"Partition {name} archived as archive.{archived}"
 
 
-def _same_count(spark: SparkSession, path: str, expected: int) -> None:
-    found = spark.read.parquet(path).count()
-    if found != expected:
-        raise RuntimeError(f"{path} holds {found} rows, expected {expected}")
-
-
 def split_open_partition(spark: SparkSession, open_path: str, table_path: str, keys: list[str]) -> None:
     """Move rows kept in one open-ended partition into the years of the main table.
 

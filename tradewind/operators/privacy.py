@@ -13,6 +13,12 @@ def read_key(spark, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select(F.col("content").alias("key"))
 
 
+def read_secrets(spark, key_path: str, salt_path: str) -> DataFrame:
+    """Key and salt from two files, as the one-row table that ``protect_pii`` takes."""
+    salt = read_key(spark, salt_path).select(F.hex("key").alias("salt"))
+    return read_key(spark, key_path).select("key", salt.scalar().alias("salt"))
+
+
 def protect_pii(df: DataFrame, secrets: DataFrame, to_encrypt: list[str], to_hash: list[str]) -> DataFrame:
     """Encrypt some columns and replace others by salted hashes.
 

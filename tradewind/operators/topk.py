@@ -12,9 +12,13 @@ def top_per_group(df: DataFrame, keys: list[str], order: list[Column], k: int, r
     """The first ``k`` rows of every group in the given order.
 
     The filter on ``row_number`` lets every task drop all but its own first k rows of a group before
-    the shuffle, so the size of a group does not matter. ``order`` must be total to be repeatable.
+    the shuffle, so the size of a group does not matter. Spark does that up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, which is raised to k here where it is lower.
+    ``order`` must be total to be repeatable.
     """
-    name = rank or _RANK
+    name, limit = rank or _RANK, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(df.sparkSession.conf.get(limit, "1000")) < k:
+        df.sparkSession.conf.set(limit, str(k))
     ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col(name) <= k)
     return ranked if rank else ranked.drop(name)
 

@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.numeric import rounded_avg
+from tradewind.functions.numeric import rounded_avg, rounded_ratio, weighted_sum
 from tradewind.functions.temporal import month_label
 from tradewind.operators import profiling
 
-# Columns that number or identify rows and are no measures.
+# Columns that number or identify rows and are no measures.
 IDENTIFIERS = [
     "order_item_id",
     "payment_sequential",
@@ -171,6 +171,52 @@ def fact_review_score_by_category(fact: DataFrame) -> DataFrame:
     )
 
 
+def _per_order(child: DataFrame, name: str) -> DataFrame:
+    return child.groupBy("order_id").agg(F.count(F.lit(1)).alias(name))
+
+
+def sales_over_fact(
+    order: DataFrame, customer: DataFrame, payment: DataFrame, review: DataFrame, order_item: DataFrame
+) -> DataFrame:
+    """``fact_sales_by_state_and_payment`` without building the fact.
+
+    A payment stands in the fact once for every combination of its order's reviews and items: their numbers enter as a
+    weight, so an order costs the sum of its children and not their product.
+    """
+    times = F.coalesce("n_reviews", F.lit(1)) * F.coalesce("n_items", F.lit(1))
+    return (
+        order.select("order_id", "customer_id", month_label("order_purchase_timestamp").alias("month"))
+        .join(payment.select("order_id", "payment_type", "payment_value"), "order_id", "left")
+        .join(_per_order(review, "n_reviews"), "order_id", "left")
+        .join(_per_order(order_item, "n_items"), "order_id", "left")
+        .join(customer.select("customer_id", "customer_state"), "customer_id", "left")
+        .groupBy("month", "customer_state", "payment_type")
+        .agg(weighted_sum(F.col("payment_value"), times).alias("sales"), F.count_distinct("order_id").alias("orders"))
+    )
+
+
+def review_scores_over_fact(
+    order: DataFrame, payment: DataFrame, review: DataFrame, order_item: DataFrame, product: DataFrame
+) -> DataFrame:
+    """``fact_review_score_by_category`` without building the fact: payments and reviews of an order as weights."""
+    scores = review.groupBy("order_id").agg(
+        F.count("review_score").alias("n_scores"), F.sum(F.col("review_score").cast("long")).alias("sum_scores")
+    )
+    times = F.coalesce("n_payments", F.lit(1))
+    return (
+        order.select("order_id")
+        .join(_per_order(payment, "n_payments"), "order_id", "left")
+        .join(scores, "order_id", "left")
+        .join(order_item.select("order_id", "product_id"), "order_id", "left")
+        .join(product.select("product_id", F.col("category_name").alias("product_category_name")), "product_id", "left")
+        .groupBy("product_category_name")
+        .agg(
+            rounded_ratio(F.sum(F.col("sum_scores") * times), F.sum(F.col("n_scores") * times)).alias("avg_review_score"),
+            F.coalesce(F.sum(F.col("n_scores") * times), F.lit(0)).alias("reviews"),
+        )
+    )
+
+
 def review_score_by_category(order_item: DataFrame, product: DataFrame, review: DataFrame) -> DataFrame:
     """Average review score per product category, over distinct pairs of order and category.
 

@@ -290,7 +290,7 @@ def late_deliveries_by_state(order: DataFrame, order_item: DataFrame, seller: Da
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("micros").cast("decimal(20,0)")).alias("micros"))
     )
     day = F.lit(86_400_000_000).cast("decimal(12,0)")
-    days = F.sum("micros").cast("decimal(26,0)") / F.sum("n").cast("decimal(12,0)") / day
+    days = F.sum("micros").cast("decimal(30,0)") / F.sum("n").cast("decimal(19,0)") / day
     return (
         per_seller.join(seller.select("seller_id", "seller_state"), "seller_id")
         .groupBy("seller_state")
@@ -430,7 +430,7 @@ def top_customers(
             "customer_city",
             "customer_state",
             "total_orders",
-            (F.col("total_spent").cast("decimal(26,2)") * F.col("copies").cast("decimal(10,0)")).alias("total_spent"),
+            (F.col("total_spent").cast("decimal(26,2)") * F.col("copies").cast("decimal(12,0)")).alias("total_spent"),
             "last_order",
         )
         .orderBy(F.col("total_spent").desc_nulls_first(), customer_key, "customer_city", "customer_state")
@@ -457,13 +457,32 @@ def geographic_distribution(
         .join(known, "seller_id", "left")
     )
     copies = F.col("copies")
+    # rows lie by order already: one row per order and state first, then orders are counted and sellers told apart
+    per_order = rows.groupBy("customer_state", "order_id").agg(
+        weighted_sum(F.col("price"), _multiplicity() * copies).alias("revenue"),
+        F.sum(F.col("sum_scores") * copies).alias("sum_scores"),
+        F.sum(F.col("n_scores") * copies).alias("n_scores"),
+        F.collect_set("matched_seller").alias("sellers"),
+    )
+    distinct = per_order.select("customer_state", F.explode("sellers").alias("matched_seller"))
+    if not approximate_distinct:
+        distinct = distinct.distinct()
+    counted = F.approx_count_distinct("matched_seller", 0.01) if approximate_distinct else F.count("matched_seller")
+    active = distinct.groupBy(F.col("customer_state").alias("of_state")).agg(counted.alias("unique_sellers"))
     return (
-        rows.groupBy("customer_state")
+        per_order.groupBy("customer_state")
         .agg(
-            _distinct("order_id", approximate_distinct).alias("total_orders"),
-            weighted_sum(F.col("price"), _multiplicity() * copies).alias("total_revenue"),
-            rounded_ratio(F.sum(F.col("sum_scores") * copies), F.sum(F.col("n_scores") * copies)).alias("avg_review"),
-            _distinct("matched_seller", approximate_distinct).alias("unique_sellers"),
+            F.count("order_id").alias("total_orders"),
+            F.sum("revenue").alias("total_revenue"),
+            rounded_ratio(F.sum("sum_scores"), F.sum("n_scores")).alias("avg_review"),
+        )
+        .join(active, F.col("customer_state").eqNullSafe(F.col("of_state")), "left")
+        .select(
+            "customer_state",
+            "total_orders",
+            "total_revenue",
+            "avg_review",
+            F.coalesce("unique_sellers", F.lit(0)).cast("long").alias("unique_sellers"),
         )
         .orderBy(F.col("total_revenue").desc_nulls_first(), "customer_state")
     )

@@ -24,7 +24,7 @@ EVENT_TYPE = [
 
 RANGE = "struct<lower: timestamp, upper: timestamp, lower_inc: boolean, upper_inc: boolean>"
 
-# Schemas in DDL form, as ``spark.read.schema`` takes them. Column names keep the spelling of the public data set ("lenght").
+# Schemas in DDL form, as ``spark.read.schema`` takes them. Column names keep the spelling of the public data set ("lenght").
 TABLES: dict[str, str] = {
     "geolocation": (
         "zip_code_prefix string, latitude decimal(9,6), longitude decimal(9,6), city string, state string"
@@ -84,7 +84,7 @@ COLLECTIONS: dict[str, str] = {
     ),
 }
 
-# Column names of the text files, in file order; every field arrives as text.
+# Column names of the text files, in file order; every field arrives as text.
 CSV_COLUMNS: dict[str, list[str]] = {
     "geolocation": ["zip_code_prefix", "latitude", "longitude", "city", "state"],
     "product_category": ["category_name", "name_english"],
@@ -132,6 +132,7 @@ CSV_COLUMNS: dict[str, list[str]] = {
     ],
 }
 
+# Keys, required columns and references.
 PRIMARY_KEYS: dict[str, list[str]] = {
     "geolocation": ["zip_code_prefix"],
     "product_category": ["category_name"],

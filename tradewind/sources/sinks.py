@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +29,28 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+# What a text field cannot hold in a tab-separated line, and what stands for it.
+_TSV_ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
 def append_tsv(df: DataFrame, path: str) -> None:
-    """Tab-separated text without header, NULL as ``\\N``."""
-    df.write.mode("append").options(sep="\t", nullValue=NULL_MARKER, emptyValue="", header=False).csv(path)
+    """Tab-separated text without header, NULL as ``\\N``; tabs, line breaks and backslashes in texts are escaped.
+
+    One record is one line, so a file can be split; ``files.read_tsv`` reads it back.
+    """
+
+    def field(f) -> Column:
+        value = F.col(f"`{f.name}`")
+        if f.dataType.typeName() == "string":
+            for raw, escaped in _TSV_ESCAPES:
+                value = F.replace(value, F.lit(raw), F.lit(escaped))
+        elif f.dataType.typeName().startswith("timestamp"):
+            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        else:
+            value = value.cast("string")
+        return F.coalesce(value, F.lit(NULL_MARKER))
+
+    df.select(F.concat_ws("\t", *(field(f) for f in df.schema.fields)).alias("value")).write.mode("append").text(path)
 
 
 def append_quoted_csv(df: DataFrame, path: str) -> None:
@@ -60,18 +82,33 @@ def load_once(df: DataFrame, path: str) -> bool:
     return True
 
 
-def insert_new_into(incoming: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None) -> None:
-    """Append the rows whose key is not stored yet. Running it again adds nothing."""
+def insert_new_into(
+    incoming: DataFrame, path: str, keys: list[str], partition_by: list[str] | None = None, quarantine: str | None = None
+) -> int:
+    """Append the rows whose key is not stored yet. Running it again adds nothing.
+
+    Only the partitions that the incoming rows fall into are read for stored keys. Rows with a NULL in the key
+    have no place in a keyed table: they go to ``quarantine`` (a Parquet folder), or are left out where none is named. The
+    number of such rows is returned.
+    """
     spark = incoming.sparkSession
-    rows = incoming
-    if exists(spark, path):
-        rows = new_rows(spark.read.parquet(path), incoming, keys)
-    else:
-        rows = new_rows(incoming.where(F.lit(False)), incoming, keys)
-    writer = rows.write.mode("append")
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    unkeyed = incoming.where(~keyed)
+    if quarantine:
+        append(unkeyed, quarantine)
+    rows = incoming.where(keyed)
+    target = spark.read.parquet(path) if exists(spark, path) else rows.where(F.lit(False))
+    for column in partition_by or []:
+        if column in target.columns and exists(spark, path):
+            # one row per partition value; partition filters are literals, so the other folders are not listed or read
+            values = [r[0] for r in rows.select(column).distinct().collect()]
+            target = target.where(F.col(column).isin([v for v in values if v is not None]) | F.col(column).isNull())
+    fresh = new_rows(target, rows, keys)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        fresh.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("append").partitionBy(*partition_by).parquet(path)
+    else:
+        append(fresh, path)
+    return unkeyed.count()
 
 
 def with_year(order: DataFrame, column: str = "order_purchase_timestamp") -> DataFrame:
@@ -106,20 +143,57 @@ def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mod
     df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
 
 
+def _identity(df: DataFrame) -> str | None:
+    """What a frame reads: its plan, schema, and the files with sizes and times. None where it does not come from files."""
+    spark, folders = df.sparkSession, set()
+    names = df.inputFiles()
+    if not names:
+        return None
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        folders.add(name.rsplit("/", 1)[0])
+    wanted, seen = set(names), []
+    for folder in sorted(folders):
+        where = path(folder)
+        for s in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
+            seen.append(f"{s.getPath().toString()} {s.getLen()} {s.getModificationTime()}")
+    digest = hashlib.sha256("\n".join([*sorted(seen), *sorted(wanted)]).encode()).hexdigest()
+    return f"{digest} {df.semanticHash()} {df.schema.simpleString()}"
+
+
+def _manifest(spark: SparkSession, folder: str, name: str) -> str:
+    return f"{folder}/{name}.manifest"
+
+
 def write_filtered(df: DataFrame, name: str, folder: str, mode: str = "overwrite") -> None:
-    """Store only the rows of a named filter."""
+    """Store only the rows of a named filter, and beside them what they were taken from.
+
+    The manifest is removed first and written last, so an unfinished copy has none.
+    """
+    spark = df.sparkSession
+    manifest, before = _manifest(spark, folder, name), _identity(df)
+    where = spark._jvm.org.apache.hadoop.fs.Path(manifest)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
     df.where(F.expr(NAMED_FILTERS[name])).write.mode(mode).parquet(f"{folder}/{name}")
+    if before and before == _identity(df):
+        # one row: the filter and the identity of the table at that time
+        row = spark.createDataFrame([(NAMED_FILTERS[name], before)], "predicate string, identity string")
+        row.coalesce(1).write.parquet(manifest)
 
 
 def read_filtered(spark: SparkSession, full: DataFrame, predicate: str, folder: str) -> DataFrame:
     """Rows satisfying a predicate, from a stored filtered copy if one covers it.
 
-    A copy covers a predicate that is its own filter, or compares the same column with a bound that is
-    at least as strict. Anything else reads the full table.
+    A copy covers a predicate that is its own filter, or compares the same column with a bound that is at least as
+    strict. It is used only if it is complete and was taken from this table as it is now: the same plan, columns and
+    files. Anything else reads the full table.
     """
-    for name, stored in NAMED_FILTERS.items():
-        if implies(predicate, stored) and exists(spark, f"{folder}/{name}"):
-            return spark.read.parquet(f"{folder}/{name}").where(F.expr(predicate))
+    for name, filter_text in NAMED_FILTERS.items():
+        manifest = _manifest(spark, folder, name)
+        if implies(predicate, filter_text) and exists(spark, f"{folder}/{name}/_SUCCESS") and exists(spark, f"{manifest}/_SUCCESS"):
+            noted = spark.read.parquet(manifest).first()
+            if noted and noted["predicate"] == filter_text and noted["identity"] == _identity(full):
+                return spark.read.schema(full.schema).parquet(f"{folder}/{name}").where(F.expr(predicate))
     return full.where(F.expr(predicate))
 
 
@@ -141,8 +215,3 @@ def implies(predicate: str, stored: str) -> bool:
     if a is None or b is None or a[0] != b[0]:
         return False
     return a[1] > b[1] or (a[1] == b[1] and (a[2] or not b[2]))
-
-
-def late_order(delivered: str = "order_delivered_customer_date", estimated: str = "order_estimated_delivery_date") -> Column:
-    """The late-order filter as a column."""
-    return F.col(delivered) > F.col(estimated)
