@@ -73,6 +73,25 @@ def test_one_of_each(spark, awkward):
     assert kept.where("doc_id in (2, 3)").count() == 0  # no words, as doc 1
 
 
+def test_copies_with_changed_words(spark):
+    import random
+
+    pick = random.Random(6)
+    rows = []
+    for i in range(60):
+        words = [f"w{pick.randrange(3000)}" for _ in range(500)]
+        rows.append((i, " ".join(words)))
+        for at in pick.sample(range(500), 2):
+            words[at] = "changed"
+        rows.append((1000 + i, " ".join(words)))
+        rows.append((2000 + i, " ".join(words[:250] + [f"v{pick.randrange(3000)}" for _ in range(250)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r["copy_of"] for r in S.copies(docs).collect()}
+    near = [i for i in found if 1000 <= i < 2000]
+    assert len(near) >= 54 and all(found[i] == i - 1000 for i in near)
+    assert set(found) == set(near)
+
+
 def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(0, 400)] + [(1000, 2000), (2000, 1000), (7, 7), (None, 3)]
     frame = spark.createDataFrame(links, "a long, b long")
