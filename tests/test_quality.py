@@ -115,6 +115,24 @@ def test_exact_quantiles(spark, n, kind, monkeypatch):
         assert got["y", p] == 1.0
 
 
+@pytest.mark.parametrize("kind", ["spread", "ties", "wide"])
+def test_quantiles_when_brackets_miss_or_are_large(spark, kind, monkeypatch):
+    rng = random.Random(8)
+    draw = {
+        "spread": lambda: rng.gauss(0, 1),
+        "ties": lambda: 3.0 if rng.random() < 0.7 else float(rng.randint(0, 9)),
+        "wide": lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300),
+    }[kind]
+    data = [draw() for _ in range(5000)]
+    monkeypatch.setattr(P, "SKETCH_ACCURACY", 5)  # the sketch is far off
+    monkeypatch.setattr(P, "_SLACK", 0.0)
+    monkeypatch.setattr(P, "INSIDE", 20)
+    df = spark.createDataFrame([(x,) for x in data], "x double")
+    got = {r[1]: r[2] for r in P.exact_quantiles(df, ["x"], [0.1, 0.37, 0.75]).collect()}
+    for p, value in got.items():
+        assert math.isclose(value, np.quantile(data, p), rel_tol=1e-9, abs_tol=1e-300)
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(i, float(i % 10)) for i in range(100)] + [(100, 500.0)], "order_item_id int, price double")
     out = P.outliers(df, E.IDENTIFIERS).collect()

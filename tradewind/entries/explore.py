@@ -12,7 +12,7 @@ from tradewind.entries.views import avg, dbl, stamp, with_views
 from tradewind.functions.temporal import parse_timestamp
 from tradewind.operators import quality as Q
 from tradewind.operators.privacy import protect_pii, read_secrets, reveal
-from tradewind.operators.profiling import inclusion
+from tradewind.operators.profiling import inclusion, outlier_rows
 from tradewind.operators.upsert import insert_new
 from tradewind.plans import explore as E
 from tradewind.session import workspace
@@ -25,6 +25,7 @@ PROFILED: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
         "v_customer",
         {
             "customer_id": ("customer_id", "n"),
+            "customer_unique_id": ("customer_unique_id", "n"),
             "zip_code_prefix": ("zip_code_prefix", "n"),
             "customer_city": ("customer_city", "t"),
             "customer_state": ("customer_state", "t"),
@@ -44,14 +45,19 @@ PROFILED: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
         "v_order",
         {
             "order_id": ("order_id", "n"),
+            "customer_id": ("customer_id", "n"),
             "order_status": ("order_status", "t"),
             "order_purchase_timestamp": ("ts", "t"),
             "order_delivered_customer_date": ("delivered_at", "t"),
+            "order_estimated_delivery_date": ("estimated_at", "t"),
         },
     ),
     "order_item": (
         "v_item",
         {
+            "order_id": ("order_id", "n"),
+            "order_purchase_timestamp": ("ts", "t"),
+            "shipping_limit_date": ("shipping_limit_date", "t"),
             "order_item_id": ("order_item_id", "n"),
             "product_id": ("product_id", "n"),
             "seller_id": ("seller_id", "n"),
@@ -62,6 +68,8 @@ PROFILED: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
     "payment": (
         "v_payment",
         {
+            "order_id": ("order_id", "n"),
+            "order_purchase_timestamp": ("ts", "t"),
             "payment_sequential": ("seq", "n"),
             "payment_type": ("payment_type", "t"),
             "payment_installments": ("payment_installments", "n"),
@@ -71,8 +79,10 @@ PROFILED: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
     "product": (
         "v_product",
         {
+            "product_id": ("product_id", "n"),
             "category_name": ("category_name", "t"),
             "name": ("name", "t"),
+            "specifications": ("specifications", "t"),
             "product_weight_g": ("product_weight_g", "n"),
             "product_height_cm": ("product_height_cm", "n"),
         },
@@ -81,11 +91,20 @@ PROFILED: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
         "v_category",
         {"category_name": ("category_name", "t"), "name_english": ("name_english", "t")},
     ),
-    "review": ("v_review", {"review_id": ("review_id", "n"), "review_score": ("review_score", "n")}),
+    "review": (
+        "v_review",
+        {
+            "review_id": ("review_id", "n"),
+            "order_id": ("order_id", "n"),
+            "order_purchase_timestamp": ("ts", "t"),
+            "review_score": ("review_score", "n"),
+        },
+    ),
     "seller": (
         "v_seller",
         {
             "seller_id": ("seller_id", "n"),
+            "zip_code_prefix": ("zip_code_prefix", "n"),
             "seller_city": ("seller_city", "t"),
             "seller_state": ("seller_state", "t"),
         },
@@ -259,6 +278,14 @@ QUERIES = {
     "e5_outliers": on_shop(
         lambda s: _rounded(E.outlier_report(_profiled(s)), 4, "lower_bound", "upper_bound")
     ),
+    "q9_outlier_rows": on_shop(
+        lambda s: _rounded(
+            outlier_rows(s.event_logs.select("event_id", "value"), "value"),
+            4,
+            "lower_bound",
+            "upper_bound",
+        )
+    ),
     "e6_orders_per_month": on_shop(lambda s: E.orders_per_month(s.order)),
     "e7a_place_per_zip_customer": on_shop(
         lambda s: _rounded(
@@ -498,6 +525,11 @@ SQL = {
     "e4b_sellers_per_state": """
         SELECT seller_state, count(*) AS count FROM v_seller GROUP BY 1 ORDER BY count DESC, seller_state LIMIT 5""",
     "e5_outliers": _outliers_sql(),
+    "q9_outlier_rows": """
+        SELECT event_id, value, round(lo, 4) AS lower_bound, round(hi, 4) AS upper_bound
+        FROM v_event, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM (
+            SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM v_event))
+        WHERE value < lo OR value > hi""",
     "e6_orders_per_month": "SELECT strftime(ts, '%Y-%m') AS month, count(*) AS count FROM v_order GROUP BY 1",
     "e7a_place_per_zip_customer": _zip_sql("customer"),
     "e7b_place_per_zip_seller": _zip_sql("seller"),

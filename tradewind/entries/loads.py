@@ -136,25 +136,34 @@ def _pairs_column(s: Shop) -> DataFrame:
     )
 
 
+def _feed(raw: DataFrame) -> DataFrame:
+    """Events under the event log's names."""
+    return raw.select(
+        "event_id", F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").alias("customer_unique_id"), "event_type"
+    )
+
+
 def _stream(s: Shop) -> DataFrame:
-    """The events file as a stream, under the event log's names."""
-    spark = s.order.sparkSession
+    """The events file as a stream."""
     raw = (
-        spark.readStream.schema(s.table("events").schema)
+        s.order.sparkSession.readStream.schema(s.table("events").schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(s._folder)
     )
-    return raw.select(
-        "event_id", F.col("ts").cast("timestamp").alias("timestamp"), F.col("user_id").alias("customer_unique_id"), "event_type"
-    )
+    return _feed(raw)
 
 
 def _windowed(s: Shop) -> DataFrame:
-    return S.run_available(s.order.sparkSession, S.event_counts(_stream(s)), "event-counts")
+    """Closed windows as the stream delivers them, and the open ones."""
+    closed = S.run_available(s.order.sparkSession, S.event_counts(_stream(s)), "event-counts")
+    end = F.col("window_start") + F.expr("interval 1 hour")
+    return S.with_open(closed, _feed(s.table("events")), S.event_counts, ["window_start", "event_type"], end, "10 minutes")
 
 
 def _sessions(s: Shop) -> DataFrame:
-    return S.run_available(s.order.sparkSession, S.session_summaries(_stream(s)), "sessions")
+    closed = S.run_available(s.order.sparkSession, S.session_summaries(_stream(s)), "sessions")
+    keys = ["customer_unique_id", "session_start"]
+    return S.with_open(closed, _feed(s.table("events")), S.session_summaries, keys, F.col("session_end"), "10 minutes")
 
 
 def _ingested(s: Shop) -> DataFrame:
@@ -265,9 +274,10 @@ SQL = {
         SELECT s_suppkey, s_suppkey % 7 AS shipping_days, 'true' AS accepts_returns FROM supplier""",
     # Windows still open when the stream stops are not emitted.
     "st1_event_counts": f"""
-        SELECT {stamp("time_bucket(INTERVAL '1 hour', ts)")} AS window_start, event_type, count(*) AS count FROM events
-        WHERE time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1' HOUR <= (SELECT max(ts) FROM events) - INTERVAL '10' MINUTE
-        GROUP BY 1, 2""",
+        SELECT {stamp("time_bucket(INTERVAL '1 hour', ts)")} AS window_start, event_type, count(*) AS count,
+               max(time_bucket(INTERVAL '1 hour', ts)) + INTERVAL '1' HOUR
+                   > (SELECT max(ts) FROM events) - INTERVAL '10' MINUTE AS open
+        FROM events GROUP BY 1, 2""",
     "st2_session_summaries": f"""
         WITH marked AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL '30' MINUTE
                                                  THEN 0 ELSE 1 END AS fresh FROM events),
@@ -275,8 +285,8 @@ SQL = {
                      FROM marked),
         runs AS (SELECT user_id, min(ts) AS a, max(ts) + INTERVAL '30' MINUTE AS b, count(*) AS events
                  FROM numbered GROUP BY user_id, n)
-        SELECT user_id AS customer_unique_id, {stamp('a')} AS session_start, {stamp('b')} AS session_end, events FROM runs
-        WHERE b <= (SELECT max(ts) FROM events) - INTERVAL '10' MINUTE""",
+        SELECT user_id AS customer_unique_id, {stamp('a')} AS session_start, {stamp('b')} AS session_end, events,
+               b > (SELECT max(ts) FROM events) - INTERVAL '10' MINUTE AS open FROM runs""",
     "st3_deduplicated_ingest": f"""
         SELECT event_id, {stamp('ts')} AS timestamp, {stamp("ts + INTERVAL '90' DAY")} AS ttl_expire FROM events""",
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import itertools
+import math
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,84 +79,149 @@ def mode_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFr
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``column_name, probability, value``.
 
-    A bounded sketch narrows every quantile to a bracket of values. A second pass counts what lies
-    below the bracket and finds the values adjoining it; a third ranks only the values inside. So
-    nothing holds all distinct values of a column in one place, which the built-in exact percentile
-    does, and only a sliver of the rows is shuffled.
+    1. One pass makes bounded sketches of all columns; each quantile gets a bracket of values around it.
+    2. One pass counts the rows below and inside every bracket. Where the rank lies outside, the bracket is widened to the
+       end of the column on that side. Where more than ``INSIDE`` rows are inside, a pass counts them in equal parts of the
+       bracket, and the parts that hold the rank become the bracket; this repeats until few rows, or one value, are left.
+    3. One pass counts the distinct values that are left inside the brackets.
+
+    The counts of a pass are a few numbers per quantile. So no task and not the driver ever holds more than the values
+    of small brackets, and the result does not depend on how good the sketch is. Columns without values give NULL.
     """
-    spread: list[float] = sorted(
-        {min(1.0, max(0.0, p + d)) for p in probabilities for d in (-_SLACK, _SLACK)}
-    )
     values = {c: F.col(c).cast("double") for c in columns}
-    targets = list(itertools.product(columns, probabilities))
-    sketches = df.agg(*[F.percentile_approx(values[c], spread, SKETCH_ACCURACY).alias(c) for c in columns])
-    rows = df.select(*columns, sketches.select(F.struct(*columns)).scalar().alias("_b"))
-
-    def bracket(c: str, p: float) -> tuple[Column, Column]:
-        low = spread.index(min(1.0, max(0.0, p - _SLACK)))
-        high = spread.index(min(1.0, max(0.0, p + _SLACK)))
-        return F.col("_b")[c][low], F.col("_b")[c][high]
-
-    def entry(c: str, p: float, side: int, n: Column, x: Column, total: Column) -> Column:
-        return F.struct(
-            F.lit(c).alias("column_name"),
-            F.lit(p).alias("probability"),
-            F.lit(side).alias("side"),
-            n.alias("n"),
-            x.alias("x"),
-            total.alias("total"),
-        )
-
-    counts = rows.agg(
+    spread = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-_SLACK, _SLACK)})
+    row = df.agg(
         *[
             F.struct(
-                F.count(F.when(values[c] < bracket(c, p)[0], 1)).alias("below"),
-                F.max(F.when(values[c] < bracket(c, p)[0], values[c])).alias("last"),
-                F.min(F.when(values[c] > bracket(c, p)[1], values[c])).alias("next"),
+                F.percentile_approx(values[c], spread, SKETCH_ACCURACY).alias("sketch"),
                 F.count(values[c]).alias("total"),
-            ).alias(f"t{i}")
-            for i, (c, p) in enumerate(targets)
+                F.min(values[c]).alias("low"),
+                F.max(values[c]).alias("high"),
+            ).alias(f"c{i}")
+            for i, c in enumerate(columns)
         ]
-    )
-    nothing = F.lit(None).cast("bigint")
-    edges = [
-        e
-        for i, (c, p) in enumerate(targets)
-        for e in (
-            # A rank next to the bracket on either side takes the value adjoining it; how many rows
-            # follow the one above does not matter.
-            entry(c, p, -1, F.col(f"t{i}.below"), F.col(f"t{i}.last"), F.col(f"t{i}.total")),
-            entry(c, p, 1, F.col(f"t{i}.total"), F.col(f"t{i}.next"), F.col(f"t{i}.total")),
-        )
-    ]
-    inside = [
-        F.when(values[c].between(*bracket(c, p)), entry(c, p, 0, F.lit(1).cast("bigint"), values[c], nothing))
-        for c, p in targets
+    ).first()
+    targets = []
+    for i, c in enumerate(columns):
+        found = row[f"c{i}"]
+        for p in probabilities if found["total"] else ():
+            at = (found["total"] - 1) * p
+            low = found["sketch"][spread.index(min(1.0, max(0.0, p - _SLACK)))]
+            high = found["sketch"][spread.index(min(1.0, max(0.0, p + _SLACK)))]
+            targets.append(_Target(c, p, at, low, high, found["low"], found["high"], found["total"]))
+    _count_brackets(df, values, targets)
+    while wide := [t for t in targets if t.ends is None and t.inside > INSIDE and t.low < t.high]:
+        _narrow(df, values, wide)
+    _count_values(df, values, [t for t in targets if t.ends is None and t.low < t.high])
+    results = [(t.column, float(t.probability), t.value()) for t in targets]
+    done = {t.column for t in targets}
+    results += [(c, float(p), None) for c in columns if c not in done for p in probabilities]
+    return df.sparkSession.createDataFrame(results, "column_name string, probability double, value double")
+
+
+#: Rows inside a bracket up to which its values are fetched, and the parts a larger one is cut into.
+INSIDE = 20_000
+PARTS = 256
+
+
+@dataclass(eq=False)
+class _Target:
+    """A quantile and the bracket of values that holds its ranks."""
+
+    column: str
+    probability: float
+    at: float
+    low: float
+    high: float
+    least: float
+    most: float
+    total: int
+    below: int = 0
+    inside: int = 0
+    ends: tuple[float, float] | None = None
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        first = math.floor(self.at)
+        return first, min(first + 1, self.total - 1)
+
+    def holds(self) -> bool:
+        first, last = self.ranks
+        return self.below <= first and last < self.below + self.inside
+
+    def value(self) -> float:
+        a, b = self.ends or (self.low, self.high)
+        return a + (b - a) * (self.at - math.floor(self.at))
+
+
+def _count_brackets(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
+    """Rows below and inside every bracket; brackets that miss their ranks are widened and counted again."""
+    pending = list(targets)
+    while pending:
+        row = df.agg(
+            *[
+                F.struct(
+                    F.count_if(values[t.column] < t.low).alias("below"),
+                    F.count_if(values[t.column].between(t.low, t.high)).alias("inside"),
+                ).alias(f"t{i}")
+                for i, t in enumerate(pending)
+            ]
+        ).first()
+        missed = []
+        for i, t in enumerate(pending):
+            t.below, t.inside = row[f"t{i}"]["below"], row[f"t{i}"]["inside"]
+            if not t.holds():
+                t.low, t.high = (t.least if t.below > t.ranks[0] else t.low), (t.most if t.below + t.inside <= t.ranks[1] else t.high)
+                missed.append(t)
+        pending = missed
+
+
+def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
+    """Cut each bracket into equal parts and keep those that hold its ranks."""
+    parts = []
+    for i, t in enumerate(targets):
+        x = values[t.column]
+        share = (x / 2 - t.low / 2) / (t.high / 2 - t.low / 2)  # halves: the width itself may be too large a number
+        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
+        parts.append(F.when(x.between(t.low, t.high), F.struct(F.lit(i).alias("i"), part.alias("part"), x.alias("x"))))
+    rows = df.select(F.inline(F.array_compact(F.array(*parts))))
+    counted = rows.groupBy("i", "part").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    by_target: dict[int, list] = {}
+    for r in counted.collect():  # at most PARTS rows for each target
+        by_target.setdefault(r["i"], []).append(r)
+    for i, t in enumerate(targets):
+        upto, kept = t.below, []
+        for r in sorted(by_target[i], key=lambda r: r["part"]):
+            if upto + r["n"] > t.ranks[0] and upto <= t.ranks[1]:
+                kept.append((upto, r))
+            upto += r["n"]
+        t.below, t.inside = kept[0][0], sum(r["n"] for _, r in kept)
+        t.low, t.high = kept[0][1]["low"], kept[-1][1]["high"]
+        if len(kept) == 2 and t.inside > INSIDE:
+            # the two ranks lie on both sides of a cut: the greatest value below it and the least above it
+            t.ends = kept[0][1]["high"], kept[1][1]["low"]
+
+
+def _count_values(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
+    """The values at the ranks, from the distinct values inside small brackets."""
+    if not targets:
+        return
+    entries = [
+        F.when(values[t.column].between(t.low, t.high), F.struct(F.lit(i).alias("i"), values[t.column].alias("x")))
+        for i, t in enumerate(targets)
     ]
-    keys = ["column_name", "probability"]
-    ranked_values = (
-        rows.select(F.inline(F.array_compact(F.array(*inside))))
-        .groupBy(*keys, "side", "x")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("total", nothing)
-        .unionByName(counts.select(F.inline(F.array(*edges))))
-    )
-    key = Window.partitionBy(*keys)
-    ranked = (
-        ranked_values.withColumn("upto", F.sum("n").over(key.orderBy("side", "x").rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.max("total").over(key))
-        .withColumn("at", (F.col("total") - 1) * F.col("probability"))
-        .withColumn("first", F.col("upto") - F.col("n"))
-    )
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("first") <= rank) & (rank < F.col("upto")), F.col("x")))
-
-    lower, upper = F.floor("at"), F.least(F.floor("at") + 1, F.col("total") - 1)
-    found = ranked.groupBy(*keys).agg(
-        value_at(lower).alias("a"), value_at(upper).alias("b"), F.max(F.col("at") - F.floor("at")).alias("t")
-    )
-    return found.select(*keys, (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("value"))
+    counted = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
+    by_target: dict[int, list[tuple[float, int]]] = {}
+    for r in counted.collect():  # at most INSIDE rows for each target
+        by_target.setdefault(r["i"], []).append((r["x"], r["n"]))
+    for i, t in enumerate(targets):
+        found, upto = {}, t.below
+        for x, n in sorted(by_target[i]):
+            for rank in t.ranks:
+                if upto <= rank < upto + n:
+                    found[rank] = x
+            upto += n
+        t.ends = found[t.ranks[0]], found[t.ranks[1]]
 
 
 def _quantiles_by_column(df: DataFrame, columns: list[str], probabilities: dict[str, float], approximate: bool) -> DataFrame:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +53,14 @@ def local_session(cpus: int | str = "*", memory: str = "8g", app: str = "tradewi
     return spark
 
 
+@cache
+def _own_folder() -> str:
+    """A folder for this process alone, removed when it ends; for local sessions that name no shared folder."""
+    folder = tempfile.mkdtemp(prefix="tradewind-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def workspace(spark: SparkSession, purpose: str) -> str:
     """A fresh path under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -60,5 +71,5 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tradewind-")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -6,7 +6,7 @@ drives a stream over what is there now and stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.temporal import plus
@@ -57,3 +57,17 @@ def run_available(spark: SparkSession, stream: DataFrame, purpose: str) -> DataF
     )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
+def with_open(delivered: DataFrame, events: DataFrame, build, keys: list[str], end: Column, lateness: str) -> DataFrame:
+    """What a run has delivered, and what is still in its state, with a flag ``open``.
+
+    Windows and sessions that the watermark has not passed stay in the state of the stream until later events close them.
+    They are computed here from ``events``, the batch frame of all input, by the same function: rows that are not delivered
+    and end after the watermark, which is the latest event less the lateness. Nothing of the stream's state changes, so
+    the next run delivers them as usual.
+    """
+    latest = events.select((F.max("timestamp") - F.expr(f"interval {lateness}")).alias("passed")).scalar()
+    current = build(events).withColumn("_passed", latest).where(end > F.col("_passed")).drop("_passed")
+    pending = current.join(delivered.select(*keys), keys, "left_anti")
+    return delivered.withColumn("open", F.lit(False)).unionByName(pending.withColumn("open", F.lit(True)))
