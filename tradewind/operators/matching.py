@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,8 @@ def trigram_match(
     Equal texts on one side are one text here; join the result back for rows. Two sets that reach the
     threshold share at least one of the rarest trigrams of each: of a set of n only the
     ``n - ceil(threshold * n) + 1`` rarest need to be looked at. So a trigram that most texts contain
-    is never used to form pairs, and pairs of very different size are dropped before they are compared.
+    is never used to form pairs. Texts meet only within classes of similar size, and only if what is left of
+    both sets behind the shared trigram could still reach the threshold.
     """
     if not 0 < threshold <= 1:
         raise ValueError("threshold must be above 0 and at most 1")
@@ -48,16 +51,23 @@ def trigram_match(
         return (
             df.select("t", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
             .join(frequency, "gram")
-            .withColumn("at", F.row_number().over(order))
-            .where(F.col("at") <= keep)
-            .select("gram", F.col("t").alias(f"{prefix}t"), F.col("n").alias(f"{prefix}n"))
+            .withColumn("place", F.row_number().over(order))
+            .where(F.col("place") <= keep)
+            .select("gram", F.col("t").alias(f"{prefix}t"), F.col("n").alias(f"{prefix}n"), F.col("place").alias(f"{prefix}p"))
         )
 
+    # sizes of a matching pair differ by a factor of 1 / threshold at most: one class, or two neighbouring ones
+    def size_class(n: str) -> Column:
+        return F.col(n) if threshold == 1 else F.floor(F.log(F.col(n)) / -math.log(threshold) + _TINY)
+
+    sized = rare(a, "a").withColumn("class", F.explode(F.array(*(size_class("an").cast("long") + d for d in (-1, 0, 1)))))
     small, large = F.least("an", "bn"), F.greatest("an", "bn")
+    # at the first shared trigram in the common order, the shared part is at most it and the shorter rest
+    reachable = 1 + F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp"))
     candidates = (
-        rare(a, "a")
-        .join(rare(b, "b"), "gram")
+        sized.join(rare(b, "b").withColumn("class", size_class("bn").cast("long")), ["gram", "class"])
         .where(small >= large * threshold - _TINY)
+        .where(reachable >= (F.col("an") + F.col("bn")) * (threshold / (1 + threshold)) - _TINY)
         .select("at", "bt")
         .distinct()
     )
