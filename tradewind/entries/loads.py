@@ -27,7 +27,7 @@ def _upserted(s: Shop) -> DataFrame:
     return insert_new(insert_new(raised.where(F.lit(False)), raised, _ITEM), items, _ITEM)
 
 
-def _raw_geolocation(s: Shop) -> DataFrame:
+def raw_geolocation(s: Shop) -> DataFrame:
     text = lambda c: F.col(c).cast("decimal(9,6)").cast("string")
     return s.geolocation.select(
         F.col("geolocation_zip_code_prefix").alias("zip_code_prefix"),
@@ -38,7 +38,7 @@ def _raw_geolocation(s: Shop) -> DataFrame:
     )
 
 
-def _raw_products(s: Shop) -> DataFrame:
+def raw_products(s: Shop) -> DataFrame:
     key, size = F.col("p_partkey"), F.col("p_size").cast("string")
     weight = (
         F.when(key % 7 == 0, "").when(key % 5 == 0, "0").when(key % 11 == 0, "-1").otherwise(F.concat(size, F.lit("00")))
@@ -60,7 +60,7 @@ def _translation(s: Shop) -> DataFrame:
     return s.product_category.where(F.col("category_name") != "PROMO")
 
 
-def _raw_items(s: Shop) -> DataFrame:
+def raw_items(s: Shop) -> DataFrame:
     """Item rows as text; every 23rd names an order that does not exist."""
     key = F.col("l_orderkey")
     return s.table("lineitem").select(
@@ -175,19 +175,19 @@ def _ingested(s: Shop) -> DataFrame:
 
 QUERIES = {
     "snk1_insert_new": on_shop(_upserted),
-    "snk2_first_place_per_zip": on_shop(lambda s: L.clean_geolocation(_raw_geolocation(s))),
+    "snk2_first_place_per_zip": on_shop(lambda s: L.clean_geolocation(raw_geolocation(s))),
     "snk7_clean_product": on_shop(
         lambda s: with_nulls(
-            L.clean_product(_raw_products(s)), "product_name_lenght", "product_description_lenght", "product_photos_qty"
+            L.clean_product(raw_products(s)), "product_name_lenght", "product_description_lenght", "product_photos_qty"
         )
     ),
     "snk9a_items_with_order_time": on_shop(
-        lambda s: L.clean_order_item(_raw_items(s), s.order).drop("shipping_limit_date")
+        lambda s: L.clean_order_item(raw_items(s), s.order).drop("shipping_limit_date")
     ),
     "snk9b_items_with_order_time_left": on_shop(
-        lambda s: L.clean_order_item(_raw_items(s), s.order, "left").drop("shipping_limit_date")
+        lambda s: L.clean_order_item(raw_items(s), s.order, "left").drop("shipping_limit_date")
     ),
-    "snk10_catalog_documents": on_shop(lambda s: L.catalog_documents(_raw_products(s), _translation(s))),
+    "snk10_catalog_documents": on_shop(lambda s: L.catalog_documents(raw_products(s), _translation(s))),
     "snk11_category_master": on_shop(
         lambda s: L.category_master(_translation(s), s.product)
     ),

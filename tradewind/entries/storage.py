@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.entries import on_shop
+from tradewind.entries import loads, on_shop, with_nulls
+from tradewind.entries.loads import raw_geolocation, raw_items, raw_products
 from tradewind.entries.views import dbl, stamp, with_views
 from tradewind.functions.temporal import half_open
 from tradewind.operators.lifecycle import archive_year, split_open_partition
 from tradewind.plans.catalog import cart_totals
 from tradewind.plans.reports import ORDER_KEY
+from tradewind.schemas import CSV_COLUMNS
 from tradewind.session import workspace
 from tradewind.sources import files, load, sinks
 from tradewind.sources.star_views import Shop
@@ -47,6 +49,42 @@ def _csv_orders(s: Shop) -> DataFrame:
     )
 
 
+def _csv(table: str, raw, clean, *numbers: str):
+    """A table's rows as text go into a CSV file with a header and are loaded again; ``numbers`` are compared as numbers."""
+
+    def build(s: Shop) -> DataFrame:
+        spark, path = s.order.sparkSession, workspace(s.order.sparkSession, f"csv-{table}")
+        text = raw(s).select(*(F.col(c).cast("string") for c in CSV_COLUMNS[table]))
+        text.write.options(header=True, quoteAll=True, escape='"').csv(path)
+        loaded = clean(s, files.read_raw(spark, path, table))
+        return with_nulls(loaded.withColumns({c: F.col(c).cast("bigint") for c in numbers if c in loaded.columns}), *numbers)
+
+    return on_shop(build)
+
+
+def _raw_reviews(s: Shop) -> DataFrame:
+    """Reviews with a message of two lines, with a comma and quotes."""
+    when = F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return s.review.select(
+        "*",
+        F.lit(None).cast("string").alias("review_comment_title"),
+        F.concat(F.lit('first, "line"\nsecond '), F.col("order_id").cast("string")).alias("review_comment_message"),
+        when.alias("review_creation_date"),
+        F.lit("not a time").alias("review_answer_timestamp"),
+    )
+
+
+def _review_out(s: Shop, raw: DataFrame) -> DataFrame:
+    cleaned = load.clean_review(raw.withColumn("order_id", F.col("order_id").cast("bigint")), s.order)
+    return with_nulls(cleaned, "review_score").withColumn(
+        "review_comment_message", F.replace("review_comment_message", F.lit("\n"), F.lit("|"))
+    )
+
+
+def _child(clean):
+    return lambda s, raw: clean(raw.withColumn("order_id", F.col("order_id").cast("bigint")), s.order)
+
+
 def _deliveries(s: Shop) -> DataFrame:
     return s.order.select("order_id", "order_status", "order_delivered_customer_date")
 
@@ -151,6 +189,28 @@ def _split(s: Shop) -> DataFrame:
 
 QUERIES = {
     "src1_csv_orders": on_shop(_csv_orders),
+    "src1_csv_customers": _csv(
+        "customer", lambda s: s.customer, lambda s, raw: load.clean_customer(raw), "customer_id", "customer_unique_id", "zip_code_prefix"
+    ),
+    "src1_csv_sellers": _csv("seller", lambda s: s.seller, lambda s, raw: raw, "seller_id", "zip_code_prefix"),
+    "src1_csv_categories": _csv("product_category", lambda s: s.product_category, lambda s, raw: raw),
+    "src1_csv_products": _csv(
+        "product",
+        raw_products,
+        lambda s, raw: load.clean_product(raw),
+        "product_id",
+        "product_name_lenght",
+        "product_description_lenght",
+        "product_photos_qty",
+    ),
+    "src1_csv_geolocation": _csv(
+        "geolocation", raw_geolocation, lambda s, raw: load.clean_geolocation(raw), "zip_code_prefix"
+    ),
+    "src1_csv_items": _csv("order_item", raw_items, _child(load.clean_order_item), "product_id", "seller_id", "order_item_id"),
+    "src1_csv_payments": _csv(
+        "payment", lambda s: s.payment, _child(load.clean_payment), "payment_sequential", "payment_installments"
+    ),
+    "src1_csv_reviews": _csv("review", _raw_reviews, _review_out, "review_id"),
     "snk1_insert_new_stored": on_shop(_inserted_twice),
     "snk3_tsv": on_shop(_tsv),
     "snk4_quoted_csv": on_shop(_quoted),
@@ -183,6 +243,31 @@ SQL = {
         SELECT order_id, customer_id, order_status, {stamp('ts')} AS order_purchase_timestamp,
                NULL::VARCHAR AS order_approved_at, {stamp('delivered_at')} AS order_delivered_customer_date,
                {stamp('estimated_at')} AS order_estimated_delivery_date FROM v_order""",
+    "src1_csv_customers": f"""
+        SELECT {dbl('customer_id')} AS customer_id, {dbl('customer_unique_id')} AS customer_unique_id,
+               {dbl('zip_code_prefix')} AS zip_code_prefix, customer_city, customer_state FROM v_customer""",
+    "src1_csv_sellers": f"""
+        SELECT {dbl('seller_id')} AS seller_id, {dbl('zip_code_prefix')} AS zip_code_prefix, seller_city, seller_state
+        FROM v_seller""",
+    "src1_csv_categories": "SELECT category_name, name_english FROM v_category",
+    "src1_csv_products": loads.SQL["snk7_clean_product"].replace("p_partkey AS product_id", "CAST(p_partkey AS DOUBLE) AS product_id"),
+    "src1_csv_geolocation": loads.SQL["snk2_first_place_per_zip"].replace(
+        "zip AS zip_code_prefix,", "CAST(zip AS DOUBLE) AS zip_code_prefix,"
+    ),
+    "src1_csv_items": f"""
+        SELECT l_orderkey AS order_id, {dbl('l_linenumber')} AS order_item_id, {dbl('l_partkey')} AS product_id,
+               {dbl('l_suppkey')} AS seller_id, {stamp('l_shipdate')} AS shipping_limit_date,
+               {dbl('CAST(l_extendedprice AS DECIMAL(12,2))')} AS price,
+               {dbl('CAST(l_quantity AS DECIMAL(10,2))')} AS freight_value, {stamp('ts')} AS order_purchase_timestamp
+        FROM lineitem JOIN v_order ON order_id = l_orderkey WHERE l_orderkey % 23 <> 0""",
+    "src1_csv_payments": f"""
+        SELECT order_id, {dbl('seq')} AS payment_sequential, payment_type, {dbl('payment_installments')} AS payment_installments,
+               {dbl('payment_value')} AS payment_value, {stamp('ts')} AS order_purchase_timestamp FROM v_payment""",
+    "src1_csv_reviews": f"""
+        SELECT {dbl('review_id')} AS review_id, order_id, {dbl('review_score')} AS review_score,
+               NULL::VARCHAR AS review_comment_title, 'first, "line"|second ' || order_id AS review_comment_message,
+               {stamp('ts')} AS review_creation_date, NULL::VARCHAR AS review_answer_timestamp,
+               {stamp('ts')} AS order_purchase_timestamp FROM v_review""",
     "snk1_insert_new_stored": f"""
         SELECT order_id, order_item_id, product_id, seller_id, {dbl('price')} AS price FROM v_item
         QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY product_id, seller_id, v_item.price) = 1""",
@@ -209,4 +294,4 @@ SQL = {
     "r3_split_open_partition": """
         SELECT year(ts) AS purchase_year, count(*) AS filas, CAST(sum(order_id) AS BIGINT) AS ids FROM v_order GROUP BY 1""",
 }
-SQL = {name: with_views(body) for name, body in SQL.items()}
+SQL = {name: with_views(body) if body.lstrip()[:4] != "WITH" else body for name, body in SQL.items()}
