@@ -16,7 +16,7 @@ from tradewind.operators.profiling import inclusion, outlier_rows
 from tradewind.operators.upsert import insert_new
 from tradewind.plans import explore as E
 from tradewind.session import workspace
-from tradewind.schemas import DOCUMENT_FIELDS, PRIMARY_KEYS, Reference, Rule, row_rules
+from tradewind.schemas import DOCUMENT_FIELDS, PRIMARY_KEYS, Reference, row_rules
 from tradewind.sources.star_views import Shop
 
 # Table -> (SQL view, {column: (SQL expression, "n" number or "t" text-like)}).
