@@ -1,0 +1,28 @@
+"""The near-copies stage against brute force over five-word shingles."""
+
+import random
+
+from tradewind.llm import simhash_dedup as S
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def test_copies_at_the_threshold(spark):
+    """Of the pairs at 0.8 or a little more at least nine tenths are found, and none of those under 0.8."""
+    pick, rows, above = random.Random(3), [], set()
+    for i in range(400):
+        words = [f"w{pick.randrange(5000)}" for _ in range(300)]
+        other = list(words)
+        for at in range(0, 300, 300 // pick.choice((6, 7, 8, 9))):
+            other[at] = "changed"
+        a, b = " ".join(words), " ".join(other)
+        value = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+        rows += [(i, a), (1000 + i, b)]
+        if value >= 0.8:
+            above.add(1000 + i)
+    found = {r["doc_id"]: r["copy_of"] for r in S.copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(above) > 50 and set(found) <= above and len(found) >= 0.9 * len(above)
+    assert all(found[i] == i - 1000 for i in found)

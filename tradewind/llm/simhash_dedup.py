@@ -26,8 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
+from tradewind.llm.near_copies import copies, one_of_each  # noqa: F401 (the pipeline takes them from here)
 from tradewind.llm.tables import stored
-from tradewind.llm.text import keys, mixed
+from tradewind.llm.text import keys
 
 RADIUS = 2
 BLOCK = 16
@@ -36,38 +37,26 @@ PIVOTS = 12
 DENSE = 64
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, further: int = 0) -> DataFrame:
-    """(doc_id, fp, further): the fingerprint of each row as a long. A null text has no words and fingerprint zero.
-
-    ``further`` more fingerprints come from the same shingles, with their hashes mixed anew for each.
-    """
-    turns = keys(further, 90).tolist()
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each row as a long. A null text has no words and fingerprint zero."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_digest
-
-        def signed(hashes: np.ndarray) -> int:
-            ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-            return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True)
-
         for batch in batches:
-            out, more = [], []
+            out = []
             for text in batch.column(1).cast(pa.large_binary()):
                 words = (text.as_py() or b"").lower().split()
                 if not words:
                     out.append(0)
-                    more.append([0] * len(turns))
                     continue
                 parts = zip(*(words[i:] for i in range(min(shingle, len(words)))))
-                hashes = np.frombuffer(b"".join([digest(b" ".join(part), seed) for part in parts]), ">u8")
-                out.append(signed(hashes))
-                native = hashes.astype(np.uint64) if turns else hashes
-                more.append([signed(mixed(native ^ np.uint64(turn)).astype(">u8")) for turn in turns])
-            columns = [batch.column(0), pa.array(out, pa.int64()), pa.array(more, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "further"])
+                hashes = np.frombuffer(b"".join([digest(b" ".join(part), seed) for part in parts]), np.uint8).reshape(-1, 8)
+                ones = np.unpackbits(hashes, axis=1).sum(0, dtype=np.int64)
+                out.append(int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big", signed=True))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64())], ["doc_id", "fp"])
 
     source = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return source.mapInArrow(run, "doc_id long, fp long, further array<long>")
+    return source.mapInArrow(run, "doc_id long, fp long")
 
 
 def _pivots() -> list[int]:
@@ -140,7 +129,7 @@ def grouped(docs: DataFrame, shingle: int = 3, seed: int = 42, dense: int = DENS
     gives a row for each; a null doc_id is kept and never is the least, unless a component has no other. Empty input
     gives no rows; other columns are not read.
     """
-    prints = stored(fingerprints(docs, shingle, seed).select("doc_id", "fp"), "fingerprints")
+    prints = stored(fingerprints(docs, shingle, seed), "fingerprints")
     first = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     nodes = first.select(F.lit(0).alias("turn"), "fp", F.col("fp").alias("node"))
     groups = components(links(nodes, dense), "a", "b")
@@ -151,43 +140,3 @@ def grouped(docs: DataFrame, shingle: int = 3, seed: int = 42, dense: int = DENS
     by_print = named.join(least, "component").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(by_print, "fp").select("doc_id", hexed, "component_id")
-
-
-#: Fingerprints of a text beside the first one in ``copies``, and the share of all their bits in which copies may differ.
-FURTHER = 11
-SHARE = 0.11
-
-
-def copies(docs: DataFrame, shingle: int = 3, seed: int = 42, dense: int = DENSE) -> DataFrame:
-    """(doc_id, copy_of) for rows with a doc_id that are near copies of a row with a smaller one.
-
-    One fingerprint of 64 bits within two bits finds few of the texts that share four fifths of their five-word shingles: they
-    differ in some six bits. So ``FURTHER`` more are searched in the same way, and what agrees within two bits in any of
-    them is a candidate. It is a link if the first fingerprint is within two bits, or if the bits of all of them
-    differ in a share of at most ``SHARE``, which stands for a similarity of about 0.8.
-    """
-    signature = F.concat(F.array("fp"), "further")
-    prints = fingerprints(docs.where("doc_id is not null"), shingle, seed, FURTHER)
-    prints = stored(prints.select("doc_id", signature.alias("bits"), F.xxhash64(signature).alias("node")), "signatures")
-    texts = stored(prints.groupBy("node").agg(F.min("doc_id").alias("first"), F.any_value("bits").alias("bits")), "distinct-signatures")
-    rows = texts.select("node", F.posexplode("bits").alias("turn", "fp"))
-    heads = stored(rows.groupBy("turn", "fp").agg(F.min("node").alias("node")), "signature-heads")
-    equal = rows.join(heads.withColumnRenamed("node", "a"), ["turn", "fp"]).where("a <> node").select("a", F.col("node").alias("b"))
-    candidates = links(heads, dense).union(equal).distinct()
-    left, right = (texts.select(F.col("node").alias(x), F.col("bits").alias(f"bits_{x}")) for x in "ab")
-    both = candidates.join(left, "a").join(right, "b")
-    apart = F.transform(F.arrays_zip("bits_a", "bits_b"), lambda z: F.bit_count(z["bits_a"].bitwiseXOR(z["bits_b"])))
-    near = (apart[0] <= RADIUS) | (F.aggregate(apart, F.lit(0), lambda s, x: s + x) <= SHARE * 64 * (1 + FURTHER))
-    groups = components(both.where(near).select("a", "b"), "a", "b")
-    named = texts.join(groups, texts.node == groups.vertex, "left").select("node", "first", F.coalesce("component", "node").alias("component"))
-    least = named.groupBy("component").agg(F.min("first").alias("copy_of"))
-    return prints.join(named.join(least, "component").select("node", "copy_of"), "node").where("doc_id > copy_of").select("doc_id", "copy_of")
-
-
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without all but one document of each group of near copies: the one with the least doc_id stays.
-
-    Rows that repeat a doc_id stay or go together; rows without a doc_id are no document's copy and stay.
-    """
-    gone = copies(docs, **options).select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__copy"), "left_anti")
