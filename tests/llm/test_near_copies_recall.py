@@ -26,3 +26,32 @@ def test_copies_at_the_threshold(spark):
     found = {r["doc_id"]: r["copy_of"] for r in S.copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(above) > 50 and set(found) <= above and len(found) >= 0.9 * len(above)
     assert all(found[i] == i - 1000 for i in found)
+
+
+def test_links_behind_a_failing_head(spark):
+    """Chains of texts whose ends are not alike, among many that share half their text; against brute force, dense keys too."""
+    pick, rows = random.Random(8), []
+    common = [f"c{pick.randrange(5000)}" for _ in range(200)]
+    for chain in range(12):
+        words = common + [f"w{pick.randrange(5000)}" for _ in range(100)]
+        for step in range(6):
+            rows.append((pick.randrange(10**9), " ".join(words)))
+            at = 200 + 12 * step
+            words[at : at + 12] = [f"v{pick.randrange(10**6)}" for _ in range(12)]
+    sets = {d: shingles(t) for d, t in rows}
+    root = {d: d for d in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    want = {d: find(d) for d in sets if find(d) != d}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for dense in (64, 2):
+        assert {r["doc_id"]: r["copy_of"] for r in S.copies(docs, dense=dense).collect()} == want
