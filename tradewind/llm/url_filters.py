@@ -1,9 +1,9 @@
 """URL filters: domain rules, and a tree of path templates that learns from what the rules decide.
 
 The paths of each host form a tree. Level by level, segments that vary (many values, none with a share of its own)
-become a wildcard; those with a share stay as they are. Sibling branches are merged if what stands below them is distributed
-alike and both have labels that agree, or both have none. Pages that a rule decides are labels: a template with labels of its
-own is rejected when their blocked share, smoothed towards its parent's and that towards its host's, is high.
+become a wildcard; those with a share, or with labels unlike their parent's, stay as they are. Sibling branches are merged if what stands below them is distributed
+alike and no labels contradict it. Pages that a rule decides are labels: a template is rejected when their blocked share,
+smoothed towards its parent's and that towards its host's, is high; without labels of its own it has its parent's share.
 
 Everything is a DataFrame of built-in functions. Work is done on distinct paths with counts, so a host or a path with very
 many pages is one row with a large count wherever a step could be uneven.
@@ -24,9 +24,7 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Levels of the tree; what follows is one last segment.
-DEPTH = 4
-#: A segment stays literal with this share of its parent's pages; so a node has at most 1 / SHARE literal children.
+#: A segment stays literal with this share of its parent's pages; so at most 1 / SHARE children of a node can be merged.
 SHARE = 0.02
 LEAST_PAGES = 3
 #: Total variation up to which two branches are alike, and standard errors up to which their labels agree.
@@ -60,9 +58,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def _segments(path: Column) -> Column:
-    parts = F.split(F.regexp_replace(path, "^/", ""), "/")
-    tail = F.array_join(F.slice(parts, DEPTH, F.greatest(F.size(parts) - DEPTH + 1, F.lit(1))), "/")
-    return F.when(F.size(parts) <= DEPTH, parts).otherwise(F.concat(F.slice(parts, 1, DEPTH - 1), F.array(tail)))
+    return F.split(F.regexp_replace(path, "^/", ""), "/")
 
 
 _KINDS = 6
@@ -88,22 +84,34 @@ def _level(paths: DataFrame, i: int) -> DataFrame:
     nodes = here.groupBy("host", "template", "segment").agg(
         F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"), *below
     )
-    parents = nodes.groupBy("host", "template").agg(F.sum("n").alias("parent_n"))
+    sums = [F.sum(x).alias(f"parent_{x}") for x in ("n", "blocked", "allowed")]
+    parents = nodes.groupBy("host", "template").agg(*sums)
     large = (F.col("n") >= LEAST_PAGES) & (F.col("n") >= SHARE * F.col("parent_n"))
-    literal = stored(nodes.join(parents, ["host", "template"]).where(large).drop("parent_n"), "url-literals")
-
-    a, b = literal.alias("a"), literal.alias("b")
-    larger = F.struct("b.n", "b.segment") > F.struct("a.n", "a.segment")
+    seen, parent_seen = F.col("blocked") + F.col("allowed"), F.col("parent_blocked") + F.col("parent_allowed")
+    share = (F.col("parent_blocked") + 1) / (parent_seen + 2)
+    unlike = F.abs(F.col("blocked") / F.greatest(seen, F.lit(1)) - share) > AGREE * F.sqrt(share * (1 - share) / F.greatest(seen, F.lit(1)))
+    pure = (seen >= LEAST_PAGES) & unlike
+    literal = nodes.join(parents, ["host", "template"]).select("*", large.alias("large")).where(F.col("large") | pure)
+    literal = stored(literal.drop(*(f"parent_{x}" for x in ("n", "blocked", "allowed"))), "url-literals")
+
+    # Only segments with a share of the pages are compared; labelled ones are never merged into one without labels.
+    a, b = literal.where("large").alias("a"), literal.where("large").alias("b")
+    larger = F.struct(F.expr("b.blocked + b.allowed > 0"), "b.n", "b.segment") > F.struct(F.expr("a.blocked + a.allowed > 0"), "a.n", "a.segment")
     variation = sum(F.abs(F.col(f"a.kind{k}") / F.col("a.n") - F.col(f"b.kind{k}") / F.col("b.n")) for k in range(_KINDS)) / 2
     seen_a, seen_b = (F.col(f"{x}.blocked") + F.col(f"{x}.allowed") for x in "ab")
     pooled = (F.col("a.blocked") + F.col("b.blocked") + 1) / (seen_a + seen_b + 2)
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest(seen_a, F.lit(1)) + 1 / F.greatest(seen_b, F.lit(1))))
     apart = F.abs(F.col("a.blocked") / F.greatest(seen_a, F.lit(1)) - F.col("b.blocked") / F.greatest(seen_b, F.lit(1)))
-    agree = ((seen_a > 0) == (seen_b > 0)) & (apart <= AGREE * error)
+    agree = (seen_a == 0) | (seen_b == 0) | (apart <= AGREE * error)
     same_parent = (F.col("a.host") == F.col("b.host")) & (F.col("a.template") == F.col("b.template"))
     alike = stored(
         a.join(b, same_parent & larger & (variation <= ALIKE) & agree).select(
-            "a.host", "a.template", "a.segment", F.col("b.segment").alias("into"), F.col("b.n").alias("into_n")
+            "a.host",
+            "a.template",
+            "a.segment",
+            F.col("b.segment").alias("into"),
+            F.struct(seen_b > 0, "b.n").alias("into_n"),
+            F.when((seen_a == 0) & (seen_b > 0), F.col("b.blocked") / seen_b >= REJECT).alias("side"),
         ),
         "url-alike",
     )
@@ -111,7 +119,9 @@ def _level(paths: DataFrame, i: int) -> DataFrame:
     target = (
         alike.join(moved, ["host", "template", "into"], "left_anti")
         .groupBy("host", "template", "segment")
-        .agg(F.max(F.struct("into_n", "into"))["into"].alias("into"))
+        .agg(F.max(F.struct("into_n", "into"))["into"].alias("into"), F.min("side").alias("low"), F.max("side").alias("high"))
+        .where(F.col("low").eqNullSafe(F.col("high")))  # siblings with contradicting labels decide nothing
+        .drop("low", "high")
     )
     names = literal.join(target, ["host", "template", "segment"], "left").select(
         "host", "template", "segment", F.coalesce("into", "segment").alias("name")
@@ -137,7 +147,7 @@ def _level(paths: DataFrame, i: int) -> DataFrame:
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, template and the smoothed share of blocked labels of every row of ``pages``.
 
-    The verdict is the rule's where one fits, else block where a template has labels and its share reaches ``REJECT``, else allow. A
+    The verdict is the rule's where one fits, else block where the smoothed share of a template reaches ``REJECT``, else allow. A
     null url, and one without ``://``, has an empty host and path. Repeated rows each get a row and count as often as
     they occur; null ids are kept; other columns are not read. Without any labelled page everything is allowed.
     """
@@ -152,7 +162,8 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     )
     paths = paths.select("*", _segments(F.col("path")).alias("segments"), F.lit("").alias("template"), F.lit("").alias("parent"))
     tree = stored(paths, "url-paths")
-    for i in range(DEPTH):
+    levels = tree.agg(F.max(F.size("segments"))).first()[0] or 0
+    for i in range(levels):
         tree = _level(tree, i)
 
     seen, blocked = (F.sum("blocked") + F.sum("allowed")).alias("seen"), F.sum("blocked").alias("blocked")
@@ -166,9 +177,9 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     parents = tree.groupBy("host", "parent").agg(seen, blocked).join(hosts, "host")
     parents = parents.select("host", "parent", smoothed(F.col("host_share")).alias("parent_share"))
     templates = tree.groupBy("host", "parent", "template").agg(seen, blocked).join(parents, ["host", "parent"])
-    templates = templates.select("host", "parent", "template", "seen", smoothed(F.col("parent_share")).alias("blocked_share"))
-    by_path = tree.join(templates, ["host", "parent", "template"]).select("host", "path", "template", "seen", "blocked_share")
-    method = F.when((F.col("seen") > 0) & (F.col("blocked_share") >= REJECT), "block").otherwise("allow")
+    templates = templates.select("host", "parent", "template", smoothed(F.col("parent_share")).alias("blocked_share"))
+    by_path = tree.join(templates, ["host", "parent", "template"]).select("host", "path", "template", "blocked_share")
+    method = F.when(F.col("blocked_share") >= REJECT, "block").otherwise("allow")
     return known.join(by_path, ["host", "path"]).select(
         "page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "template", "blocked_share"
     )
