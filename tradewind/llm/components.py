@@ -32,7 +32,7 @@ def _small_star(links: DataFrame) -> DataFrame:
 def _state(links: DataFrame) -> tuple:
     """Number of links and two sums; equal before and after a round that changed nothing."""
     mix = F.xxhash64("u", "v")
-    row = links.agg(F.count(F.lit(1)), F.bit_xor(mix), F.sum(mix.bitwiseAND(F.lit((1 << 40) - 1)))).first()
+    row = links.agg(F.count(F.lit(1)), F.bit_xor(mix), F.sum(mix.bitwiseAND(F.lit((1 << 40) - 1)).cast("decimal(13,0)"))).first()
     return tuple(row)
 
 
