@@ -12,12 +12,3 @@ from tradewind.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     return local_session(8, memory="6g", app="tradewind-tests")
-
-
-def rows(df):
-    """Rows as a sorted list of tuples."""
-    return sorted((tuple(r) for r in df.collect()), key=repr)
-
-
-def plan_of(df):
-    return df._jdf.queryExecution().executedPlan().toString()

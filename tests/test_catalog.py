@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import seeds
-from conftest import plan_of
+from helpers import plan_of
 from tradewind.plans import catalog as C
 
 

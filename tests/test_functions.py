@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from tradewind.functions import documents as D
 from tradewind.functions import numeric as N
 from tradewind.functions import ranges as R

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from tradewind.operators.upsert import insert_new
 from tradewind.plans import reports as R
 from tradewind.schemas import COLLECTIONS, CSV_COLUMNS, TABLES

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from helpers import plan_of
 from tradewind.functions.ranges import make_range
 from tradewind.operators.matching import overlap_join, trigram_match
 from tradewind.operators.proximity import nearest, within_radius

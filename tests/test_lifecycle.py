@@ -3,7 +3,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tradewind.operators import lifecycle as Y
 from tradewind.session import workspace
 from tradewind.sources import sinks as K

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import seeds
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from tradewind.operators import profiling as P
 from tradewind.operators import quality as Q
 from tradewind.plans import explore as E

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import seeds
-from conftest import plan_of, rows
+from helpers import plan_of, rows
 from tradewind.plans import reports as R
 
 
