@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradewind.llm import byte_bpe, decontamination, language_id, language_model, manifest, pii, quality, simhash_dedup, substring_dedup, token_counts, url_filters
+from tradewind.llm import (
+    byte_bpe,
+    conversations,
+    decontamination,
+    language_id,
+    language_model,
+    manifest,
+    pii,
+    quality,
+    simhash_dedup,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 from tradewind.llm.text import documents
 
 TOKENIZERS = "/opt/tokenizers"
@@ -149,4 +163,29 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.proven(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_language_model, op3_substring_dedup, op4_quality_rules, op5_personal_data, op6_token_counts, op7_language_id, op8_byte_bpe, op9_simhash_near_dedup, op10_url_filters, op11_merkle_manifest)}
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_language_model,
+        op3_substring_dedup,
+        op4_quality_rules,
+        op5_personal_data,
+        op6_token_counts,
+        op7_language_id,
+        op8_byte_bpe,
+        op9_simhash_near_dedup,
+        op10_url_filters,
+        op11_merkle_manifest,
+        op12_toxicity,
+        op13_conversation_repair,
+    )
+}
