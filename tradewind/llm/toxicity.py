@@ -24,26 +24,28 @@ from tradewind.operators.topk import top_per_group
 
 FOLDS = 5
 #: Lengths of the n-grams, in bytes.
-LENGTHS = (3, 4, 5, 6)
-BUCKET_BITS = 20
+LENGTHS = (3, 4, 5, 6, 7, 8)
+BUCKET_BITS = 22
+#: Buckets whose counts travel together.
+BLOCK = 4096
 #: A ratio counts from so many standard errors on; of those that do, the FEATURES that stand out most are kept.
 EVIDENCE, FEATURES = 4.0, 20_000
 SMOOTHING = 0.5
 #: Labelled documents of each label that the weights are fitted to.
 SAMPLE = 4096
-ROUNDS, PENALTY = 200, 1e-3
+ROUNDS, PENALTY = 400, 1e-4
 
 
 def buckets(data: np.ndarray) -> np.ndarray:
     """The bucket of every n-gram of a text, repeats included; ``data`` has its bytes in lower case."""
     found = [np.zeros(0, np.int64)]
-    wide = data.astype(np.uint64)
-    for n in LENGTHS:
-        if len(data) >= n:
-            total = np.zeros(len(data) - n + 1, np.uint64)
-            for i, key in enumerate(keys(n, 900 + n)):
-                total += wide[i : len(data) - n + 1 + i] * key
-            found.append((mixed(total) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+    wide, key = data.astype(np.uint64), keys(LENGTHS[-1], 900)
+    total = np.zeros(len(data) + 1, np.uint64)
+    for n in range(1, min(LENGTHS[-1], len(data)) + 1):
+        # the sum over n bytes from that over one less
+        total = total[:-1] + wide[n - 1 :] * key[n - 1]
+        if n in LENGTHS:
+            found.append((mixed(total + np.uint64(n)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
     return np.concatenate(found)
 
 
@@ -67,20 +69,33 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def feature_counts(training: DataFrame) -> DataFrame:
-    """(bucket, toxic, other): documents of each label that have an n-gram of the bucket, counted in every task first."""
+    """(bucket, toxic, other): documents of each label that have an n-gram of the bucket; tasks count first, by blocks of buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BUCKET_BITS), np.int64)
+        counts = np.zeros((1 << BUCKET_BITS, 2), np.int32)
         for batch in slices(batches, "text"):
             for data, toxic in zip(_lowered(batch.column(0)), batch.column(1).to_pylist()):
-                counts[toxic, np.unique(buckets(data))] += 1
-        some = np.flatnonzero(counts.any(0))
-        for at in range(0, len(some), 50_000):
-            part = some[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[1, part]), pa.array(counts[0, part])], ["bucket", "toxic", "other"])
-
-    found = training.select("text", "toxic").mapInArrow(run, "bucket long, toxic long, other long")
-    return found.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+                counts[np.unique(buckets(data)), toxic] += 1
+        blocks = counts.reshape(-1, BLOCK * 2)
+        some = np.flatnonzero(blocks.any(1))
+        for at in range(0, len(some), 64):
+            part = some[at : at + 64]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([blocks[b].tobytes() for b in part])], ["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                value = np.frombuffer(counts.as_buffer(), np.int32)
+                sums[block] = sums[block] + value if block in sums else value.astype(np.int64)
+        for block, total in sums.items():
+            table = total.reshape(BLOCK, 2)
+            some = np.flatnonzero(table.any(1))
+            columns = [pa.array(block * BLOCK + some), pa.array(table[some, 1]), pa.array(table[some, 0])]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "toxic", "other"])
+
+    found = training.select("text", "toxic").mapInArrow(run, "block long, counts binary")
+    return found.repartition("block").mapInArrow(add, "bucket long, toxic long, other long")
 
 
 def ratios(counts: DataFrame, toxic: int, other: int) -> DataFrame:
