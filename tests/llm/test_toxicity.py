@@ -29,7 +29,7 @@ def test_counts_and_ratios_by_hand(spark):
         return int(toxicity.buckets(np.frombuffer(gram, np.uint8))[0])
 
     assert counts[bucket(b"abc")] == (2, 1) and counts[bucket(b"xyz")] == (0, 2)
-    found = toxicity.ratios(spark.createDataFrame([(1, 90, 10), (2, 50, 50), (3, 0, 80)], "bucket long, toxic long, other long"), 100, 100)
+    found = toxicity.ratios(spark.createDataFrame([(1, 90, 10), (2, 50, 50), (3, 1, 80)], "bucket long, toxic long, other long"), 100, 100)
     found = {r["bucket"]: r["ratio"] for r in found.collect()}
     assert set(found) == {1, 3} and math.isclose(found[1], math.log(90.5 / 10.5))
 
