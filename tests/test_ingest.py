@@ -185,46 +185,6 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
         spark.sql("drop database if exists bucketed_test cascade")
 
 
-@pytest.fixture
-def weights(spark, tmp_path):
-    path = str(tmp_path / "product")
-    spark.createDataFrame([(i, i * 10) for i in range(6)], "product_id int, product_weight_g int").write.parquet(path)
-    return path
-
-
-def from_copy(df):
-    return all("weight_from_20" in f for f in df.inputFiles())
-
-
-def test_filtered_copies(spark, tmp_path, weights):
-    table, folder = spark.read.parquet(weights), str(tmp_path / "copies")
-    K.write_filtered(table, "weight_from_20", folder)
-    assert K.implies("product_weight_g >= 30", "product_weight_g >= 20")
-    assert K.implies("product_weight_g > 20", "product_weight_g >= 20")
-    assert not K.implies("product_weight_g >= 5", "product_weight_g >= 20")
-    assert not K.implies("other >= 30", "product_weight_g >= 20")
-    covered = K.read_filtered(spark, table, "product_weight_g >= 30", folder)
-    assert from_copy(covered) and covered.count() == 3
-    full = K.read_filtered(spark, table, "product_weight_g >= 5", folder)
-    assert not from_copy(full) and full.count() == 5
-
-
-def test_a_copy_that_does_not_cover_is_not_used(spark, tmp_path, weights):
-    table, folder, heavy = spark.read.parquet(weights), str(tmp_path / "copies"), "product_weight_g >= 30"
-    K.write_filtered(table, "weight_from_20", folder)
-    other = table.withColumn("extra", F.lit(1))
-    assert K.read_filtered(spark, other, heavy, folder).columns == [*table.columns, "extra"]
-    in_memory = spark.createDataFrame([(9, 90)], table.schema)
-    assert K.read_filtered(spark, in_memory, heavy, folder).count() == 1
-    os.remove(f"{folder}/weight_from_20/_SUCCESS")  # unfinished
-    assert not from_copy(K.read_filtered(spark, table, heavy, folder))
-    K.write_filtered(table, "weight_from_20", folder)
-    assert from_copy(K.read_filtered(spark, table, heavy, folder))
-    K.append(in_memory, weights)  # the table grows
-    grown = K.read_filtered(spark, spark.read.parquet(weights), heavy, folder)
-    assert not from_copy(grown) and grown.count() == 4
-
-
 def test_tsv_round_trip(spark, tmp_path):
     rows_in = [(1, "a\tb\nc\rd\\e", dt.datetime(2020, 1, 2, 3, 4, 5)), (2, "\\N", None), (3, None, None), (4, "", None), (5, "\\\\n\\t", None)]
     schema, path = "id int, note string, at timestamp", str(tmp_path / "tsv")

@@ -14,7 +14,7 @@ from tradewind.plans.catalog import cart_totals
 from tradewind.plans.reports import ORDER_KEY
 from tradewind.schemas import CSV_COLUMNS
 from tradewind.session import workspace
-from tradewind.sources import files, load, sinks
+from tradewind.sources import files, filtered, load, sinks
 from tradewind.sources.star_views import Shop
 
 
@@ -129,18 +129,19 @@ def _clustered(s: Shop) -> DataFrame:
     return half_open(stored, "order_purchase_timestamp", "1998-03-01", "1998-04-01").select("order_id", "customer_id")
 
 
-def _filtered(name: str, table, *columns: str, grow: bool = False):
-    """Rows of a named filter from their stored copy; with ``grow`` the table gets more rows after the copy."""
+def _filtered(name: str, table, *columns: str, then: str = ""):
+    """Rows of a named filter from their copy, after the first load, a second one, or the first one again."""
 
     def build(s: Shop) -> DataFrame:
-        spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "filtered")
+        spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "loads")
         source = table(s).select(*columns)
-        key = columns[0]
-        sinks.append(source.where(F.hash(key) % 2 == 0) if grow else source, f"{root}/table")
-        sinks.write_filtered(spark.read.parquet(f"{root}/table"), name, f"{root}/copies")
-        if grow:
-            sinks.append(source.where(F.hash(key) % 2 != 0), f"{root}/table")
-        return sinks.read_filtered(spark, spark.read.parquet(f"{root}/table"), sinks.NAMED_FILTERS[name], f"{root}/copies")
+        half = F.pmod(F.hash(columns[0]), F.lit(2)) == 0
+        filtered.write_load(source.where(half) if then else source, path, "first")
+        filtered.refresh(spark, path, name)
+        if then:
+            filtered.write_load(source.where(~half) if then == "second" else source, path, then)
+            filtered.refresh(spark, path, name)
+        return filtered.read_filtered(spark, path, name).select(*columns)
 
     return on_shop(build)
 
@@ -218,7 +219,8 @@ QUERIES = {
     "snk14_year_layout": on_shop(_year_of_layout),
     "snk15_clustered_layout": on_shop(_clustered),
     "snk16_filtered_copy": _filtered("late_orders", lambda s: s.order, *_LATE),
-    "snk16_filtered_copy_stale": _filtered("late_orders", lambda s: s.order, *_LATE, grow=True),
+    "snk16_filtered_copy_stale": _filtered("late_orders", lambda s: s.order, *_LATE, then="second"),
+    "snk16_filtered_copy_repeated": _filtered("late_orders", lambda s: s.order, *_LATE, then="first"),
     "snk16_boleto_or_voucher": _filtered("boleto_or_voucher", lambda s: s.payment, "order_id", "payment_sequential", "payment_type"),
     "snk16_weight_from_20": _filtered("weight_from_20", lambda s: s.product, "product_id", "product_weight_g"),
     "snk16_score_from_4": _filtered("score_from_4", lambda s: s.products_catalog, "product_id", "avg_review_score"),
@@ -284,6 +286,7 @@ SQL = {
         SELECT order_id, customer_id FROM v_order WHERE ts >= TIMESTAMP '1998-03-01' AND ts < TIMESTAMP '1998-04-01'""",
     "snk16_filtered_copy": _LATE_SQL,
     "snk16_filtered_copy_stale": _LATE_SQL,
+    "snk16_filtered_copy_repeated": _LATE_SQL,
     "snk16_boleto_or_voucher": """
         SELECT order_id, seq AS payment_sequential, payment_type FROM v_payment WHERE payment_type IN ('voucher', 'boleto')""",
     "snk16_weight_from_20": "SELECT product_id, product_weight_g FROM v_product WHERE NOT product_weight_g < 20",

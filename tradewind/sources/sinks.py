@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,17 +12,6 @@ from tradewind.operators.upsert import new_rows
 
 NULL_MARKER = "\\N"
 
-# Named row filters that get a stored copy of their own (what a partial index covers). The text is
-# what the reader compares with, see ``read_filtered``.
-NAMED_FILTERS: dict[str, str] = {
-    "late_orders": "order_delivered_customer_date > order_estimated_delivery_date",
-    "boleto_or_voucher": "payment_type IN ('boleto', 'voucher')",
-    "weight_from_20": "product_weight_g >= 20",
-    "score_from_4": "avg_review_score >= 4.0",
-    "product_views": "event_type = 'product_view'",
-}
-
-
 def append(df: DataFrame, path: str) -> None:
     """Append to a stored table. The partitions of the frame are the batches."""
     df.write.mode("append").parquet(path)
@@ -141,77 +129,3 @@ def write_clustered(df: DataFrame, path: str, column: str, files: int | None = N
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int, mode: str = "overwrite") -> None:
     """Catalogue table bucketed and sorted by its join key: tables bucketed alike join without a shuffle."""
     df.write.mode(mode).format("parquet").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
-
-
-def _identity(df: DataFrame) -> str | None:
-    """What a frame reads: its plan, schema, and the files with sizes and times. None where it does not come from files."""
-    spark, folders = df.sparkSession, set()
-    names = df.inputFiles()
-    if not names:
-        return None
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    for name in names:
-        folders.add(name.rsplit("/", 1)[0])
-    wanted, seen = set(names), []
-    for folder in sorted(folders):
-        where = path(folder)
-        for s in where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where):
-            seen.append(f"{s.getPath().toString()} {s.getLen()} {s.getModificationTime()}")
-    digest = hashlib.sha256("\n".join([*sorted(seen), *sorted(wanted)]).encode()).hexdigest()
-    return f"{digest} {df.semanticHash()} {df.schema.simpleString()}"
-
-
-def _manifest(spark: SparkSession, folder: str, name: str) -> str:
-    return f"{folder}/{name}.manifest"
-
-
-def write_filtered(df: DataFrame, name: str, folder: str, mode: str = "overwrite") -> None:
-    """Store only the rows of a named filter, and beside them what they were taken from.
-
-    The manifest is removed first and written last, so an unfinished copy has none.
-    """
-    spark = df.sparkSession
-    manifest, before = _manifest(spark, folder, name), _identity(df)
-    where = spark._jvm.org.apache.hadoop.fs.Path(manifest)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    df.where(F.expr(NAMED_FILTERS[name])).write.mode(mode).parquet(f"{folder}/{name}")
-    if before and before == _identity(df):
-        # one row: the filter and the identity of the table at that time
-        row = spark.createDataFrame([(NAMED_FILTERS[name], before)], "predicate string, identity string")
-        row.coalesce(1).write.parquet(manifest)
-
-
-def read_filtered(spark: SparkSession, full: DataFrame, predicate: str, folder: str) -> DataFrame:
-    """Rows satisfying a predicate, from a stored filtered copy if one covers it.
-
-    A copy covers a predicate that is its own filter, or compares the same column with a bound that is at least as
-    strict. It is used only if it is complete and was taken from this table as it is now: the same plan, columns and
-    files. Anything else reads the full table.
-    """
-    for name, filter_text in NAMED_FILTERS.items():
-        manifest = _manifest(spark, folder, name)
-        if implies(predicate, filter_text) and exists(spark, f"{folder}/{name}/_SUCCESS") and exists(spark, f"{manifest}/_SUCCESS"):
-            noted = spark.read.parquet(manifest).first()
-            if noted and noted["predicate"] == filter_text and noted["identity"] == _identity(full):
-                return spark.read.schema(full.schema).parquet(f"{folder}/{name}").where(F.expr(predicate))
-    return full.where(F.expr(predicate))
-
-
-def implies(predicate: str, stored: str) -> bool:
-    """Whether rows satisfying ``predicate`` surely satisfy ``stored``: equal, or a stricter lower bound."""
-
-    def lower_bound(text: str) -> tuple[str, float, bool] | None:
-        parts = text.split()
-        if len(parts) != 3 or parts[1] not in (">", ">="):
-            return None
-        try:
-            return parts[0], float(parts[2]), parts[1] == ">"
-        except ValueError:
-            return None
-
-    if " ".join(predicate.split()) == " ".join(stored.split()):
-        return True
-    a, b = lower_bound(predicate), lower_bound(stored)
-    if a is None or b is None or a[0] != b[0]:
-        return False
-    return a[1] > b[1] or (a[1] == b[1] and (a[2] or not b[2]))
