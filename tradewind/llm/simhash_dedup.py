@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm.components import components
-from tradewind.llm.near_copies import copies, one_of_each  # noqa: F401 (the pipeline takes them from here)
 from tradewind.llm.tables import stored
 from tradewind.llm.text import keys
 
@@ -140,3 +139,14 @@ def grouped(docs: DataFrame, shingle: int = 3, seed: int = 42, dense: int = DENS
     by_print = named.join(least, "component").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(by_print, "fp").select("doc_id", hexed, "component_id")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without all but one document of each group: the one with the least doc_id stays.
+
+    Rows that repeat a doc_id are one document: they stay if one of them is the least of its group, so no text is lost
+    with a copy of another. Rows without a doc_id stay. No rows give no rows.
+    """
+    rows = grouped(docs.where("doc_id is not null"), **options)
+    gone = rows.groupBy("doc_id").agg(F.max("component_id").alias("best")).where("best < doc_id").select(F.col("doc_id").alias("__copy"))
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__copy"), "left_anti")

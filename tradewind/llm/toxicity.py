@@ -29,10 +29,10 @@ BUCKET_BITS = 22
 #: Buckets whose counts travel together.
 BLOCK = 4096
 #: A ratio counts from so many standard errors on; of those that do, the FEATURES that stand out most are kept.
-EVIDENCE, FEATURES = 4.0, 20_000
+EVIDENCE, FEATURES = 4.0, 8_192
 SMOOTHING = 0.5
 #: Labelled documents of each label that the weights are fitted to.
-SAMPLE = 4096
+SAMPLE = 2048
 ROUNDS, PENALTY = 400, 1e-4
 
 
@@ -141,9 +141,9 @@ def sample_features(training: DataFrame, bucket: np.ndarray) -> DataFrame:
         places = Model(held.value, np.zeros(0), 0.0).places()
         for batch in slices(batches, "text"):
             found = [features_of(data, places) for data in _lowered(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["toxic", "features"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([f.astype(np.int16) for f in found], pa.list_(pa.int16()))], ["toxic", "features"])
 
-    return rows.mapInArrow(run, "toxic int, features array<int>")
+    return rows.mapInArrow(run, "toxic int, features array<short>")
 
 
 def fit(ratio: np.ndarray, features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
@@ -187,9 +187,9 @@ def trained(docs: DataFrame, labels: DataFrame) -> Model:
     table = ratios(feature_counts(training), sizes.get(1, 0), sizes.get(0, 0)).orderBy("bucket").collect() if len(sizes) == 2 else []
     bucket = np.array([r["bucket"] for r in table], np.int64)
     ratio = np.array([r["ratio"] for r in table], float)
-    rows = sample_features(training, bucket).collect()
-    features = [np.array(r["features"], np.int64) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows], float)
+    rows = sample_features(training, bucket).toArrow()
+    toxic = rows["toxic"].to_numpy().astype(float)
+    features = [f.values.to_numpy().astype(np.int64) for f in rows["features"]]
     gain, bias = fit(ratio, features, toxic)
     if len(sizes) == 2:
         # the sample has other shares of the labels than the corpus
