@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from helpers import plan_of
 from tradewind.functions.ranges import make_range
+from tradewind.operators import proximity
 from tradewind.operators.matching import overlap_join, trigram_match
 from tradewind.operators.proximity import nearest, within_radius
+from tradewind.session import stored
 
 
 def km(a, b):
@@ -150,3 +152,23 @@ def test_plans_pair_by_keys_only(spark):
         plan = plan_of(df)
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
             assert word not in plan
+
+
+def test_nearest_within_a_dense_cluster(spark):
+    """10,000 places within 0.02 degrees and some far away: few rows meet for each, also for left places beside the cluster."""
+    rng = random.Random(4)
+    near = lambda: (10 + rng.uniform(0, 0.02), 50 + rng.uniform(0, 0.02))
+    b = [(i, *near()) for i in range(10_000)] + [(10_000 + i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(50)]
+    a = [(i, *near()) for i in range(300)] + [(300 + i, 10.5 + rng.uniform(0, 1), 50.0) for i in range(100)] + [(400, -170.0, -80.0)]
+    left, right = spark.createDataFrame(a, "ai int, ax double, ay double"), spark.createDataFrame(b, "bi int, bx double, by double")
+    homes = stored(right.selectExpr("bx AS _blng", "by AS _blat", "array(bi) AS ids"), "homes")
+    levels, members = proximity._tree(homes, proximity._LEAF)
+    assert members.count() == len(b) and len(levels) < 15
+    looks = proximity._leaves_around(left.selectExpr("ax AS _alng", "ay AS _alat"), levels, 3)
+    assert looks.join(members, ["step", "cx", "cy"]).count() < 200 * len(a)
+    got = {}
+    for r in nearest(left, right, 3, "bi", ("ax", "ay"), ("bx", "by")).select("ai", "bi", "rank").collect():
+        got.setdefault(r["ai"], {})[r["rank"]] = r["bi"]
+    for i, x, y in a[::7] + a[-1:]:
+        ranked = sorted((math.hypot(x - p, y - q), j) for j, p, q in b)[:3]
+        assert got[i] == {n + 1: j for n, (_, j) in enumerate(ranked)}

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions.geo import KM_PER_DEGREE, haversine_km
 from tradewind.operators.topk import top_per_group
+from tradewind.session import stored
 
 
 def _places(df: DataFrame, lng: str, lat: str, prefix: str) -> DataFrame:
@@ -93,9 +94,83 @@ def within_radius(
     return out.drop("_alng", "_alat", "_blng", "_blat")
 
 
-# Cell sizes in degrees for the nearest search: doubling from the first, the last covers the globe.
-_FINEST = 0.01
-_LEVELS = 17
+#: Bits of a position within the square around all right places, and how many of them a step down the tree takes.
+_BITS, _STEP = 30, 2
+#: Positions up to which a cell is not split.
+_LEAF = 32
+
+
+def _tree(homes: DataFrame, leaf: int) -> tuple[list[DataFrame], DataFrame]:
+    """The cells of each step of a tree over positions, and (step, cx, cy, _blng, _blat, ids) of the positions in its leaves.
+
+    A cell is (cx, cy, m positions, n rows, the box x1 to x2, y1 to y2 around them). It is split into 16 while it has more than
+    ``leaf`` positions, so the depth follows the data: positions leave as soon as their cell is a leaf.
+    """
+    lng, lat = F.col("_blng"), F.col("_blat")
+    box = [F.min(lng).alias("x1"), F.max(lng).alias("x2"), F.min(lat).alias("y1"), F.max(lat).alias("y2")]
+    count, west, east, south, north = homes.agg(F.count(F.lit(1)), *box).first()
+    side = max(east - west, north - south) if count else 0.0
+    scale = (1 << _BITS) / side if side > 0 else 0.0
+
+    def place(value: Column, least: float | None) -> Column:
+        return F.least(((value - F.lit(least or 0.0)) * scale).cast("long"), F.lit((1 << _BITS) - 1))
+
+    def cell(step: int, of: str) -> Column:
+        return F.shiftright(of, _BITS - _STEP * step)
+
+    points = homes.withColumn("ix", place(lng, west)).withColumn("iy", place(lat, south))
+    levels, leaves, dense = [], None, None
+    for step in range(1, _BITS // _STEP + 1):
+        rows = points.withColumns({"cx": cell(step, "ix"), "cy": cell(step, "iy")})
+        if dense is not None:
+            rows = rows.withColumns({"px": F.shiftright("cx", _STEP), "py": F.shiftright("cy", _STEP)}).join(dense, ["px", "py"], "left_semi")
+        cells = rows.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("m"), F.sum(F.size("ids")).alias("n"), *box)
+        last = step == _BITS // _STEP
+        cells = stored(cells.withColumn("inner", (F.col("m") > leaf) & F.lit(not last)), "nearest-cells")
+        levels.append(cells)
+        ends = cells.where("not inner").select(F.lit(step).alias("step"), "cx", "cy")
+        leaves = ends if leaves is None else leaves.unionByName(ends)
+        dense = cells.where("inner").select(F.col("cx").alias("px"), F.col("cy").alias("py"))
+        # while cells are too few for all positions, some are dense
+        if last or (count <= leaf * 16**step and dense.isEmpty()):
+            break
+    steps = F.array(*(F.struct(F.lit(d + 1).alias("step"), cell(d + 1, "ix").alias("cx"), cell(d + 1, "iy").alias("cy")) for d in range(len(levels))))
+    members = points.select("_blng", "_blat", "ids", F.inline(steps)).join(leaves, ["step", "cx", "cy"])
+    return levels, members
+
+
+def _leaves_around(a: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
+    """(_alng, _alat, step, cx, cy): the leaves in which the k nearest of each left place can be.
+
+    Down the tree a place keeps the cells that begin no further than the bound: the least distance within which cells
+    lie as a whole that hold k rows.
+    """
+    at = ["_alng", "_alat"]
+    outside = lambda value, low, high: F.greatest(low - value, value - high, F.lit(0.0))
+    across = lambda value, low, high: F.greatest(F.abs(value - low), F.abs(value - high))
+    length = lambda dx, dy: F.sqrt(dx * dx + dy * dy)
+    x, y, box = F.col("_alng"), F.col("_alat"), ("x1", "x2", "y1", "y2")
+    sides = [F.col("cell")[c] for c in box]
+    near = length(outside(x, *sides[:2]), outside(y, *sides[2:]))
+    far = length(across(x, *sides[:2]), across(y, *sides[2:]))
+    kept = a.select(*at, F.lit(0).alias("step"), F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"), F.lit(True).alias("inner"))
+    kept = kept.withColumns({"n": F.lit(0).cast("long"), "near": F.lit(0.0), "far": F.lit(0.0)})
+    for step, cells in enumerate(levels, start=1):
+        below = cells.select(
+            F.shiftright("cx", _STEP).alias("px"), F.shiftright("cy", _STEP).alias("py"), F.struct("cx", "cy", "inner", "n", *box).alias("cell")
+        )
+        # a cell that is open gives way to the cells in it, any other stays; one join for both
+        opened = kept.withColumn("px", F.when(F.col("inner"), F.col("cx"))).withColumn("py", F.when(F.col("inner"), F.col("cy")))
+        opened = opened.join(below, ["px", "py"], "left")
+        for name, value in (("near", near), ("far", far), ("step", F.lit(step))):
+            opened = opened.withColumn(name, F.when(F.col("inner"), value).otherwise(F.col(name)))
+        found = opened.select(*at, "step", "near", "far", *(F.when(F.col("inner"), F.col("cell")[c]).otherwise(F.col(c)).alias(c) for c in ("cx", "cy", "n", "inner")))
+        whole = Window.partitionBy(*at)
+        within = F.sum("n").over(whole.orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        bound = F.min(F.when(F.col("within") >= k, F.col("far"))).over(whole)
+        found = found.withColumn("within", within).withColumn("bound", bound)
+        kept = found.where(F.col("bound").isNull() | (F.col("near") <= F.col("bound"))).drop("within", "bound")
+    return kept.select(*at, "step", "cx", "cy")
 
 
 def nearest(
@@ -107,13 +182,14 @@ def nearest(
     right_point: tuple[str, str] = ("lng", "lat"),
     distance: str = "distance",
     rank: str = "rank",
+    leaf: int = _LEAF,
 ) -> DataFrame:
     """For every left row the ``k`` right rows with the smallest planar distance in degrees.
 
-    Ties go to the lowest ``right_id``. Cell counts at doubling sizes tell every left place the finest
-    size at which the nine cells around it hold at least k rows. The k-th neighbour is then no further
-    than the diagonal of two of those cells, which the nine cells two sizes up always cover, so one
-    join finds the exact answer. Fewer than k rows come back only if there are no more.
+    Ties go to the lowest ``right_id``. The right places are counted into a tree of cells, as deep as they are dense, which is
+    written to the shared folder; every left place descends it and keeps only cells that can still hold one of its k nearest.
+    So a place meets about as many rows as a few leaves have, also beside or far from a dense cluster. Fewer than k rows come
+    back only if there are no more.
 
     Column names of the two sides must differ.
     """
@@ -130,49 +206,12 @@ def nearest(
         [F.col("_bid")],
         k,
     )
-
-    def cell(value: Column, level: Column) -> Column:
-        return F.floor(value / (F.lit(_FINEST) * F.pow(F.lit(2.0), level))).cast("bigint")
-
-    def around(df: DataFrame, level: str) -> DataFrame:
-        lng, lat = F.col("_alng"), F.col("_alat")
-        steps = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
-        spots = [
-            F.struct(
-                (cell(lng, F.col(level)) + dx).alias("_cx"), (cell(lat, F.col(level)) + dy).alias("_cy")
-            )
-            for dx, dy in steps
-        ]
-        return df.select("_alng", "_alat", F.col(level).alias("_level"), F.inline(F.array(*spots)))
-
-    levels = F.explode(F.sequence(F.lit(0), F.lit(_LEVELS - 1)))
-    homes = b.groupBy("_blng", "_blat").agg(F.count(F.lit(1)).alias("_n"))
-    counts = (
-        homes.withColumn("_level", levels)
-        .groupBy("_level", cell(F.col("_blng"), F.col("_level")).alias("_cx"), cell(F.col("_blat"), F.col("_level")).alias("_cy"))
-        .agg(F.sum("_n").alias("_n"))
-    )
-    enough = (
-        around(a.withColumn("_l", levels), "_l")
-        .join(counts, ["_level", "_cx", "_cy"])
-        .groupBy("_alng", "_alat", "_level")
-        .agg(F.sum("_n").alias("_n"))
-        .groupBy("_alng", "_alat")
-        .agg(F.min(F.when(F.col("_n") >= k, F.col("_level"))).alias("_fine"))
-    )
-    level = F.least(F.coalesce(F.col("_fine"), F.lit(_LEVELS - 1)) + 2, F.lit(_LEVELS - 1))
-    looks = around(enough.withColumn("_l", level), "_l")
-    # Only the sizes somebody searches at are built.
-    used = looks.select("_level").distinct()
-    spread = (
-        b.withColumn("_level", levels)
-        .join(F.broadcast(used), "_level", "left_semi")  # at most one row per size
-        .withColumn("_cx", cell(F.col("_blng"), F.col("_level")))
-        .withColumn("_cy", cell(F.col("_blat"), F.col("_level")))
-    )
+    homes = stored(b.groupBy("_blng", "_blat").agg(F.collect_list("_bid").alias("ids")), "nearest-places")
+    levels, members = _tree(homes, leaf)
+    looks = _leaves_around(a, levels, k)
     dx, dy = F.col("_alng") - F.col("_blng"), F.col("_alat") - F.col("_blat")
-    found = looks.join(spread, ["_level", "_cx", "_cy"]).select(
-        "_alng", "_alat", "_bid", F.sqrt(dx * dx + dy * dy).alias(distance)
+    found = looks.join(members, ["step", "cx", "cy"]).select(
+        "_alng", "_alat", F.explode("ids").alias("_bid"), F.sqrt(dx * dx + dy * dy).alias(distance)
     )
     best = top_per_group(found, ["_alng", "_alat"], [F.col(distance), F.col("_bid")], k, rank=rank)
     out = _attach(best, left, *left_point, "_a").drop("_alng", "_alat")

@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings. Timestamps carry no offset in the inputs, so the zone is pinned.
 # The skew settings let a join on a key that holds a large share of the rows be split at run time,
@@ -73,3 +73,10 @@ def workspace(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _own_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows, written once into the shared folder and read from there."""
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
