@@ -10,6 +10,7 @@ import seeds
 from helpers import plan_of, rows
 from tradewind.operators import profiling as P
 from tradewind.operators import quality as Q
+from tradewind.operators import quantiles
 from tradewind.plans import explore as E
 from tradewind.schemas import DOCUMENT_FIELDS, NOT_NULL, REFERENCES, required, row_rules
 
@@ -106,8 +107,7 @@ def test_exact_quantiles(spark, n, kind, monkeypatch):
     rng = random.Random(n)
     draw = {"spread": lambda: rng.uniform(-5, 5), "few": lambda: float(rng.randint(0, 3)), "skewed": lambda: 7.0 if rng.random() < 0.4 else rng.gauss(7, 1)}[kind]
     data = [draw() for _ in range(n)]
-    monkeypatch.setattr(P, "SKETCH_ACCURACY", 100)  # coarse brackets
-    monkeypatch.setattr(P, "_SLACK", 0.02)
+    monkeypatch.setattr(quantiles, "PER_OCTAVE", 2)  # coarse buckets
     df = spark.createDataFrame([(x, 1) for x in data] + [(None, 1)], "x double, y int")
     got = {(r[0], r[1]): r[2] for r in P.exact_quantiles(df, ["x", "y"], [0.0, 0.25, 0.5, 0.99, 1.0]).collect()}
     for p in (0.0, 0.25, 0.5, 0.99, 1.0):
@@ -124,15 +124,40 @@ def test_quantiles_when_brackets_miss_or_are_large(spark, kind, monkeypatch):
         "wide": lambda: rng.choice([-1, 1]) * 10 ** rng.uniform(-300, 300),
     }[kind]
     data = [draw() for _ in range(5000)]
-    monkeypatch.setattr(P, "SKETCH_ACCURACY", 5)  # the sketch is far off
-    monkeypatch.setattr(P, "_SLACK", 0.0)
-    monkeypatch.setattr(P, "INSIDE", 20)
+    monkeypatch.setattr(quantiles, "PER_OCTAVE", 1)
+    monkeypatch.setattr(quantiles, "PARTS", 16)
+    monkeypatch.setattr(quantiles, "INSIDE", 20)
     df = spark.createDataFrame([(x,) for x in data], "x double")
     got = {r[1]: r[2] for r in P.exact_quantiles(df, ["x"], [0.1, 0.37, 0.75]).collect()}
     for p, value in got.items():
         assert math.isclose(value, np.quantile(data, p), rel_tol=1e-9, abs_tol=1e-300)
 
 
+def test_infinite_values(spark):
+    """Infinity is a value, NaN is none."""
+    data = [-math.inf, 1.0, 2.0, 4.0, math.inf]
+    df = spark.createDataFrame([(x,) for x in [*data, math.nan, None]], "x double")
+    got = {r[1]: r[2] for r in P.exact_quantiles(df, ["x"], [0.0, 0.1, 0.5, 0.75, 0.9, 1.0]).collect()}
+    assert got == {0.0: -math.inf, 0.1: -math.inf, 0.5: 2.0, 0.75: 4.0, 0.9: math.inf, 1.0: math.inf}
+
+
+def test_tables_are_profiled_in_few_jobs(spark):
+    """The number of jobs is the same for two columns and for twelve columns of three tables."""
+    df = spark.range(5000).select(*(((F.col("id") * (7 + i)) % 1009 + F.col("id") / 7).alias(f"c{i}") for i in range(4)))
+    tracker, counts = spark.sparkContext.statusTracker(), []
+    for tables in ({"a": df.select("c0", "c1")}, {"a": df, "b": df.where("c0 > 20"), "c": df.where("c1 > 500")}):
+        group = f"profile-{len(counts)}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = P.describe_tables(tables)
+        counts.append(len(tracker.getJobIdsForGroup(group)))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        by = {(r["table_name"], r["column_name"]): r["q50"] for r in found.collect()}
+        for name, table in tables.items():
+            for c in table.columns:
+                assert math.isclose(by[name, c], float(np.median([r[0] for r in table.select(c).collect()])))
+    assert counts[0] == counts[1]
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(i, float(i % 10)) for i in range(100)] + [(100, 500.0)], "order_item_id int, price double")
     out = P.outliers(df, E.IDENTIFIERS).collect()

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.operators import quantiles
+
 # percentile_approx with this accuracy is off by at most one part in as many of the row count.
 SKETCH_ACCURACY = 100_000
-_SLACK = 2.0 / SKETCH_ACCURACY
 
 
 def numeric_columns(df: DataFrame, exclude: list[str] | None = None) -> list[str]:
@@ -77,179 +76,44 @@ def mode_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFr
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation: ``column_name, probability, value``.
+    """Exact quantiles with linear interpolation: ``column_name, probability, value``. Columns without values give NULL."""
+    names = [("", c) for c in columns]
+    found = quantiles.summaries(quantiles.long_form({"": df}, names), len(names))
+    values = quantiles.quantiles({"": df}, names, found, probabilities)
+    rows = [(columns[i], float(p), value) for (i, p), value in values.items()]
+    return df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
 
-    1. One pass makes bounded sketches of all columns; each quantile gets a bracket of values around it.
-    2. One pass counts the rows below and inside every bracket. Where the rank lies outside, the bracket is widened to the
-       end of the column on that side. Where more than ``INSIDE`` rows are inside, a pass counts them in equal parts of the
-       bracket, and the parts that hold the rank become the bracket; this repeats until few rows, or one value, are left.
-    3. One pass counts the distinct values that are left inside the brackets.
 
-    The counts of a pass are a few numbers per quantile. So no task and not the driver ever holds more than the values
-    of small brackets, and the result does not depend on how good the sketch is. Columns without values give NULL.
-    """
-    values = {c: F.col(c).cast("double") for c in columns}
-    spread = sorted({min(1.0, max(0.0, p + d)) for p in probabilities for d in (-_SLACK, _SLACK)})
-    row = df.agg(
-        *[
-            F.struct(
-                F.percentile_approx(values[c], spread, SKETCH_ACCURACY).alias("sketch"),
-                F.count(values[c]).alias("total"),
-                F.min(values[c]).alias("low"),
-                F.max(values[c]).alias("high"),
-            ).alias(f"c{i}")
-            for i, c in enumerate(columns)
+def _sketched(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
+    """``column_name`` and an array of the quantiles of bounded sketches."""
+    arrays = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probabilities, SKETCH_ACCURACY).alias(c) for c in columns])
+    return arrays.select(_pairs({c: F.col(c) for c in columns}))
+
+
+def bounds_of_tables(tables: dict[str, DataFrame], exclude: list[str] | None = None, approximate: bool = False) -> DataFrame:
+    """Per numeric column of each table the quartiles and the bounds 1.5 interquartile ranges outside them."""
+    columns = [(name, c) for name, df in tables.items() for c in numeric_columns(df, exclude)]
+    spark, schema = next(iter(tables.values())).sparkSession, "table_name string, column_name string, q1 double, q3 double"
+    if not columns:
+        quartiles = spark.createDataFrame([], schema)
+    elif approximate:
+        parts = [
+            _sketched(df, own, [0.25, 0.75]).select(F.lit(name).alias("table_name"), "column_name", F.col("value")[0].alias("q1"), F.col("value")[1].alias("q3"))
+            for name, df in tables.items()
+            if (own := [c for table, c in columns if table == name])
         ]
-    ).first()
-    targets = []
-    for i, c in enumerate(columns):
-        found = row[f"c{i}"]
-        for p in probabilities if found["total"] else ():
-            at = (found["total"] - 1) * p
-            low = found["sketch"][spread.index(min(1.0, max(0.0, p - _SLACK)))]
-            high = found["sketch"][spread.index(min(1.0, max(0.0, p + _SLACK)))]
-            targets.append(_Target(c, p, at, low, high, found["low"], found["high"], found["total"]))
-    _count_brackets(df, values, targets)
-    while wide := [t for t in targets if t.ends is None and t.inside > INSIDE and t.low < t.high]:
-        _narrow(df, values, wide)
-    _count_values(df, values, [t for t in targets if t.ends is None and t.low < t.high])
-    results = [(t.column, float(t.probability), t.value()) for t in targets]
-    done = {t.column for t in targets}
-    results += [(c, float(p), None) for c in columns if c not in done for p in probabilities]
-    return df.sparkSession.createDataFrame(results, "column_name string, probability double, value double")
-
-
-#: Rows inside a bracket up to which its values are fetched, and the parts a larger one is cut into.
-INSIDE = 20_000
-PARTS = 256
-
-
-@dataclass(eq=False)
-class _Target:
-    """A quantile and the bracket of values that holds its ranks."""
-
-    column: str
-    probability: float
-    at: float
-    low: float
-    high: float
-    least: float
-    most: float
-    total: int
-    below: int = 0
-    inside: int = 0
-    ends: tuple[float, float] | None = None
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        first = math.floor(self.at)
-        return first, min(first + 1, self.total - 1)
-
-    def holds(self) -> bool:
-        first, last = self.ranks
-        return self.below <= first and last < self.below + self.inside
-
-    def value(self) -> float:
-        a, b = self.ends or (self.low, self.high)
-        return a + (b - a) * (self.at - math.floor(self.at))
-
-
-def _count_brackets(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
-    """Rows below and inside every bracket; brackets that miss their ranks are widened and counted again."""
-    pending = list(targets)
-    while pending:
-        row = df.agg(
-            *[
-                F.struct(
-                    F.count_if(values[t.column] < t.low).alias("below"),
-                    F.count_if(values[t.column].between(t.low, t.high)).alias("inside"),
-                ).alias(f"t{i}")
-                for i, t in enumerate(pending)
-            ]
-        ).first()
-        missed = []
-        for i, t in enumerate(pending):
-            t.below, t.inside = row[f"t{i}"]["below"], row[f"t{i}"]["inside"]
-            if not t.holds():
-                t.low, t.high = (t.least if t.below > t.ranks[0] else t.low), (t.most if t.below + t.inside <= t.ranks[1] else t.high)
-                missed.append(t)
-        pending = missed
-
-
-def _narrow(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
-    """Cut each bracket into equal parts and keep those that hold its ranks."""
-    parts = []
-    for i, t in enumerate(targets):
-        x = values[t.column]
-        share = (x / 2 - t.low / 2) / (t.high / 2 - t.low / 2)  # halves: the width itself may be too large a number
-        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).cast("int")
-        parts.append(F.when(x.between(t.low, t.high), F.struct(F.lit(i).alias("i"), part.alias("part"), x.alias("x"))))
-    rows = df.select(F.inline(F.array_compact(F.array(*parts))))
-    counted = rows.groupBy("i", "part").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
-    by_target: dict[int, list] = {}
-    for r in counted.collect():  # at most PARTS rows for each target
-        by_target.setdefault(r["i"], []).append(r)
-    for i, t in enumerate(targets):
-        upto, kept = t.below, []
-        for r in sorted(by_target[i], key=lambda r: r["part"]):
-            if upto + r["n"] > t.ranks[0] and upto <= t.ranks[1]:
-                kept.append((upto, r))
-            upto += r["n"]
-        t.below, t.inside = kept[0][0], sum(r["n"] for _, r in kept)
-        t.low, t.high = kept[0][1]["low"], kept[-1][1]["high"]
-        if len(kept) == 2 and t.inside > INSIDE:
-            # the two ranks lie on both sides of a cut: the greatest value below it and the least above it
-            t.ends = kept[0][1]["high"], kept[1][1]["low"]
-
-
-def _count_values(df: DataFrame, values: dict[str, Column], targets: list[_Target]) -> None:
-    """The values at the ranks, from the distinct values inside small brackets."""
-    if not targets:
-        return
-    entries = [
-        F.when(values[t.column].between(t.low, t.high), F.struct(F.lit(i).alias("i"), values[t.column].alias("x")))
-        for i, t in enumerate(targets)
-    ]
-    counted = df.select(F.inline(F.array_compact(F.array(*entries)))).groupBy("i", "x").agg(F.count(F.lit(1)).alias("n"))
-    by_target: dict[int, list[tuple[float, int]]] = {}
-    for r in counted.collect():  # at most INSIDE rows for each target
-        by_target.setdefault(r["i"], []).append((r["x"], r["n"]))
-    for i, t in enumerate(targets):
-        found, upto = {}, t.below
-        for x, n in sorted(by_target[i]):
-            for rank in t.ranks:
-                if upto <= rank < upto + n:
-                    found[rank] = x
-            upto += n
-        t.ends = found[t.ranks[0]], found[t.ranks[1]]
-
-
-def _quantiles_by_column(df: DataFrame, columns: list[str], probabilities: dict[str, float], approximate: bool) -> DataFrame:
-    """One row per column with one field per named probability."""
-    if approximate:
-        names = list(probabilities)
-        arrays = df.agg(
-            *[
-                F.percentile_approx(F.col(c).cast("double"), list(probabilities.values()), SKETCH_ACCURACY).alias(c)
-                for c in columns
-            ]
-        )
-        return arrays.select(_pairs({c: F.col(c) for c in columns})).select(
-            "column_name", *[F.col("value")[i].alias(n) for i, n in enumerate(names)]
-        )
-    exact = exact_quantiles(df, columns, list(probabilities.values()))
-    return exact.groupBy("column_name").agg(
-        *[F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n) for n, p in probabilities.items()]
-    )
+        quartiles = reduce(DataFrame.unionByName, parts)
+    else:
+        found = quantiles.summaries(quantiles.long_form(tables, columns), len(columns))
+        values = quantiles.quantiles(tables, columns, found, [0.25, 0.75])
+        quartiles = spark.createDataFrame([(*c, values[i, 0.25], values[i, 0.75]) for i, c in enumerate(columns)], schema)
+    iqr = F.col("q3") - F.col("q1")
+    return quartiles.withColumn("lower_bound", F.col("q1") - 1.5 * iqr).withColumn("upper_bound", F.col("q3") + 1.5 * iqr)
 
 
 def outlier_bounds(df: DataFrame, columns: list[str], approximate: bool = False) -> DataFrame:
     """Per column the quartiles and the bounds 1.5 interquartile ranges outside them."""
-    quartiles = _quantiles_by_column(df, columns, {"q1": 0.25, "q3": 0.75}, approximate)
-    iqr = F.col("q3") - F.col("q1")
-    return quartiles.withColumn("lower_bound", F.col("q1") - 1.5 * iqr).withColumn(
-        "upper_bound", F.col("q3") + 1.5 * iqr
-    )
+    return bounds_of_tables({"": df.select(*columns)}, approximate=approximate).drop("table_name")
 
 
 def outlier_rows(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
@@ -263,77 +127,87 @@ def outlier_rows(df: DataFrame, column: str, approximate: bool = False) -> DataF
     )
 
 
-def outliers(df: DataFrame, exclude: list[str] | None = None, approximate: bool = False) -> DataFrame:
-    """Bounds and number of outliers for every numeric column that is not an identifier."""
-    columns = numeric_columns(df, exclude)
+def outliers_of_tables(tables: dict[str, DataFrame], exclude: list[str] | None = None, approximate: bool = False) -> DataFrame:
+    """Bounds and number of outliers for every numeric column of each table that is not an identifier.
+
+    The columns of all tables are profiled together, and counted in one pass.
+    """
+    columns = [(name, c) for name, df in tables.items() for c in numeric_columns(df, exclude)]
+    spark = next(iter(tables.values())).sparkSession
     if not columns:
-        empty = "column_name string, lower_bound double, upper_bound double, outliers bigint"
-        return df.sparkSession.createDataFrame([], empty)
-    limits = outlier_bounds(df, columns, approximate)
-    long = df.select(_pairs({c: F.col(c).cast("double") for c in columns})).where(F.col("value").isNotNull())
-    outside = (F.col("value") < F.col("lower_bound")) | (F.col("value") > F.col("upper_bound"))
+        return spark.createDataFrame([], "table_name string, column_name string, lower_bound double, upper_bound double, outliers bigint")
+    numbers = spark.createDataFrame([(i, *c) for i, c in enumerate(columns)], "id int, table_name string, column_name string")
+    limits = bounds_of_tables(tables, exclude, approximate).join(numbers, ["table_name", "column_name"])
+    outside = (F.col("x") < F.col("lower_bound")) | (F.col("x") > F.col("upper_bound"))
     return (
-        long.join(F.broadcast(limits), "column_name")  # one row per column
-        .groupBy("column_name", "lower_bound", "upper_bound")
+        quantiles.long_form(tables, columns)
+        .join(F.broadcast(limits), "id")  # one row per column
+        .groupBy("table_name", "column_name", "lower_bound", "upper_bound")
         .agg(F.count_if(outside).alias("outliers"))
     )
 
 
-def describe(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """One row per column: count, distinct values, top value and its frequency for non-numeric
-    columns; mean, deviation, minimum, quartiles and maximum for numeric ones."""
-    numbers = numeric_columns(df)
-    others = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in numbers and isinstance(f.dataType, (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
-    ]
-    parts = []
-    if numbers:
-        stats = ["count", "mean", "std", "min", "max"]
-        functions = [F.count, F.avg, F.stddev, F.min, F.max]
-        wide = df.agg(
-            *[
-                F.struct(*[f(F.col(c).cast("double")).alias(s) for s, f in zip(stats, functions)]).alias(c)
-                for c in numbers
-            ]
-        )
-        basic = wide.select(_pairs({c: F.col(c) for c in numbers})).select("column_name", "value.*")
-        quartiles = _quantiles_by_column(df, numbers, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, approximate)
-        parts.append(
-            basic.join(quartiles, "column_name", "left").select(
-                "column_name",
-                "count",
-                F.lit(None).cast("bigint").alias("unique"),
-                F.lit(None).cast("string").alias("top"),
-                F.lit(None).cast("bigint").alias("freq"),
-                "mean",
-                "std",
-                "min",
-                "q25",
-                "q50",
-                "q75",
-                "max",
-            )
-        )
-    if others:
-        long = df.select(_pairs({c: F.col(c).cast("string") for c in others}))
-        counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+def outliers(df: DataFrame, exclude: list[str] | None = None, approximate: bool = False) -> DataFrame:
+    """Bounds and number of outliers for every numeric column that is not an identifier."""
+    return outliers_of_tables({"": df}, exclude, approximate).drop("table_name")
+
+
+_QUARTERS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+_DESCRIPTION = (
+    "table_name string, column_name string, count bigint, unique bigint, top string, freq bigint, "
+    "mean double, std double, min double, q25 double, q50 double, q75 double, max double"
+)
+
+
+def describe_tables(tables: dict[str, DataFrame], approximate: bool = False) -> DataFrame:
+    """One row per column of each table: count, distinct values, top value and its frequency for non-numeric
+    columns; mean, deviation, minimum, quartiles and maximum for numeric ones. All columns are summarised together."""
+    spark = next(iter(tables.values())).sparkSession
+    columns = [(name, c) for name, df in tables.items() for c in numeric_columns(df)]
+    rows = []
+    if columns:
+        found = quantiles.summaries(quantiles.long_form(tables, columns), len(columns))
+        if approximate:
+            values = {}
+            for name, df in tables.items():
+                own = [i for i, (table, _) in enumerate(columns) if table == name]
+                for row in _sketched(df, [columns[i][1] for i in own], list(_QUARTERS.values())).collect() if own else ():
+                    values |= {(columns.index((name, row["column_name"])), p): v for p, v in zip(_QUARTERS.values(), row["value"] or [None] * 3)}
+        else:
+            values = quantiles.quantiles(tables, columns, found, list(_QUARTERS.values()))
+        for i, s in enumerate(found):
+            rows.append((*columns[i], s.count, None, None, None, s.mean, s.std, s.least, *(values[i, p] for p in _QUARTERS.values()), s.most))
+    parts = [spark.createDataFrame(rows, _DESCRIPTION)]
+    kinds = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    texts = []
+    for name, df in tables.items():
+        others = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
+        if others:
+            texts.append(df.select(F.lit(name).alias("table_name"), _pairs({c: F.col(c).cast("string") for c in others})))
+    if texts:
+        counted = reduce(DataFrame.unionByName, texts).groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
         real = F.col("value").isNotNull()
         best = F.min(F.when(real, F.struct((-F.col("n")).alias("n"), F.col("value").alias("v"))))
-        empty = [F.lit(None).cast("double").alias(s) for s in ["mean", "std", "min", "q25", "q50", "q75", "max"]]
+        empty = [F.lit(None).cast("double").alias(s) for s in ["mean", "std", "min", *_QUARTERS, "max"]]
         parts.append(
-            counted.groupBy("column_name")
+            counted.groupBy("table_name", "column_name")
             .agg(
                 F.coalesce(F.sum(F.when(real, F.col("n"))), F.lit(0)).alias("count"),
                 F.count_if(real).alias("unique"),
                 best.alias("best"),
             )
-            .select("column_name", "count", "unique", F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"), *empty)
+            .select(
+                "table_name", "column_name", "count", "unique", F.col("best.v").alias("top"), (-F.col("best.n")).alias("freq"), *empty
+            )
         )
     return reduce(DataFrame.unionByName, parts)
 
 
+def describe(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """``describe_tables`` for one table."""
+    return describe_tables({"": df}, approximate).drop("table_name")
+
+
 def type_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Declared type of every column of every table; reads schemas only."""
     rows = [(name, f.name, f.dataType.simpleString()) for name, df in tables.items() for f in df.schema.fields]

@@ -27,7 +27,7 @@ def _per_table(tables: dict[str, DataFrame], job) -> DataFrame:
 
 
 def describe_tables(tables: dict[str, DataFrame], approximate: bool = False) -> DataFrame:
-    return _per_table(tables, lambda df: profiling.describe(df, approximate))
+    return profiling.describe_tables(tables, approximate)
 
 
 def null_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -38,7 +38,7 @@ def outlier_report(
     tables: dict[str, DataFrame], exclude: list[str] | None = None, approximate: bool = False
 ) -> DataFrame:
     skip = IDENTIFIERS if exclude is None else exclude
-    return _per_table(tables, lambda df: profiling.outliers(df, skip, approximate))
+    return profiling.outliers_of_tables(tables, skip, approximate)
 
 
 def top_values(df: DataFrame, column: str, top: int = 5) -> DataFrame:
