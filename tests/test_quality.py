@@ -1,6 +1,7 @@
 import json
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -206,6 +207,12 @@ def test_wide_fact_and_back(spark):
     assert keys(back["payment"], "order_id", "payment_value") == keys(t["payment"], "order_id", "payment_value")
     assert keys(back["review"], "review_id") == keys(t["review"], "review_id")
     assert back["order"].count() == 3 and back["product"].count() == 2
+    tagged = E.tagged_rows(fact)
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*table_name", plan_of(tagged))) == 1
+    digests = {r["table_name"]: tuple(r) for r in E.row_digests(tagged).collect()}
+    shuffled = {r["table_name"]: tuple(r) for r in E.row_digests(tagged.repartition(5)).collect()}
+    changed = E.tagged_rows(fact.withColumn("price", F.col("price") + 1))
+    assert digests == shuffled and {r["table_name"] for r in E.row_digests(changed).collect() if tuple(r) != digests[r["table_name"]]} == {"order_item"}
     slim = E.order_summary(t["order"], t["customer"], t["payment"], t["review"])
     assert slim.count() == 6 and "price" not in slim.columns
     assert E.largest_order_rows(t["order_item"]).count() == 2

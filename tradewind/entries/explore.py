@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from tradewind.operators.privacy import protect_pii, read_secrets, reveal
 from tradewind.operators.profiling import inclusion, outlier_rows
 from tradewind.operators.upsert import insert_new
 from tradewind.plans import explore as E
-from tradewind.session import workspace
 from tradewind.schemas import DOCUMENT_FIELDS, PRIMARY_KEYS, Reference, row_rules
+from tradewind.session import workspace
 from tradewind.sources.star_views import Shop
 
 # Table -> (SQL view, {column: (SQL expression, "n" number or "t" text-like)}).
@@ -156,10 +157,57 @@ def _full_out(s: Shop) -> DataFrame:
     )
 
 
-def _decomposed(s: Shop) -> DataFrame:
-    from tradewind.plans.reports import row_counts
+# Table -> what is added up over its keys and over its other columns: numbers, lengths of texts, seconds of times.
+_CONTENTS = {
+    "customer": ("customer_id", "customer_unique_id + customer_zip_code_prefix + length(customer_city) + length(customer_state)"),
+    "seller": ("seller_id", "seller_zip_code_prefix + length(seller_city) + length(seller_state)"),
+    "product": ("product_id", "length(product_category_name)"),
+    "product_category": ("length(product_category_name)", "length(product_category_name_english)"),
+    "order": (
+        "order_id",
+        "customer_id + length(order_status) + unix_seconds(cast(order_purchase_timestamp as timestamp))"
+        " + coalesce(unix_seconds(cast(order_delivered_customer_date as timestamp)), 0) + unix_seconds(cast(order_estimated_delivery_date as timestamp))",
+    ),
+    "order_item": ("order_id * 10 + order_item_id", "product_id + seller_id + price + freight_value"),
+    "payment": ("order_id * 10 + payment_sequential", "length(payment_type) + payment_installments + payment_value"),
+    "review": ("review_id", "order_id + review_score"),
+    "geolocation": ("customer_zip_code_prefix", "customer_geolocation_lat + customer_geolocation_lng"),
+}
+
 
-    return row_counts(E.decompose(_full(s)))
+def _decomposed(s: Shop) -> DataFrame:
+    """Rows, keys and contents of the tables taken out of the fact."""
+    parts = []
+    for name, df in E.decompose(_full(s)).items():
+        keys, contents = (F.round(F.sum(F.expr(x).cast("double")), 2) for x in _CONTENTS[name])
+        parts.append(df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"), keys.alias("claves"), contents.alias("contenido")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _decomposed_sql() -> str:
+    sold = "SELECT product_id FROM v_item"
+    seconds = "epoch(ts) + coalesce(epoch(delivered_at), 0) + epoch(estimated_at)"
+    tables = {
+        "customer": ("v_customer WHERE customer_id IN (SELECT customer_id FROM v_order)", "customer_id", "customer_unique_id + zip_code_prefix + length(customer_city) + length(customer_state)"),
+        "seller": ("v_seller WHERE seller_id IN (SELECT seller_id FROM v_item)", "seller_id", "zip_code_prefix + length(seller_city) + length(seller_state)"),
+        "product": (f"v_product WHERE product_id IN ({sold})", "product_id", "length(category_name)"),
+        "product_category": (
+            f"v_category WHERE category_name IN (SELECT category_name FROM v_product WHERE product_id IN ({sold}))", "length(category_name)", "length(name_english)",
+        ),
+        "order": ("v_order", "order_id", f"customer_id + length(order_status) + {seconds}"),
+        "order_item": (
+            "(SELECT DISTINCT order_id, order_item_id, product_id, seller_id, price, freight_value FROM v_item)",
+            "order_id * 10 + order_item_id",
+            "product_id + seller_id + price + freight_value",
+        ),
+        "payment": ("v_payment", "order_id * 10 + seq", "length(payment_type) + payment_installments + payment_value"),
+        "review": ("v_review", "review_id", "order_id + review_score"),
+        "geolocation": ("v_zip WHERE zip IN (SELECT zip_code_prefix FROM v_customer WHERE customer_id IN (SELECT customer_id FROM v_order))", "zip", "lat + lng"),
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS tabla, count(*) AS filas, round(sum({dbl(keys)}), 2) AS claves, round(sum({dbl(contents)}), 2) AS contenido FROM {source}"
+        for name, (source, keys, contents) in tables.items()
+    )
 
 
 def _pairs(s: Shop):
@@ -594,19 +642,7 @@ SQL = {
         FROM orders""",
     "q11_dependency_violations": """
         SELECT p_name, count(DISTINCT p_brand) AS "values" FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1""",
-    "q12_decompose": """
-        SELECT 'customer' AS tabla, count(*) AS filas FROM v_customer WHERE customer_id IN (SELECT customer_id FROM v_order)
-        UNION ALL SELECT 'seller', count(*) FROM v_seller WHERE seller_id IN (SELECT seller_id FROM v_item)
-        UNION ALL SELECT 'product', count(*) FROM v_product WHERE product_id IN (SELECT product_id FROM v_item)
-        UNION ALL SELECT 'product_category', count(*) FROM v_category WHERE category_name IN
-            (SELECT category_name FROM v_product WHERE product_id IN (SELECT product_id FROM v_item))
-        UNION ALL SELECT 'order', count(*) FROM v_order
-        UNION ALL SELECT 'order_item', count(*) FROM
-            (SELECT DISTINCT order_id, order_item_id, product_id, seller_id, price, freight_value FROM v_item)
-        UNION ALL SELECT 'payment', count(*) FROM v_payment
-        UNION ALL SELECT 'review', count(*) FROM v_review
-        UNION ALL SELECT 'geolocation', count(DISTINCT zip_code_prefix) FROM v_customer
-            WHERE customer_id IN (SELECT customer_id FROM v_order)""",
+    "q12_decompose": _decomposed_sql(),
     "q13_read_versions": """
         SELECT product_id, name, CASE WHEN product_id % 2 = 1 THEN CAST(total_reviews AS DOUBLE) END AS total_reviews,
                CASE WHEN product_id % 2 = 1 THEN 2 ELSE 1 END AS schema_version FROM v_catalog""",

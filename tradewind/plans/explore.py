@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.numeric import rounded_avg, rounded_ratio, weighted_sum
 from tradewind.functions.temporal import month_label
 from tradewind.operators import profiling
+from tradewind.session import workspace
 
 # Columns that number or identify rows and are no measures.
 IDENTIFIERS = [
@@ -281,15 +282,39 @@ DECOMPOSITION: dict[str, tuple[list[str], list[str]]] = {
 }
 
 
-def decompose(fact: DataFrame) -> dict[str, DataFrame]:
-    """The wide fact back into its normalised tables, one row per key.
+def tagged_rows(fact: DataFrame) -> DataFrame:
+    """``table_name`` and the columns of every table of the decomposition, NULL where a row's table has no such column.
 
-    Equal rows fall together before the shuffle. Where a key has several different rows (a broken
-    dependency) all of them are kept, so that nothing is lost silently; see ``duplicate_keys``.
+    One pass turns a row of the fact into one row for each table whose key it has; equal rows fall together in every task, then in
+    one shuffle for all tables. Where a key has several different rows (a broken dependency) all of them are kept, so
+    that nothing is lost silently; see ``duplicate_keys``.
     """
-    out = {}
-    for name, (key, others) in DECOMPOSITION.items():
-        columns = [*key, *[c for c in others if c in fact.columns]]
+    layout = {name: [c for c in [*key, *others] if c in fact.columns] for name, (key, others) in DECOMPOSITION.items()}
+    columns = sorted({c for own in layout.values() for c in own})
+    entries = []
+    for name, (key, _) in DECOMPOSITION.items():
         present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
-        out[name] = fact.where(present).select(*columns).distinct()
-    return out
+        fields = [(F.col(c) if c in layout[name] else F.lit(None).cast(fact.schema[c].dataType)).alias(c) for c in columns]
+        entries.append(F.when(present, F.struct(F.lit(name).alias("table_name"), *fields)))
+    return fact.select(F.inline(F.array_compact(F.array(*entries)))).distinct()
+
+
+def decompose(fact: DataFrame) -> dict[str, DataFrame]:
+    """The wide fact back into its normalised tables, one row per key, from one pass that is written to the shared folder."""
+    path = workspace(fact.sparkSession, "decomposed")
+    rows = tagged_rows(fact)
+    rows.write.partitionBy("table_name").parquet(path)
+    back = fact.sparkSession.read.schema(rows.schema).parquet(path)
+    return {
+        name: back.where(F.col("table_name") == name).select(*[c for c in [*key, *others] if c in fact.columns])
+        for name, (key, others) in DECOMPOSITION.items()
+    }
+
+
+def row_digests(rows: DataFrame, key: str = "table_name") -> DataFrame:
+    """Rows and two digests of their contents for each key; equal for equal bags of rows in any order."""
+    content = [c for c in rows.columns if c != key]
+    a, b = F.xxhash64(*content), F.xxhash64(F.lit(1), *content)
+    return rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("rows"), F.bit_xor(a).alias("mixed"), F.sum(b.cast("decimal(20,0)")).alias("total")
+    )
