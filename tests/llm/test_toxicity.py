@@ -42,6 +42,19 @@ def test_fit_separates():
     assert all((bias + gain[f].sum() > 0) == t for f, t in zip(features, toxic))
 
 
+def test_many_documents_in_one_bucket(spark):
+    """Counts beyond one and two bytes add up; labels that are not sent give the same rows."""
+    rows = spark.range(70_000).selectExpr("'abc' AS text", "cast(id % 7 = 0 AS int) AS toxic").coalesce(1)
+    assert [tuple(r)[1:] for r in toxicity.feature_counts(rows).collect()] == [(10_000, 60_000)]
+
+
+def test_labels_joined_in_a_shuffle(spark, documents, monkeypatch):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    sent = sorted(tuple(r) for r in toxicity.labelled(documents, labels).select("doc_id", "toxic").collect())
+    monkeypatch.setattr(toxicity, "LABELS_SENT", 0)
+    assert sent == sorted(tuple(r) for r in toxicity.labelled(documents, labels).select("doc_id", "toxic").collect())
+
+
 @pytest.mark.parametrize("labels", [[], [(1, 1, None, "clash")], [(7, 1, 1, "clash"), (7, 0, 0, "clash"), (9, 1, 1, "x")]])
 def test_awkward_rows(spark, awkward, labels):
     """Nulls, empty and very long texts, repeated rows and labels, labels of one kind or none: a score for every row."""

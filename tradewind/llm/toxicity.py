@@ -34,6 +34,8 @@ SMOOTHING = 0.5
 #: Labelled documents of each label that the weights are fitted to.
 SAMPLE = 2048
 ROUNDS, PENALTY = 400, 1e-4
+#: Labels that are sent to all tasks; more are joined in a shuffle.
+LABELS_SENT = 1_000_000
 
 
 def buckets(data: np.ndarray) -> np.ndarray:
@@ -63,7 +65,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     A document with several labels is toxic if one of them says so; labels without a value are none.
     """
     known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
-    known = known.agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
+    known = stored(known.agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic")), "labels")
+    if known.count() <= LABELS_SENT:
+        known = F.broadcast(known)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.where(crc_bucket("doc_id", FOLDS) != 0).join(known, "doc_id")
 
@@ -80,13 +84,19 @@ def feature_counts(training: DataFrame) -> DataFrame:
         some = np.flatnonzero(blocks.any(1))
         for at in range(0, len(some), 64):
             part = some[at : at + 64]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([blocks[b].tobytes() for b in part])], ["block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([narrow(blocks[b]) for b in part])], ["block", "counts"])
+
+    def narrow(block: np.ndarray) -> bytes:
+        """The counts in the fewest bytes that hold the largest."""
+        most = block.max()
+        return block.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.int32).tobytes()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
-                value = np.frombuffer(counts.as_buffer(), np.int32)
+                data = counts.as_buffer()
+                value = np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.int32}[data.size // (BLOCK * 2)])
                 sums[block] = sums[block] + value if block in sums else value.astype(np.int64)
         for block, total in sums.items():
             table = total.reshape(BLOCK, 2)
@@ -134,7 +144,9 @@ def features_of(data: np.ndarray, places: np.ndarray) -> np.ndarray:
 def sample_features(training: DataFrame, bucket: np.ndarray) -> DataFrame:
     """(toxic, features) of the sample: which of the features each of its documents has."""
     mix = F.xxhash64("doc_id", "text").alias("mix")
-    rows = top_per_group(training.select("toxic", mix, "doc_id", "text"), ["toxic"], ["mix", "doc_id"], SAMPLE).select("text", "toxic")
+    chosen = top_per_group(training.select("toxic", mix, "doc_id").distinct(), ["toxic"], ["mix", "doc_id"], SAMPLE).drop("toxic")
+    rows = training.withColumn("mix", mix).join(F.broadcast(chosen), ["doc_id", "mix"], "left_semi")  # twice SAMPLE rows
+    rows = rows.dropDuplicates(["doc_id", "mix"]).select("text", "toxic")
     held = training.sparkSession.sparkContext.broadcast(bucket)  # at most FEATURES numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
