@@ -86,10 +86,13 @@ def base_spans(text: str, compiled: dict[str, re.Pattern]) -> list[tuple[str, in
 def compiled_patterns() -> dict[str, re.Pattern]:
     out = {kind: re.compile(pattern) for kind, pattern in BASE.items()}
     return out | {
+        # a match can only begin where a run of digits does: the same matches, without a try at every digit
+        "ip": re.compile("(?<![0-9])" + BASE["ip"]),
         "local": re.compile(r"[A-Za-z0-9._%+-]"),
         "rest": re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
         "digit": re.compile("[0-9]"),
-        "token": re.compile(r"[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*"),
+        # a word with a digit, tried where a word begins
+        "token": re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*[0-9][^\x20\x09-\x0D]*"),
     }
 
 
@@ -113,12 +116,19 @@ def _neighbour(words: list[str], side: int) -> str | None:
 
 
 def candidates(text: str, spans: list[tuple[str, int, int]], compiled: dict[str, re.Pattern]) -> list[dict]:
-    """Seeds and candidates with the patterns each occurs in."""
+    """Seeds and candidates with the patterns each occurs in.
+
+    Neighbours are taken from 80 characters on either side; of a longer word only that part counts.
+    """
     taken = sorted((a, b) for _, a, b in spans)
     found = [(a, b, a, b, True) for a, b in taken]
+    passed, reach = 0, 0
     for m in compiled["token"].finditer(text):
         a, b = m.span()
-        if any(x < b and a < y for x, y in taken):
+        while passed < len(taken) and taken[passed][0] < b:
+            reach = max(reach, taken[passed][1])
+            passed += 1
+        if reach > a:  # a span that begins before the token's end goes beyond its begin
             continue
         core_a, core_b = _core(text, a, b)
         if core_b - core_a >= LEAST_LENGTH and compiled["digit"].search(text, core_a, core_b):
