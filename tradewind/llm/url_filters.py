@@ -11,10 +11,12 @@ many pages is one row with a large count wherever a step could be uneven.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.llm.tables import stored
+from tradewind.llm.tables import drop, stored
 
 # Verdict, domain and beginning of the path.
 RULES = (
@@ -76,10 +78,10 @@ def _kind(segment: Column) -> Column:
     )
 
 
-def _level(paths: DataFrame, i: int) -> DataFrame:
-    """The paths with segment i of the template: literal, merged into an alike sibling, or a wildcard."""
-    segment, following = F.get("segments", F.lit(i)), F.get("segments", F.lit(i + 1))
-    here = paths.where(F.size("segments") > i).withColumn("segment", segment)
+def _level(paths: DataFrame) -> DataFrame:
+    """The paths one segment further: literal, merged into an alike sibling, or a wildcard. All have a segment at ``at``."""
+    segment, following = F.get("segments", F.col("at")), F.get("segments", F.col("at") + 1)
+    here = paths.withColumn("segment", segment)
     below = [F.sum(F.when(_kind(following) == k, F.col("n")).otherwise(0)).alias(f"kind{k}") for k in range(_KINDS)]
     nodes = here.groupBy("host", "template", "segment").agg(
         F.sum("n").alias("n"), F.sum("blocked").alias("blocked"), F.sum("allowed").alias("allowed"), *below
@@ -126,24 +128,57 @@ def _level(paths: DataFrame, i: int) -> DataFrame:
     names = literal.join(target, ["host", "template", "segment"], "left").select(
         "host", "template", "segment", F.coalesce("into", "segment").alias("name")
     )
-    keyed = paths.withColumn("segment", segment)
-    grown = keyed.join(names, ["host", "template", "segment"], "left")
-    step = F.when(F.size("segments") > i, F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))).otherwise(F.col("template"))
-    return stored(
-        grown.select(
-            "host",
-            "path",
-            "segments",
-            "n",
-            "blocked",
-            "allowed",
-            step.alias("template"),
-            F.when(F.size("segments") > i, F.col("template")).otherwise(F.col("parent")).alias("parent"),
-        ),
-        "url-templates",
+    grown = here.join(names, ["host", "template", "segment"], "left")
+    step = F.concat("template", F.lit("/"), F.coalesce("name", F.lit("*")))
+    return grown.select(
+        "host", "path", "segments", "n", "blocked", "allowed", (F.col("at") + 1).alias("at"), step.alias("template"), F.col("template").alias("parent")
     )
 
 
+def _ahead(paths: DataFrame) -> DataFrame:
+    """The paths with what is certain ahead of them: a node of few pages has wildcards only, and segments that all paths of a
+    node share stay literal, since nothing stands beside them. So a long path takes no more rounds than it has forks."""
+    rest = F.expr("slice(segments, at + 1, size(segments))")
+    open_paths = paths.where("size(segments) > at")
+    nodes = open_paths.groupBy("host", "template").agg(F.sum("n").alias("pages"), F.min(rest).alias("low"), F.max(rest).alias("high"))
+    # the first and the last in order share what all share
+    equal = F.expr("zip_with(slice(low, 1, least(size(low), size(high))), slice(high, 1, least(size(low), size(high))), (a, b) -> a = b)")
+    same = F.when(F.forall(equal, lambda x: x), F.size(equal)).otherwise(F.array_position(equal, False) - 1).cast("int")
+    nodes = nodes.select("host", "template", (F.col("pages") < LEAST_PAGES).alias("few"), same.alias("same"))
+    moved = paths.join(nodes, ["host", "template"], "left")
+    going = F.expr("size(segments) > at")
+    taken = F.when(~going, 0).when(F.col("few"), F.size("segments") - F.col("at")).otherwise(F.col("same"))
+    moved = moved.withColumn("taken", taken)
+    added = F.when(F.col("few"), F.expr("array_repeat('*', taken)")).otherwise(F.expr("slice(segments, at + 1, taken)"))
+    moved = moved.withColumn("added", added)
+    joined = lambda parts: F.concat(F.col("template"), F.expr(f"array_join(transform({parts}, s -> '/' || s), '')"))
+    return moved.select(
+        "host",
+        "path",
+        "segments",
+        "n",
+        "blocked",
+        "allowed",
+        (F.col("at") + F.col("taken")).alias("at"),
+        F.when(F.col("taken") > 0, joined("added")).otherwise(F.col("template")).alias("template"),
+        F.when(F.col("taken") > 0, joined("slice(added, 1, taken - 1)")).otherwise(F.col("parent")).alias("parent"),
+    )
+
+
+def _tree(paths: DataFrame) -> DataFrame:
+    """The paths with their whole templates and those of their parents. Only paths with segments ahead are carried on."""
+    done, current = [], paths
+    while True:
+        following = stored(_ahead(current), "url-templates")
+        if current is not paths:
+            drop(current)
+        done.append(following.where("size(segments) = at").drop("at", "segments"))
+        rest = following.where("size(segments) > at")
+        if rest.isEmpty():
+            return reduce(DataFrame.union, done)
+        current = stored(_level(rest), "url-level")
+
+
 def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, template and the smoothed share of blocked labels of every row of ``pages``.
 
@@ -161,10 +196,7 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
         F.count(F.when(F.col("ruled") == "allow", 1)).alias("allowed"),
     )
     paths = paths.select("*", _segments(F.col("path")).alias("segments"), F.lit("").alias("template"), F.lit("").alias("parent"))
-    tree = stored(paths, "url-paths")
-    levels = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for i in range(levels):
-        tree = _level(tree, i)
+    tree = _tree(stored(paths.withColumn("at", F.lit(0)), "url-paths"))
 
     seen, blocked = (F.sum("blocked") + F.sum("allowed")).alias("seen"), F.sum("blocked").alias("blocked")
     every = tree.agg(seen, blocked).first()  # two numbers
