@@ -122,3 +122,32 @@ def test_workspace_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     a, b = workspace(spark, "x"), workspace(spark, "x")
     assert a != b and (root is None or a.startswith(root))
+
+
+def test_a_second_run_reads_only_new_files(spark, tmp_path):
+    """Open windows come from the state; files that were read are not read again."""
+    folder, root = tmp_path / "feed", str(tmp_path / "run")
+    schema = "timestamp timestamp, event_type string, customer_unique_id long"
+
+    def arrive(name, *times):
+        rows = [(dt.datetime(2024, 1, 1, h, m), "view", 1) for h, m in times]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(folder / name))
+
+    def run(build, held, where):
+        stream = build(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(str(folder)))
+        return rows(S.with_open(S.advance(stream, where), held(spark, where)).drop("session_end"))
+
+    arrive("one", (0, 5), (0, 10), (1, 50))
+    counts, sessions = root + "-counts", root + "-sessions"
+    day = lambda h, m=0: dt.datetime(2024, 1, 1, h, m)
+    assert run(S.event_counts, S.open_counts, counts) == sorted([(day(0), "view", 2, False), (day(1), "view", 1, True)], key=repr)
+    assert run(S.session_summaries, S.open_sessions, sessions) == sorted([(1, day(0, 5), 2, False), (1, day(1, 50), 1, True)], key=repr)
+    for file in (folder / "one").glob("part-*"):
+        file.write_text("not parquet: reading this file again would fail")
+    for file in (folder / "one").glob(".*.crc"):
+        file.unlink()
+    arrive("two", (2, 5), (5, 0))
+    want = [(day(0), "view", 2, False), (day(1), "view", 1, False), (day(2), "view", 1, False), (day(5), "view", 1, True)]
+    assert run(S.event_counts, S.open_counts, counts) == sorted(want, key=repr)
+    want = [(1, day(0, 5), 2, False), (1, day(1, 50), 2, False), (1, day(5), 1, True)]
+    assert run(S.session_summaries, S.open_sessions, sessions) == sorted(want, key=repr)

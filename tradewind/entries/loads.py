@@ -13,6 +13,7 @@ from tradewind.functions.temporal import next_year, seconds_between
 from tradewind.operators.lifecycle import classify_partitions, ttl_split, with_event_ttl, with_session_ttl
 from tradewind.operators.upsert import insert_new
 from tradewind.plans.reports import partition_summary
+from tradewind.session import workspace
 from tradewind.sources import load as L
 from tradewind.sources.star_views import Shop
 from tradewind.streaming import events as S
@@ -155,15 +156,13 @@ def _stream(s: Shop) -> DataFrame:
 
 def _windowed(s: Shop) -> DataFrame:
     """Closed windows as the stream delivers them, and the open ones."""
-    closed = S.run_available(s.order.sparkSession, S.event_counts(_stream(s)), "event-counts")
-    end = F.col("window_start") + F.expr("interval 1 hour")
-    return S.with_open(closed, _feed(s.table("events")), S.event_counts, ["window_start", "event_type"], end, "10 minutes")
+    spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "event-counts")
+    return S.with_open(S.advance(S.event_counts(_stream(s)), root), S.open_counts(spark, root))
 
 
 def _sessions(s: Shop) -> DataFrame:
-    closed = S.run_available(s.order.sparkSession, S.session_summaries(_stream(s)), "sessions")
-    keys = ["customer_unique_id", "session_start"]
-    return S.with_open(closed, _feed(s.table("events")), S.session_summaries, keys, F.col("session_end"), "10 minutes")
+    spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "sessions")
+    return S.with_open(S.advance(S.session_summaries(_stream(s)), root), S.open_sessions(spark, root))
 
 
 def _ingested(s: Shop) -> DataFrame:
@@ -272,7 +271,6 @@ SQL = {
                CAST(epoch(estimated_at) - epoch(ts) AS DOUBLE) AS promised, 1999 AS next_year FROM v_order""",
     "s33_pairs": """
         SELECT s_suppkey, s_suppkey % 7 AS shipping_days, 'true' AS accepts_returns FROM supplier""",
-    # Windows still open when the stream stops are not emitted.
     "st1_event_counts": f"""
         SELECT {stamp("time_bucket(INTERVAL '1 hour', ts)")} AS window_start, event_type, count(*) AS count,
                max(time_bucket(INTERVAL '1 hour', ts)) + INTERVAL '1' HOUR

@@ -6,7 +6,7 @@ drives a stream over what is there now and stops.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.temporal import plus
@@ -45,9 +45,11 @@ def deduplicated(events: DataFrame, keys: list[str], lateness: str = "1 hour") -
     return once.withColumn("ttl_expire", plus("timestamp", EVENT_TTL))
 
 
-def run_available(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
-    """Process everything available into Parquet files in the shared folder and return them as a frame."""
-    root = workspace(spark, purpose)
+def advance(stream: DataFrame, root: str) -> DataFrame:
+    """Process what is new since the last run with this folder, and return all rows delivered so far.
+
+    The folder holds the delivered rows and the stream's checkpoint, so a run reads only files that no run has read.
+    """
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -56,18 +58,35 @@ def run_available(spark: SparkSession, stream: DataFrame, purpose: str) -> DataF
         .start(f"{root}/rows")
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/rows")
+
+
+def run_available(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
+    """Process everything available into Parquet files in the shared folder and return them as a frame."""
+    return advance(stream, workspace(spark, purpose))
+
+
+def open_counts(spark: SparkSession, root: str) -> DataFrame:
+    """The windows that ``event_counts`` holds in its state: those the watermark has not passed."""
+    held = spark.read.format("statestore").load(f"{root}/state")
+    return held.select(F.col("key.window.start").alias("window_start"), "key.event_type", "value.count")
+
+
+def open_sessions(spark: SparkSession, root: str) -> DataFrame:
+    """The sessions that ``session_summaries`` holds in its state."""
+    held = spark.read.format("statestore").load(f"{root}/state")
+    window = "value.session_window"
+    return held.select(
+        "value.customer_unique_id",
+        F.col(f"{window}.start").alias("session_start"),
+        F.col(f"{window}.end").alias("session_end"),
+        F.col("value.count").alias("events"),
+    )
 
 
-def with_open(delivered: DataFrame, events: DataFrame, build, keys: list[str], end: Column, lateness: str) -> DataFrame:
-    """What a run has delivered, and what is still in its state, with a flag ``open``.
+def with_open(delivered: DataFrame, held: DataFrame) -> DataFrame:
+    """What a run has delivered and what is still in its state, with a flag ``open``.
 
-    Windows and sessions that the watermark has not passed stay in the state of the stream until later events close them.
-    They are computed here from ``events``, the batch frame of all input, by the same function: rows that are not delivered
-    and end after the watermark, which is the latest event less the lateness. Nothing of the stream's state changes, so
-    the next run delivers them as usual.
+    The state is read from the stream's checkpoint and stays as it is: the next run goes on from it and delivers what closes.
     """
-    latest = events.select((F.max("timestamp") - F.expr(f"interval {lateness}")).alias("passed")).scalar()
-    current = build(events).withColumn("_passed", latest).where(end > F.col("_passed")).drop("_passed")
-    pending = current.join(delivered.select(*keys), keys, "left_anti")
-    return delivered.withColumn("open", F.lit(False)).unionByName(pending.withColumn("open", F.lit(True)))
+    return delivered.withColumn("open", F.lit(False)).unionByName(held.withColumn("open", F.lit(True)))
