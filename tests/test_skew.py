@@ -1,14 +1,17 @@
 """One key holding a large share of the rows: whole results, without multiplying or collecting the key."""
 
+import random
 import re
 from contextlib import contextmanager
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_of
 from tradewind.functions.ranges import make_range
+from tradewind.operators import matching
 from tradewind.operators.matching import overlap_join, trigram_match
 from tradewind.operators.profiling import mode_per_group
 from tradewind.operators.topk import nested_top
@@ -139,6 +142,35 @@ def test_crowded_period_forms_few_pairs(spark):
     assert pairs.where("b >= 0 and a <> b").count() == 0
 
 
+def test_open_ranges_are_spread(spark):
+    """A third of the ranges on each side are open, many start at one moment: as many pairs are formed as match, in even blocks."""
+    rng = random.Random(12)
+
+    def make(n):
+        out = []
+        for i in range(n):
+            lo = 500 if i % 4 == 0 else rng.randint(0, 100_000)
+            out.append((i, lo if i % 6 else None, None if i % 6 in (0, 1) else lo + rng.choice([1, 5, 50])))
+        return out
+
+    def frame(data, names):
+        at = lambda c: F.when(F.col(c).isNotNull(), F.timestamp_seconds(F.col(c)))
+        df = spark.createDataFrame(data, "i long, lo long, hi long")
+        return df.select(F.col("i").alias(names[0]), make_range(at("lo"), at("hi")).alias(names[1]))
+
+    left, right = make(3000), make(3000)
+    a, b = frame(left, ("a", "p")), frame(right, ("b", "q"))
+    low = lambda rows: np.array([-1e9 if r[1] is None else r[1] for r in rows])
+    high = lambda rows: np.array([1e9 if r[2] is None else r[2] for r in rows])
+    want = ((low(left)[:, None] < high(right)) & (low(right) < high(left)[:, None])).sum()
+    assert overlap_join(a, b, "p", "q").count() == want
+    swept = matching._swept(matching._with_ends(a, "p", "a"), matching._with_ends(b, "q", "b"))
+    pairs = matching._starts_within(swept, "a", "b").unionByName(matching._starts_within(swept, "b", "a"))
+    assert pairs.count() < 1.1 * want
+    starts = swept.where("kind = 'start' and side = 'a'").groupBy(F.shiftright("before_a", 8)).count()
+    assert starts.agg(F.max("count")).first()[0] <= 256
+
+
 def test_approximate_distinct_counts(hot):
     items = hot["order_item"]
     exact = R.monthly_sales_trend(hot["order"], items).first()["total_orders"]

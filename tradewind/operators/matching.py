@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradewind.functions import ranges, text
+from tradewind.session import stored
 
 _TINY = 1e-9
 
@@ -81,66 +82,77 @@ def trigram_match(
     )
 
 
-# Cell widths for overlaps: a minute, then four times as wide per level; at the last level the whole
-# range of timestamps (years 1 to 9999) lies in the cells -1 to 3.
-_MINUTE = 60_000_000
-_TOP = 15
-_FIRST_CELL, _LAST_CELL = -1, 3
+#: Starts of ranges in a block, as a power of two.
+_BLOCK_BITS = 8
+_EARLIEST, _LATEST = -(1 << 63), (1 << 63) - 1
 
 
-def overlap_join(left: DataFrame, right: DataFrame, left_range: str, right_range: str) -> DataFrame:
-    """Pairs of rows whose ranges overlap, honouring bound flags and unbounded ends.
+def _with_ends(df: DataFrame, column: str, prefix: str) -> DataFrame:
+    """The rows with a range that is not empty, numbered, with their ends in microseconds; written once, so numbers stay."""
+    r = F.col(column)
+    lo, hi = (F.unix_micros(r[end].cast("timestamp")) for end in ("lower", "upper"))
+    kept = df.where(r.isNotNull() & ~ranges.is_empty(r)).select(
+        "*",
+        F.monotonically_increasing_id().alias(f"_{prefix}row"),
+        F.coalesce(lo, F.lit(_EARLIEST)).alias(f"_{prefix}lo"),
+        F.coalesce(hi, F.lit(_LATEST)).alias(f"_{prefix}hi"),
+    )
+    return stored(kept, "ranges")
+
 
-    A range lives at the level whose cells are about as wide as it is long, so it touches two of them
-    at most; open ranges live at the top. A pair meets at the level of its longer range: the shorter
-    one looks into the cells it touches there. So short ranges are never paired through a wide cell
-    they merely share, and one long range is not cut into many pieces. A pair is formed only in the
-    first cell both touch, so nothing has to be de-duplicated. Column names of the two sides must differ.
+def _swept(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(side, row, kind, before_a, before_b) of every start and end, in one order of time: how many starts of each side come before.
+
+    At one moment starts of b come first, then those of a, then ends. The line is cut into parts of about equal size by
+    sampled quantiles, between rows where many share a moment; each part is counted for itself.
     """
 
-    def width(level: Column) -> Column:
-        return (F.pow(F.lit(4.0), level) * _MINUTE).cast("bigint")
-
-    def placed(df: DataFrame, column: str) -> DataFrame:
-        r = F.col(column)
-        lo, hi = (F.unix_micros(r[end].cast("timestamp")) for end in ("lower", "upper"))
-        length = F.greatest((hi - lo) / _MINUTE, F.lit(1.0))
-        fitting = F.least(F.ceil(F.log(4.0, length)), F.lit(_TOP)).cast("int")
-        level = F.when(lo.isNull() | hi.isNull(), F.lit(_TOP)).otherwise(fitting)
-        return df.where(r.isNotNull() & ~ranges.is_empty(r)).select(
-            "*", lo.alias("_lo"), hi.alias("_hi"), level.alias("_own")
+    def events(df: DataFrame, side: str, tie: int) -> DataFrame:
+        both = F.array(
+            F.struct(F.col(f"_{side}lo").alias("t"), F.lit(tie).alias("tie"), F.lit("start").alias("kind")),
+            F.struct(F.col(f"_{side}hi").alias("t"), F.lit(2).alias("tie"), F.lit("end").alias("kind")),
         )
+        return df.select(F.lit(side).alias("side"), F.col(f"_{side}row").alias("row"), F.inline(both))
+
+    order = ["t", "tie", "side", "row"]
+    line = events(a, "a", 1).unionByName(events(b, "b", 0)).repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    line = stored(line, "ends-of-ranges")
+    is_start = {s: ((F.col("kind") == "start") & (F.col("side") == s)).cast("long") for s in "ab"}
+    # one row for each part: a window over them all is small
+    parts = line.groupBy("part").agg(*(F.sum(is_start[s]).alias(s) for s in "ab"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("part", *(F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"parts_{s}") for s in "ab"))
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    counted = line.select("part", "side", "row", "kind", *(F.coalesce(F.sum(is_start[s]).over(within), F.lit(0)).alias(s) for s in "ab"))
+    ranked = counted.join(F.broadcast(parts), "part")
+    return stored(ranked.select("side", "row", "kind", *((F.col(s) + F.col(f"parts_{s}")).alias(f"before_{s}") for s in "ab")), "swept-ranges")
+
+
+def _starts_within(swept: DataFrame, of: str, within: str) -> DataFrame:
+    """Pairs of rows where a range of side ``of`` starts within one of side ``within``.
+
+    The starts that lie within a range follow each other in the order of the line, so a range looks into consecutive blocks of
+    starts: no more pairs are formed than there are, but for the rest of its first and last block.
+    """
+    starts = swept.where((F.col("side") == of) & (F.col("kind") == "start")).select(F.col("row").alias(f"_{of}row"), F.col(f"before_{of}").alias("rank"))
+    bound = lambda kind: F.max(F.when(F.col("kind") == kind, F.col(f"before_{of}")))
+    spans = swept.where(F.col("side") == within).groupBy(F.col("row").alias(f"_{within}row")).agg(bound("start").alias("from"), bound("end").alias("to"))
+    blocks = F.sequence(F.shiftright("from", _BLOCK_BITS), F.shiftright(F.col("to") - 1, _BLOCK_BITS))
+    looks = spans.where("`from` < `to`").withColumn("block", F.explode(blocks))
+    pairs = starts.withColumn("block", F.shiftright("rank", _BLOCK_BITS)).join(looks, "block")
+    return pairs.where("rank >= `from` and rank < `to`").select("_arow", "_brow")
 
-    def spread(df: DataFrame, other: DataFrame, prefix: str, longer: str, shorter: str) -> DataFrame:
-        """One row per level the other side asks for and cell touched there."""
-        # At most one entry per level.
-        asked = other.agg(F.collect_set("_own")).scalar()
-        own = F.col("_own")
-        entry = lambda level, role: F.struct(level.alias("_level"), F.lit(role).alias("_role"))
-        meetings = F.array_distinct(
-            F.transform(
-                F.col("_asked"),
-                lambda level: F.when(level == own, entry(own, "equal"))
-                .when(level < own, entry(own, longer))
-                .otherwise(entry(level, shorter)),
-            )
-        )
-        first = F.coalesce(F.floor(F.col("_lo") / width(F.col("_level"))), F.lit(_FIRST_CELL)).cast("bigint")
-        last = F.coalesce(F.floor(F.col("_hi") / width(F.col("_level"))), F.lit(_LAST_CELL)).cast("bigint")
-        kept = [c for c in df.columns if c not in ("_lo", "_hi", "_own")]
-        return (
-            df.withColumn("_asked", asked)
-            .select(*kept, "_lo", "_hi", F.inline(meetings))
-            .withColumn(f"_{prefix}first", first)
-            .withColumn("_cell", F.explode(F.sequence(F.col(f"_{prefix}first"), last)))
-            .select(*kept, "_level", "_role", "_cell", f"_{prefix}first")
-        )
 
-    a, b = placed(left, left_range), placed(right, right_range)
-    pairs = spread(a, b, "a", "left longer", "right longer").join(
-        spread(b, a, "b", "right longer", "left longer"), ["_level", "_role", "_cell"]
-    )
-    first_common = F.col("_cell") == F.greatest("_afirst", "_bfirst")
-    return pairs.where(first_common & ranges.overlaps(F.col(left_range), F.col(right_range))).drop(
-        "_level", "_role", "_cell", "_afirst", "_bfirst"
-    )
+def overlap_join(left: DataFrame, right: DataFrame, left_range: str, right_range: str) -> DataFrame:
+    """Pairs of rows whose ranges overlap, honouring bound flags and unbounded ends.
+
+    Of two ranges that overlap one starts within the other: a left one no earlier than the right one, or a right one
+    later than the left one. Both cases are found by a sweep over the line of all starts and ends, which is cut into parts; so
+    long and open ranges cost what they match, and no moment or range gathers rows in one task. Each pair is found once. Column
+    names of the two sides must differ. The sides and the line are written to the shared folder.
+    """
+    a, b = _with_ends(left, left_range, "a"), _with_ends(right, right_range, "b")
+    swept = _swept(a, b)
+    pairs = _starts_within(swept, "a", "b").unionByName(_starts_within(swept, "b", "a"))
+    found = pairs.join(a, "_arow").join(b, "_brow").where(ranges.overlaps(F.col(left_range), F.col(right_range)))
+    return found.select(*left.columns, *right.columns)

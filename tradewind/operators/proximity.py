@@ -11,6 +11,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradewind.functions.geo import KM_PER_DEGREE, haversine_km
 from tradewind.operators.topk import top_per_group
@@ -153,18 +154,23 @@ def _leaves_around(a: DataFrame, levels: list[DataFrame], k: int) -> DataFrame:
     sides = [F.col("cell")[c] for c in box]
     near = length(outside(x, *sides[:2]), outside(y, *sides[2:]))
     far = length(across(x, *sides[:2]), across(y, *sides[2:]))
-    kept = a.select(*at, F.lit(0).alias("step"), F.lit(0).cast("long").alias("cx"), F.lit(0).cast("long").alias("cy"), F.lit(True).alias("inner"))
-    kept = kept.withColumns({"n": F.lit(0).cast("long"), "near": F.lit(0.0), "far": F.lit(0.0)})
+    keep = ("cx", "cy", "n", "inner")
+    kept = None
     for step, cells in enumerate(levels, start=1):
-        below = cells.select(
-            F.shiftright("cx", _STEP).alias("px"), F.shiftright("cy", _STEP).alias("py"), F.struct("cx", "cy", "inner", "n", *box).alias("cell")
-        )
-        # a cell that is open gives way to the cells in it, any other stays; one join for both
-        opened = kept.withColumn("px", F.when(F.col("inner"), F.col("cx"))).withColumn("py", F.when(F.col("inner"), F.col("cy")))
-        opened = opened.join(below, ["px", "py"], "left")
-        for name, value in (("near", near), ("far", far), ("step", F.lit(step))):
-            opened = opened.withColumn(name, F.when(F.col("inner"), value).otherwise(F.col(name)))
-        found = opened.select(*at, "step", "near", "far", *(F.when(F.col("inner"), F.col("cell")[c]).otherwise(F.col(c)).alias(c) for c in ("cx", "cy", "n", "inner")))
+        cell = F.struct(*keep, *box)
+        if kept is None:
+            first = [F.struct(*(F.lit(r[c]).alias(c) for c in (*keep, *box))) for r in cells.select(*keep, *box).collect()]  # at most 16
+            kind = cells.select(cell).schema[0].dataType
+            opened = a.select(*at, F.explode(F.array(*first).cast(T.ArrayType(kind))).alias("cell"))
+            found = opened.select(*at, F.lit(step).alias("step"), near.alias("near"), far.alias("far"), *(F.col("cell")[c].alias(c) for c in keep))
+        else:
+            below = cells.select(F.shiftright("cx", _STEP).alias("px"), F.shiftright("cy", _STEP).alias("py"), cell.alias("cell"))
+            # a cell that is open gives way to the cells in it, any other stays; one join for both
+            opened = kept.withColumn("px", F.when(F.col("inner"), F.col("cx"))).withColumn("py", F.when(F.col("inner"), F.col("cy")))
+            opened = opened.join(below, ["px", "py"], "left")
+            for name, value in (("near", near), ("far", far), ("step", F.lit(step))):
+                opened = opened.withColumn(name, F.when(F.col("inner"), value).otherwise(F.col(name)))
+            found = opened.select(*at, "step", "near", "far", *(F.when(F.col("inner"), F.col("cell")[c]).otherwise(F.col(c)).alias(c) for c in keep))
         whole = Window.partitionBy(*at)
         within = F.sum("n").over(whole.orderBy("far").rangeBetween(Window.unboundedPreceding, Window.currentRow))
         bound = F.min(F.when(F.col("within") >= k, F.col("far"))).over(whole)
