@@ -176,6 +176,59 @@ def _archived(late_rows: bool):
     return on_shop(build)
 
 
+def _inferred(s: Shop) -> DataFrame:
+    """Sellers as text with zip codes of five digits, read with inferred types; zip codes stay text."""
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "csv-inferred")
+    text = s.seller.select("seller_id", F.lpad(F.col("zip_code_prefix").cast("string"), 5, "0").alias("zip_code_prefix"), "seller_city", "seller_state")
+    text.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    found = files.read_inferred(spark, path, ["zip_code_prefix"])
+    types = F.lit(" ".join(f.dataType.simpleString() for f in found.schema.fields)).alias("types")
+    return found.select(F.col("seller_id").cast("bigint").alias("seller_id"), "zip_code_prefix", "seller_city", "seller_state", types)
+
+
+def _marked(s: Shop) -> DataFrame:
+    """Categories as text whose files begin with a byte-order mark."""
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "csv-marked")
+    s.product_category.toDF("\ufeffcategory_name", "name_english").write.option("header", True).csv(path)
+    found = files.read_csv(spark, path, "category_name string, name_english string")
+    return found.where(F.col("category_name") != "category_name")
+
+
+def _one_year(s: Shop) -> DataFrame:
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "one-year")
+    sinks.write_by_year(_orders(s), path)
+    return files.read_year(spark, path, 1997).select("order_id", "order_status", "purchase_year")
+
+
+def _renamed(s: Shop) -> DataFrame:
+    """Customers under the names of the exploration files, stored and read back."""
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "renamed")
+    names = {"customer_id": "customer_id", "zip_code_prefix": "customer_zip_code_prefix", "customer_state": "state"}
+    sinks.append(load.renamed(s.customer, names), path)
+    return files.read_table(spark, path)
+
+
+def _without_period(s: Shop) -> DataFrame:
+    """Orders from text get the column that the text does not have, of the type the schema asks for."""
+    time = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    none = F.lit(None).cast("string")
+    raw = _orders(s).select(
+        "order_id", "customer_id", "order_status", time("order_purchase_timestamp"), none.alias("order_approved_at"),
+        none.alias("order_delivered_carrier_date"), time("order_delivered_customer_date"), time("order_estimated_delivery_date"),
+    )
+    found = load.clean_order(raw)
+    kind = F.lit(found.schema["promotion_period"].dataType.simpleString()).alias("type")
+    return found.select("order_id", F.col("promotion_period").isNull().alias("missing"), kind)
+
+
+def _loaded_once(s: Shop) -> DataFrame:
+    """A load that finds rows in place writes nothing."""
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "load-once")
+    written = [sinks.load_once(_deliveries(s), path) for _ in range(2)]
+    found = spark.read.parquet(path).select("order_id", "order_status")
+    return found.withColumn("written", F.lit(" ".join(str(w).lower() for w in written)))
+
+
 def _split(s: Shop) -> DataFrame:
     """Orders from 1999 on start in one open-ended part and end in their years."""
     spark, root = s.order.sparkSession, workspace(s.order.sparkSession, "split")
@@ -212,6 +265,12 @@ QUERIES = {
         "payment", lambda s: s.payment, _child(load.clean_payment), "payment_sequential", "payment_installments"
     ),
     "src1_csv_reviews": _csv("review", _raw_reviews, _review_out, "review_id"),
+    "src2_csv_inferred": on_shop(_inferred),
+    "src3_csv_with_mark": on_shop(_marked),
+    "src8_one_year": on_shop(_one_year),
+    "snk6_renamed": on_shop(_renamed),
+    "snk12_added_column": on_shop(_without_period),
+    "snk13_load_once": on_shop(_loaded_once),
     "snk1_insert_new_stored": on_shop(_inserted_twice),
     "snk3_tsv": on_shop(_tsv),
     "snk4_quoted_csv": on_shop(_quoted),
@@ -273,6 +332,16 @@ SQL = {
     "snk1_insert_new_stored": f"""
         SELECT order_id, order_item_id, product_id, seller_id, {dbl('price')} AS price FROM v_item
         QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY product_id, seller_id, v_item.price) = 1""",
+    "src2_csv_inferred": """
+        SELECT seller_id, lpad(CAST(zip_code_prefix AS VARCHAR), 5, '0') AS zip_code_prefix, seller_city, seller_state,
+               'int string string string' AS types FROM v_seller""",
+    "src3_csv_with_mark": "SELECT category_name, name_english FROM v_category",
+    "src8_one_year": "SELECT order_id, order_status, 1997 AS purchase_year FROM v_order WHERE year(ts) = 1997",
+    "snk6_renamed": """
+        SELECT customer_id, zip_code_prefix AS customer_zip_code_prefix, customer_state AS state FROM v_customer""",
+    "snk12_added_column": """
+        SELECT order_id, true AS missing, 'struct<lower:timestamp,upper:timestamp,lower_inc:boolean,upper_inc:boolean>' AS type FROM v_order""",
+    "snk13_load_once": "SELECT order_id, order_status, 'true false' AS written FROM v_order",
     "snk3_tsv": f"""
         SELECT order_id, order_status || chr(9) || 'and' || chr(10) || 'more' || chr(92) || 'n' AS order_status,
                {stamp('delivered_at')} AS order_delivered_customer_date FROM v_order""",
