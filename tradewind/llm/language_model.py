@@ -1,13 +1,16 @@
 """A hashed maximum-entropy language model, and the unigram base it is held against.
 
 The next token is predicted from features of the tokens before it: the last one, the last two together, and the one
-before the last alone (a skip). The softmax is factored by classes: the most frequent tokens are dealt to classes of
-``WIDTH`` by rank, all others form one last class. P(token) = P(class) * P(token in class); within the last class
+before the last alone (a skip). The softmax is factored by classes: the most frequent tokens are dealt to classes by rank, as many
+to a class as there are classes, all others form one last class. P(token) = P(class) * P(token in class); within the last class
 tokens have their smoothed share of the counts, so every text has a probability.
 
 Features index hashed rows of weights. Training is ``ROUNDS`` passes over all training documents. In a round every
 task goes over its documents in small batches with AdaGrad steps from the current weights; the changes of all tasks are averaged, weighed by tokens, in a shuffle by block of rows; the next round starts
-there. The model has a fixed size, whatever the corpus.
+there.
+
+The model grows with the corpus: the number of classes with the fourth root of its tokens, so the tokens of the softmax and the rows of
+weights with the square root. At 5 billion tokens that is 88 classes, 7,656 tokens and 2 x 262,144 rows, some 180 MB.
 
 Counts cover all training documents. What a task cannot look up in the bounded table of frequent tokens is joined.
 """
@@ -27,17 +30,16 @@ from tradewind.llm.tables import stored
 from tradewind.llm.text import Hasher, Words, crc_bucket, mixed, slices
 
 FOLDS, HELD_OUT = 7, 2
-WIDTH = 32
-#: Tokens with a place in the softmax; the last class is all the others.
-VOCABULARY = WIDTH * (WIDTH - 1)
-OTHERS = WIDTH - 1
-#: Rows of weights for the class and for the token within a class.
-CLASS_ROWS, TOKEN_ROWS = 1 << 14, 1 << 14
+#: Classes for each fourth root of a token, and rows of weights for each square root; at least so many of both.
+CLASSES_PER_ROOT, LEAST_CLASSES = 1 / 3, 16
+ROWS_PER_ROOT, LEAST_ROWS = 4, 1 << 12
 BLOCK = 256
 ROUNDS = 2
 STEP = 0.15
 #: Tokens in one gradient step.
 BATCH = 8192
+#: Counts of so many of the most frequent tokens are looked up in every task; those of others are joined.
+FREQUENT = 1_000_000
 END = np.uint64(0xD1B54A32D192ED03)
 
 
@@ -71,20 +73,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("token").alias("key")).agg(F.sum("n").alias("n"))
 
 
+def sizes(tokens: int) -> tuple[int, int]:
+    """(classes, rows of weights of each table) for a corpus of so many tokens; rows are a power of two."""
+    classes = max(LEAST_CLASSES, round(tokens**0.25 * CLASSES_PER_ROOT))
+    rows = LEAST_ROWS
+    while rows < ROWS_PER_ROOT * tokens**0.5 / 2**0.5:
+        rows *= 2
+    return classes, rows
+
+
 @dataclass
 class Model:
-    """Everything a task needs to score; bounded by the parameters above."""
+    """Everything a task needs to score; its size is that of ``sizes``."""
 
     keys: np.ndarray  # hashes of the vocabulary, sorted
-    place: np.ndarray  # class * WIDTH + position of each
+    place: np.ndarray  # class * width + position of each
     bias: np.ndarray  # log share of each class, and of each place within its class
     others: float  # log of the smoothed total of the last class
     class_rows: np.ndarray
     token_rows: np.ndarray
 
+    @property
+    def width(self) -> int:
+        """Classes, and places in each of them."""
+        return self.bias.shape[1]
+
+    @property
+    def outside(self) -> int:
+        """The place of every token that is not in the vocabulary: the last class."""
+        return (self.width - 1) * self.width
+
     def places(self, token: np.ndarray) -> np.ndarray:
         found, place = Lookup(self.keys, self.place)(token.view(np.int64))
-        return np.where(found, place, OTHERS * WIDTH)
+        return np.where(found, place, self.outside)
 
 
 def features(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
@@ -119,19 +140,19 @@ def _rows(feature: np.ndarray, n: int) -> np.ndarray:
 
 def logits(model: Model, found: list[np.ndarray], place: np.ndarray) -> tuple:
     """Log probabilities of the classes for each token, and of the places for tokens of the vocabulary, with their rows."""
-    kind = place // WIDTH
-    class_at = [_rows(f, CLASS_ROWS) for f in found]
-    score = model.class_rows[class_at[0]]
+    kind = place // model.width
+    class_at = [_rows(f, len(model.class_rows)) for f in found]
+    score = model.class_rows.take(class_at[0], axis=0)
     score += model.bias[0]
     for rows in class_at[1:]:
-        score += model.class_rows[rows]
-    known = np.flatnonzero(kind != OTHERS)
+        score += model.class_rows.take(rows, axis=0)
+    known = np.flatnonzero(kind != model.width - 1)
     own = kind[known]
     turn = own.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    token_at = [_rows(mixed(found[i][known] + turn), TOKEN_ROWS) for i in (0, 2)]
-    within = model.bias[1 + own]
+    token_at = [_rows(mixed(f[known] + turn), len(model.token_rows)) for f in found]
+    within = model.bias.take(1 + own, axis=0)
     for rows in token_at:
-        within += model.token_rows[rows]
+        within += model.token_rows.take(rows, axis=0)
     return softmax(score), class_at, kind, known, softmax(within), token_at
 
 
@@ -144,23 +165,30 @@ def log_probability(model: Model, token: np.ndarray, first: np.ndarray) -> tuple
         part = slice(a, a + BATCH)
         (classes, _), _, kind, known, (within, _), _ = logits(model, [f[part] for f in found], place[part])
         value = classes[np.arange(len(kind)), kind].astype(float)
-        value[known] += within[np.arange(len(known)), place[part][known] % WIDTH]
+        value[known] += within[np.arange(len(known)), place[part][known] % model.width]
         out[part] = value
-    return out, place == OTHERS * WIDTH
+    return out, place == model.outside
 
 
 def _descend(weights: np.ndarray, spread: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One AdaGrad step on the rows that occur, with the gradients of equal rows added up (as differences of running sums)."""
-    order = np.argsort(rows.astype(np.uint16))  # row numbers are below 2 ** 16: a radix sort
-    ordered = rows[order]
-    last = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
-    total = np.cumsum(gradient[order], axis=0)[last]
-    total[1:] -= total[:-1].copy()
-    found = ordered[last]
-    grown = spread[found] + np.einsum("ij,ij->i", total, total) / np.float32(WIDTH)
+    """One AdaGrad step on the rows that occur, with the gradients of equal rows added up."""
+    # a stable sort of numbers of 16 bits is a radix sort
+    order = np.argsort(rows.astype(np.uint16 if len(weights) <= 1 << 16 else np.uint32), kind="stable")
+    ordered = rows.take(order)
+    first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    total = gradient.take(order.take(first), axis=0)
+    # most rows occur once in a step; only the others are added up
+    count = np.diff(np.append(first, len(order)))
+    often = count > 1
+    if often.any():
+        size = count[often]
+        part = gradient.take(order[np.repeat(often, count)], axis=0)
+        total[often] = np.add.reduceat(part, np.cumsum(size) - size, axis=0)
+    found = ordered.take(first)
+    grown = spread[found] + np.einsum("ij,ij->i", total, total) / np.float32(weights.shape[1])
     spread[found] = grown
     total *= (np.float32(STEP) / np.sqrt(grown + np.float32(1e-3)))[:, None]
-    weights[found] -= total
+    weights[found] = weights.take(found, axis=0) - total
 
 
 def train_on(model: Model, spread: list[np.ndarray], token: np.ndarray, first: np.ndarray) -> None:
@@ -174,7 +202,7 @@ def train_on(model: Model, spread: list[np.ndarray], token: np.ndarray, first: n
         for rows in class_at:
             _descend(model.class_rows, spread[0], rows, step)
         if len(known):
-            inner[np.arange(len(known)), place[part][known] % WIDTH] -= 1
+            inner[np.arange(len(known)), place[part][known] % model.width] -= 1
             for rows in token_at:
                 _descend(model.token_rows, spread[1], rows, inner)
 
@@ -182,18 +210,25 @@ def train_on(model: Model, spread: list[np.ndarray], token: np.ndarray, first: n
 def start_model(words: DataFrame, documents: int, total: int) -> Model:
     """Vocabulary, classes and biases from the counts; all weights zero. The end is a token, one for each document."""
     end = (int(END.view(np.int64)), documents)
-    top = words.orderBy(F.desc("n"), "key").limit(VOCABULARY).collect()  # a bounded report
-    ranked = sorted([(row["key"], row["n"]) for row in top] + [end], key=lambda x: (-x[1], x[0]))[:VOCABULARY]
-    counts = np.zeros((WIDTH, WIDTH))
+    width, rows = sizes(total + documents)
+    vocabulary = width * (width - 1)
+    top = words.orderBy(F.desc("n"), "key").limit(vocabulary).collect()  # as many as the softmax has tokens
+    ranked = sorted([(row["key"], row["n"]) for row in top] + [end], key=lambda x: (-x[1], x[0]))[:vocabulary]
+    counts = np.zeros((width, width))
     for i, (_, n) in enumerate(ranked):
-        counts[i // WIDTH, i % WIDTH] = n
-    rest = total + documents - counts.sum()
-    counts[OTHERS, 0] = rest
-    share = np.log((counts.sum(1) + 1) / (counts.sum() + WIDTH))
-    inside = np.log((counts + 0.1) / (counts + 0.1).sum(1, keepdims=True))
+        counts[i // width, i % width] = n
+    counts[-1, 0] = total + documents - counts.sum()
+    # classes and places without a token have no share; the last class is there for tokens that were never seen
+    taken = np.arange(width * width).reshape(width, width) < len(ranked)
+    there = taken.any(1)
+    there[-1] = True
+    share, inside = np.full(width, -np.inf), np.full((width, width), -np.inf)
+    share[there] = np.log((counts.sum(1)[there] + 1) / (counts.sum() + there.sum()))
+    inside[taken] = np.log(((counts + 0.1) / np.where(taken, counts + 0.1, 0).sum(1, keepdims=True).clip(0.1))[taken])
+    inside[~taken.any(1)] = 0
     keys = np.array([k for k, _ in ranked], np.int64)
     order = np.argsort(keys)
-    empty = [np.zeros((n, WIDTH), np.float32) for n in (CLASS_ROWS, TOKEN_ROWS)]
+    empty = [np.zeros((rows, width), np.float32) for _ in range(2)]
     return Model(keys[order], np.arange(len(ranked))[order], np.vstack([share, inside]).astype(np.float32), 0.0, *empty)
 
 
@@ -201,23 +236,25 @@ def one_round(docs: DataFrame, model: Model) -> Model:
     """The model after every task has gone over its documents once, the changes of the tasks averaged by tokens."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
-    total_rows = CLASS_ROWS + TOKEN_ROWS
+    half = len(model.class_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = held.value
         own = Model(start.keys, start.place, start.bias, start.others, start.class_rows.copy(), start.token_rows.copy())
-        spread, hasher, seen = [np.zeros(CLASS_ROWS, np.float32), np.zeros(TOKEN_ROWS, np.float32)], Hasher(), 0
+        spread, hasher, seen = [np.zeros(half, np.float32), np.zeros(half, np.float32)], Hasher(), 0
         for batch in slices(batches):
             token, first, _ = tokens(batch.column(0), hasher)
             train_on(own, spread, token, first)
             seen += len(token)
         if seen:
             change = np.concatenate([own.class_rows - start.class_rows, own.token_rows - start.token_rows])
-            blocks = change.astype(np.float16).reshape(total_rows // BLOCK, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(blocks)), pa.int32()), pa.array([seen] * len(blocks), pa.int64()), pa.array([b.tobytes() for b in blocks])],
-                ["block", "seen", "change"],
-            )
+            blocks = change.astype(np.float16).reshape(2 * half // BLOCK, -1)
+            for a in range(0, len(blocks), 64):
+                part = blocks[a : a + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(range(a, a + len(part)), pa.int32()), pa.array([seen] * len(part), pa.int64()), pa.array([b.tobytes() for b in part])],
+                    ["block", "seen", "change"],
+                )
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sums of the blocks of a partition, taken batch by batch."""
@@ -236,11 +273,11 @@ def one_round(docs: DataFrame, model: Model) -> Model:
 
     changes = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "block int, seen long, change binary")
     means = changes.repartition("block").mapInArrow(add, "block int, change binary").collect()  # the size of the model
-    weights = np.concatenate([model.class_rows, model.token_rows]).reshape(total_rows // BLOCK, -1)
+    weights = np.concatenate([model.class_rows, model.token_rows]).reshape(2 * half // BLOCK, -1)
     for row in means:
         weights[row["block"]] += np.frombuffer(row["change"], np.float32)
-    weights = weights.reshape(total_rows, WIDTH)
-    return Model(model.keys, model.place, model.bias, model.others, weights[:CLASS_ROWS].copy(), weights[CLASS_ROWS:].copy())
+    weights = weights.reshape(2 * half, model.width)
+    return Model(model.keys, model.place, model.bias, model.others, weights[:half].copy(), weights[half:].copy())
 
 
 def scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -266,7 +303,7 @@ def scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     other = words.where(~F.col("key").isin(sorted(in_softmax))).agg(F.sum(F.col("n") + 1).alias("mass")).first()["mass"] or 0
     model.others = float(np.log10(other + 1))
 
-    known = spark.sparkContext.broadcast((model, documents, *arrays(at_least(words, "n"), "key", "n")))
+    known = spark.sparkContext.broadcast((model, documents, *arrays(at_least(words, "n", FREQUENT), "key", "n")))
     unit = float(np.log10(train_tokens + distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +341,7 @@ def scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 names,
             )
             at, rare, n = pair_counts(row[~frequent], key[~frequent])
-            place = own.places(rare.view(np.uint64)) == OTHERS * WIDTH
+            place = own.places(rare.view(np.uint64)) == own.outside
             size, none = len(n), pa.array(np.zeros(len(n), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
