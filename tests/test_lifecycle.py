@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -42,6 +43,41 @@ def test_archive_loses_no_row(spark, tmp_path):
     assert not [f for f in os.listdir(archive) if f.startswith("_")]
 
 
+def test_archive_after_a_failure(spark, tmp_path, monkeypatch):
+    """Lost before, while and after the staged files are moved: a repetition ends with every row once."""
+    orders = make_orders(spark, [2016])
+    for n, when in enumerate(("mkdirs", "moving", "done")):
+        table, archive = str(tmp_path / f"order{n}"), str(tmp_path / f"archive{n}")
+        K.write_by_year(orders, table)
+        create, reads = type(spark).createDataFrame, []
+
+        def failing(self, rows, schema=None, *args, when=when, reads=reads, **kwargs):
+            state = rows[0][-1] if rows and schema == Y._LEDGER else None
+            if state == when and not reads:
+                reads.append(1)
+                raise OSError("lost")
+            return create(self, rows, schema, *args, **kwargs)
+
+        monkeypatch.setattr(type(spark), "createDataFrame", failing)
+        if when == "mkdirs":
+            monkeypatch.setattr(Y, "_exists", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            Y.archive_year(spark, table, archive, 2016)
+        monkeypatch.undo()
+        Y.archive_year(spark, table, archive, 2016)
+        assert rows(spark.read.parquet(f"{archive}/arch_order_2016").select("order_id")) == rows(orders.select("order_id"))
+        assert not os.path.exists(f"{table}/purchase_year=2016")
+
+
+def test_digests_of_bags(spark):
+    df = spark.range(10).selectExpr("id AS a", "id AS b")
+    digest = df.groupBy(F.lit("f").alias("file")).agg(*Y.bag_digest(["a", "b"]))
+    assert digest.first()["rows"] == 10
+    again = df.repartition(3).groupBy(F.lit("f").alias("file")).agg(*Y.bag_digest(["a", "b"])).first()
+    assert tuple(again) == tuple(digest.first())
+    assert tuple(df.union(df.limit(1)).groupBy(F.lit("f").alias("file")).agg(*Y.bag_digest(["a", "b"])).first()) != tuple(again)
+
+
 def test_split_the_open_partition(spark, tmp_path):
     table, rest = str(tmp_path / "order"), str(tmp_path / "rest")
     K.write_by_year(make_orders(spark, [2018]), table)
