@@ -12,6 +12,8 @@ from tradewind.functions.ranges import make_range
 from tradewind.functions.text import matches_any, search_terms, text_score
 from tradewind.operators.matching import overlap_join, trigram_match
 from tradewind.operators.proximity import nearest, within_radius
+from tradewind.session import workspace
+from tradewind.sources import token_table
 from tradewind.sources.star_views import Shop
 
 ZIP = 7
@@ -82,6 +84,22 @@ def _documents(s: Shop) -> DataFrame:
     )
 
 
+def _tokens(s: Shop) -> str:
+    path = workspace(s.order.sparkSession, "tokens")
+    token_table.write_tokens(s.table("documents"), "doc_id", ["text"], path)
+    return path
+
+
+def _document_tokens(s: Shop) -> DataFrame:
+    """The search of ``_documents`` from a stored token table."""
+    found = token_table.search(s.order.sparkSession, _tokens(s), TERMS)
+    return found.select(F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+def _document_frequencies(s: Shop) -> DataFrame:
+    return token_table.frequencies(s.order.sparkSession, _tokens(s))
+
+
 QUERIES = {
     "p16_sellers_near_zip": on_shop(_near_zip),
     "j13_within_radius": on_shop(_pairs_within),
@@ -89,6 +107,8 @@ QUERIES = {
     "j15_similar_names": on_shop(_similar_names),
     "j16_campaign_overlaps": on_shop(_campaign_overlaps),
     "s27_document_search": on_shop(_documents),
+    "s27_token_table_search": on_shop(_document_tokens),
+    "s27_token_frequencies": on_shop(_document_frequencies),
 }
 
 _FAR = HAVERSINE.format("b.lat", "b.lng", "m.lat", "m.lng")
@@ -119,4 +139,9 @@ SQL = {
         SELECT doc_id, round(CAST(len(list_filter(tokens, lambda x: x IN ('thou', 'les'))) AS DOUBLE) / len(tokens), 6) AS score
         FROM w WHERE list_has_any(tokens, ['thou', 'les'])""",
 }
+SQL["s27_token_table_search"] = SQL["s27_document_search"]
+SQL["s27_token_frequencies"] = r"""
+    SELECT token, count(*) AS documents FROM (
+        SELECT DISTINCT doc_id, unnest(list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '')) AS token FROM documents)
+    GROUP BY token"""
 SQL = {name: with_views(body) for name, body in SQL.items()}
