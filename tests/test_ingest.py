@@ -221,3 +221,29 @@ def test_insert_reads_only_the_years_it_touches(spark, by_year, tmp_path):
         assert K.insert_new_into(incoming, target, keys, ["purchase_year"], quarantine=away) == 1
     assert spark.read.parquet(f"{target}/purchase_year=2017").count() == 31
     assert spark.read.parquet(away).count() == 2
+
+
+def test_insert_skips_blocks_and_reads_the_load_once(spark, tmp_path, monkeypatch):
+    """A narrow load filters the stored keys by its least and greatest; the incoming rows are computed once."""
+    target, seen, computed = str(tmp_path / "items"), [], []
+    K.insert_new_into(spark.range(10_000).select("id", F.col("id").alias("n")), target, ["id"])
+    find, keep = K.new_rows, K.stored
+    monkeypatch.setattr(K, "new_rows", lambda t, rows, keys: (seen.append((plan_of(t), rows.inputFiles())), find(t, rows, keys))[1])
+    monkeypatch.setattr(K, "stored", lambda df, purpose: (computed.append(purpose), keep(df, purpose))[1])
+    load = spark.range(9_990, 10_010).select("id", F.lit(0).cast("bigint").alias("n")).union(spark.sql("select cast(null as bigint), 1L"))
+    for _ in range(2):  # may be repeated
+        assert K.insert_new_into(load, target, ["id"]) == 1
+    assert computed == ["incoming"] * 2 and all("incoming-" in f for _, files in seen for f in files)
+    assert "GreaterThanOrEqual(id,9990)" in seen[0][0] and "LessThanOrEqual(id,10009)" in seen[0][0]
+    stored = spark.read.parquet(target)
+    assert stored.count() == 10_010 and stored.where("id = 9999").first()["n"] == 9999
+    assert K.insert_new_into(load.where("id is null"), target, ["id"]) == 1 and stored.count() == 10_010
+
+
+def test_insert_with_many_partition_values(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(K, "PARTITIONS_NAMED", 3)
+    path = str(tmp_path / "parts")
+    rows_in = spark.range(40).select("id", (F.col("id") % 8).alias("part"))
+    for _ in range(2):
+        K.insert_new_into(rows_in, path, ["id"], ["part"])
+    assert spark.read.parquet(path).count() == 40

@@ -6,12 +6,18 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tradewind.functions.temporal import YEAR_COLUMN
 from tradewind.operators.upsert import new_rows
+from tradewind.session import stored
 
 NULL_MARKER = "\\N"
 
+#: Partition values of a load that are filtered by name; a load with more reads the range they lie in.
+PARTITIONS_NAMED = 1000
+
+
 def append(df: DataFrame, path: str) -> None:
     """Append to a stored table. The partitions of the frame are the batches."""
     df.write.mode("append").parquet(path)
@@ -75,28 +81,42 @@ def insert_new_into(
 ) -> int:
     """Append the rows whose key is not stored yet. Running it again adds nothing.
 
-    Only the partitions that the incoming rows fall into are read for stored keys. Rows with a NULL in the key
-    have no place in a keyed table: they go to ``quarantine`` (a Parquet folder), or are left out where none is named. The
-    number of such rows is returned.
+    The incoming rows are computed once, into the shared folder. Of the stored table only the partitions they fall into are read,
+    and there only blocks whose keys lie between the least and the greatest incoming one: rows are written in order
+    of their keys, so that a narrow load skips most blocks. Rows with a NULL in the key have no place in a keyed table: they go to
+    ``quarantine`` (a Parquet folder), or are left out where none is named. The number of such rows is returned.
     """
-    spark = incoming.sparkSession
+    spark, keep = incoming.sparkSession, partition_by or []
+    batch = stored(incoming, "incoming")
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    unkeyed = incoming.where(~keyed)
+    bounded = list(dict.fromkeys(k for k in [*keys, *keep] if isinstance(batch.schema[k].dataType, AtomicType)))
+    ends = [f(F.when(keyed, F.col(k))).alias(f"{f.__name__}_{k}") for k in bounded for f in (F.min, F.max)]
+    facts = batch.agg(F.count_if(~keyed).alias("unkeyed"), F.count_if(keyed).alias("keyed"), *ends).first()
     if quarantine:
-        append(unkeyed, quarantine)
-    rows = incoming.where(keyed)
+        append(batch.where(~keyed), quarantine)
+    if not facts["keyed"]:
+        return facts["unkeyed"]
+    rows = batch.where(keyed)
     target = spark.read.parquet(path) if exists(spark, path) else rows.where(F.lit(False))
-    for column in partition_by or []:
-        if column in target.columns and exists(spark, path):
-            # one row per partition value; partition filters are literals, so the other folders are not listed or read
-            values = [r[0] for r in rows.select(column).distinct().collect()]
-            target = target.where(F.col(column).isin([v for v in values if v is not None]) | F.col(column).isNull())
+    for column in bounded:
+        if column in target.columns:
+            kind = target.schema[column].dataType
+            low, high = (F.lit(facts[f"{end}_{column}"]).cast(kind) for end in ("min", "max"))
+            inside = F.col(column).between(low, high)
+            target = target.where(inside | F.col(column).isNull() if column in keep else inside)
+    for column in keep:
+        if column in target.columns:
+            # a few values are named one by one; more of them are a range, which has been asked for already
+            values = [r[0] for r in rows.select(column).distinct().limit(PARTITIONS_NAMED + 1).collect()]
+            if len(values) <= PARTITIONS_NAMED:
+                target = target.where(F.col(column).isin([v for v in values if v is not None]) | F.col(column).isNull())
     fresh = new_rows(target, rows, keys)
-    if partition_by:
-        fresh.hint("rebalance", *[F.col(c) for c in partition_by]).write.mode("append").partitionBy(*partition_by).parquet(path)
+    if keep:
+        placed = fresh.hint("rebalance", *[F.col(c) for c in keep]).sortWithinPartitions(*keep, *keys)
+        placed.write.mode("append").partitionBy(*keep).parquet(path)
     else:
-        append(fresh, path)
-    return unkeyed.count()
+        append(fresh.repartitionByRange(*keys).sortWithinPartitions(*keys), path)
+    return facts["unkeyed"]
 
 
 def with_year(order: DataFrame, column: str = "order_purchase_timestamp") -> DataFrame:
