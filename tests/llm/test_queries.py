@@ -15,4 +15,4 @@ def test_against_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = [n for n in entries.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entries.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entries.queries()
