@@ -14,7 +14,7 @@ from tradewind.plans.catalog import cart_totals
 from tradewind.plans.reports import ORDER_KEY
 from tradewind.schemas import CSV_COLUMNS
 from tradewind.session import workspace
-from tradewind.sources import files, filtered, load, sinks
+from tradewind.sources import expiry, files, filtered, load, sinks
 from tradewind.sources.star_views import Shop
 
 
@@ -221,6 +221,22 @@ def _without_period(s: Shop) -> DataFrame:
     return found.select("order_id", F.col("promotion_period").isNull().alias("missing"), kind)
 
 
+_SWEEP = "2024-04-20 12:00:00"
+
+
+def _swept(s: Shop) -> DataFrame:
+    """Events laid out by day of expiry, some with a later or no expiry, after a sweep."""
+    spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "expiry")
+    events = s.event_logs.select("event_id", F.col("ttl_expire").cast("timestamp").alias("ttl_expire"))
+    expiry.write_by_expiry(events, path, "ttl_expire")
+    old, later = F.col("ttl_expire"), F.col("ttl_expire") + F.expr("interval 30 days")
+    new = F.when(F.col("event_id") % 2 == 0, later)
+    changes = events.where("event_id % 10 in (0, 5)").select("event_id", old.alias("old"), new.alias("new"))
+    expiry.change_expiry(spark, path, "ttl_expire", "event_id", changes)
+    expiry.sweep(spark, path, "ttl_expire", _SWEEP)
+    return expiry.read_by_expiry(spark, path)
+
+
 def _loaded_once(s: Shop) -> DataFrame:
     """A load that finds rows in place writes nothing."""
     spark, path = s.order.sparkSession, workspace(s.order.sparkSession, "load-once")
@@ -287,6 +303,7 @@ QUERIES = {
     "r1_archive_year": _archived(False),
     "r1_archive_late_rows": _archived(True),
     "r3_split_open_partition": on_shop(_split),
+    "r4_sweep_by_day": on_shop(_swept),
 }
 
 _DELIVERED = f"""
@@ -363,6 +380,11 @@ SQL = {
     "snk16_product_views": "SELECT event_id, event_type FROM v_event WHERE event_type = 'product_view'",
     "r1_archive_year": _PLACES_SQL,
     "r1_archive_late_rows": _PLACES_SQL,
+    "r4_sweep_by_day": f"""
+        SELECT event_id, {stamp('until')} AS ttl_expire, strftime(until, '%Y-%m-%d') AS expiry_day
+        FROM (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN ttl_expire + INTERVAL '30' DAY
+                                    WHEN event_id % 10 = 5 THEN NULL ELSE ttl_expire END AS until FROM v_event)
+        WHERE until IS NULL OR until > TIMESTAMP '2024-04-20 12:00:00'""",
     "r3_split_open_partition": """
         SELECT year(ts) AS purchase_year, count(*) AS filas, CAST(sum(order_id) AS BIGINT) AS ids FROM v_order GROUP BY 1""",
 }
