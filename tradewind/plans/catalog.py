@@ -229,14 +229,13 @@ def category_weights_early_products(
 ) -> DataFrame:
     """As above with the complete list of products, one row per product.
 
-    A category has no bound on its products, so the list stays rows instead of one array. The side
-    that is broadcast has at most ``top`` rows.
+    A category has no bound on its products, so the list stays rows instead of one array.
     """
     stats = category_weights_early(catalog, events, category, min_weight, top)
     products = _early(catalog, category, min_weight).select(
         F.col(CATEGORY).alias("_id"), "product_id", F.col("product_weight_g").alias("weight_g")
     )
-    return products.join(F.broadcast(stats), "_id")
+    return products.join(stats, "_id")
 
 
 def category_mean_late(catalog: DataFrame, category: str, min_weight: float = 20, top: int = 5) -> DataFrame:
@@ -284,8 +283,7 @@ def weighted_categories(catalog: DataFrame, min_weight: float = 100, top: int =
         .orderBy(F.col("weightedScore").desc(), "_id")
         .limit(top)
     )
-    # At most ``top`` category names: small enough to send to every task.
-    wanted = F.broadcast(best.select(F.col("_id").alias(CATEGORY)))
+    wanted = best.select(F.col("_id").alias(CATEGORY))
     heaviest = nested_top(
         heavy.join(wanted, CATEGORY, "left_semi"),
         [CATEGORY],
