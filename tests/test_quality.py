@@ -220,6 +220,27 @@ def test_wide_fact_and_back(spark):
     assert E.monthly_sales_by_state_and_payment(t["order"], t["customer"], t["payment"]).count() == 4
 
 
+def test_dimensions_join_before_orders_are_multiplied(spark):
+    t = seeds.orders(spark)
+    geo = spark.createDataFrame(
+        [("01001", -23.0, -46.0, "sp", "SP")],
+        "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, geolocation_city string, geolocation_state string",
+    )
+    fact = E.orders_full(t["order"], t["customer"], t["payment"], t["review"], t["order_item"], t["product"], t["product_category"], t["seller"], geo)
+    joins = [x for x in fact._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in x]
+    # the last joins, on top, are those of the order's children
+    assert len(joins) == 9 and all(x.count("order_id") == 2 for x in joins[:3])
+    # keys come first, as of joins made one after the other
+    keys = ["seller_zip_code_prefix", "customer_zip_code_prefix", "seller_id", "product_category_name", "product_id", "customer_id", "order_id"]
+    assert fact.columns[:7] == keys and len(set(fact.columns)) == len(fact.columns)
+    # a table of the decomposition is made distinct apart from the others, here with a key that has two different rows
+    broken = fact.unionByName(fact.withColumn("seller_city", F.lit("other")))
+    back = E.decompose(broken)
+    assert "table_name" not in plan_of(back["seller"])
+    assert back["seller"].count() == 2 * fact.where("seller_id is not null").select("seller_id").distinct().count()
+    assert rows(back["order"]) == rows(E.decompose(fact)["order"])
+
+
 def test_quantiles_shuffle_no_python(spark):
     df = spark.createDataFrame([(1.0,)], "x double")
     plan = plan_of(P.exact_quantiles(df, ["x"], [0.5]))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tradewind.functions.numeric import rounded_avg, rounded_ratio, weighted_sum
 from tradewind.functions.temporal import month_label
 from tradewind.operators import profiling
-from tradewind.session import workspace
+from tradewind.session import stored
 
 # Columns that number or identify rows and are no measures.
 IDENTIFIERS = [
@@ -91,14 +91,16 @@ def orders_full(
 ) -> DataFrame:
     """The wide fact: every order with each combination of its payments, reviews and items.
 
-    Ten left joins. The order children are joined one after the other on the same key, so one
-    arrangement of the rows by order serves all of them; the dimensions follow.
+    Ten left joins. Dimensions are joined where their key comes from, before rows are multiplied: places and
+    categories to the customers, sellers and products, these to orders and items. The order children are then
+    joined one after the other on the same key, so one arrangement of the rows by order serves all of them, and
+    no wide row is shuffled.
     """
-    steps = [
-        (payment, ["order_id"]),
-        (review, ["order_id"]),
-        (order_item, ["order_id"]),
-        (
+    steps = {
+        "payment": (payment, "order_id"),
+        "review": (review, "order_id"),
+        "order_item": (order_item, "order_id"),
+        "customer": (
             customer.select(
                 "customer_id",
                 "customer_unique_id",
@@ -106,29 +108,41 @@ def orders_full(
                 "customer_city",
                 "customer_state",
             ),
-            ["customer_id"],
+            "customer_id",
         ),
-        (product.withColumnRenamed("category_name", "product_category_name"), ["product_id"]),
-        (
+        "product": (product.withColumnRenamed("category_name", "product_category_name"), "product_id"),
+        "product_category": (
             product_category.select(
                 F.col("category_name").alias("product_category_name"),
                 F.col("name_english").alias("product_category_name_english"),
             ),
-            ["product_category_name"],
+            "product_category_name",
         ),
-        (
+        "seller": (
             seller.select(
                 "seller_id", F.col("zip_code_prefix").alias("seller_zip_code_prefix"), "seller_city", "seller_state"
             ),
-            ["seller_id"],
+            "seller_id",
         ),
-        (place_per_zip(geolocation, "customer"), ["customer_zip_code_prefix"]),
-        (place_per_zip(geolocation, "seller"), ["seller_zip_code_prefix"]),
-    ]
-    fact = order
-    for table, key in steps:
-        fact = fact.join(_once(table, fact.columns, key), key, "left")
-    return fact
+        "customer_place": (place_per_zip(geolocation, "customer"), "customer_zip_code_prefix"),
+        "seller_place": (place_per_zip(geolocation, "seller"), "seller_zip_code_prefix"),
+    }
+    # A column comes from the first table that has it; joined one after the other, keys would come to the front.
+    columns, own = order.columns, {}
+    for name, (table, key) in steps.items():
+        own[name] = _once(table, columns, [key])
+        columns = [key, *(c for c in columns if c != key), *own[name].columns[1:]]
+
+    def with_parents(table: DataFrame, *names: str) -> DataFrame:
+        for name in names:
+            table = table.join(own[name], steps[name][1], "left")
+        return table
+
+    own["customer"] = with_parents(own["customer"], "customer_place")
+    own["product"] = with_parents(own["product"], "product_category")
+    own["seller"] = with_parents(own["seller"], "seller_place")
+    own["order_item"] = with_parents(own["order_item"], "product", "seller")
+    return with_parents(order, "customer", "payment", "review", "order_item").select(*columns)
 
 
 ITEM_COLUMNS = ["order_item_id", "shipping_limit_date", "price", "freight_value", "product_id", "seller_id"]
@@ -299,16 +313,25 @@ def tagged_rows(fact: DataFrame) -> DataFrame:
     return fact.select(F.inline(F.array_compact(F.array(*entries)))).distinct()
 
 
+def _taken_out(fact: DataFrame, name: str) -> DataFrame:
+    """The distinct rows of one table of the decomposition, from its own columns of the fact alone.
+
+    Where a key has several different rows (a broken dependency) all of them are kept, so that nothing is lost
+    silently; see ``duplicate_keys``.
+    """
+    key, others = DECOMPOSITION[name]
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    return fact.where(present).select(*[c for c in [*key, *others] if c in fact.columns]).distinct()
+
+
 def decompose(fact: DataFrame) -> dict[str, DataFrame]:
-    """The wide fact back into its normalised tables, one row per key, from one pass that is written to the shared folder."""
-    path = workspace(fact.sparkSession, "decomposed")
-    rows = tagged_rows(fact)
-    rows.write.partitionBy("table_name").parquet(path)
-    back = fact.sparkSession.read.schema(rows.schema).parquet(path)
-    return {
-        name: back.where(F.col("table_name") == name).select(*[c for c in [*key, *others] if c in fact.columns])
-        for name, (key, others) in DECOMPOSITION.items()
-    }
+    """The wide fact back into its normalised tables, one row per key, written to the shared folder.
+
+    The fact is built and written once, in columns; a table reads its own columns and makes them distinct, so neither
+    tasks nor shuffles hold rows of all tables.
+    """
+    wide = stored(fact, "fact")
+    return {name: stored(_taken_out(wide, name), f"decomposed-{name}") for name in DECOMPOSITION}
 
 
 def row_digests(rows: DataFrame, key: str = "table_name") -> DataFrame:
