@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.operators import quantiles
+from tradewind.session import stored
 
 # percentile_approx with this accuracy is off by at most one part in as many of the row count.
 SKETCH_ACCURACY = 100_000
@@ -26,6 +27,24 @@ def _pairs(pairs: dict[str, Column]) -> Column:
     )
 
 
+def _held(tables: dict[str, DataFrame], columns: list[tuple[str, str]]) -> dict[str, DataFrame]:
+    """The given columns of the tables, written once: several passes go over them, and a table may be a join.
+
+    All tables go into one folder by one job. A task writes rows of one table, so a reader skips the files of others.
+    """
+    own = {name: [(i, c) for i, (table, c) in enumerate(columns) if table == name] for name in tables}
+    own = {name: fields for name, fields in own.items() if fields}
+    parts = [
+        tables[name].select(F.lit(k).alias("table"), *(F.col(f"`{c}`").alias(f"c{i}") for i, c in fields))
+        for k, (name, fields) in enumerate(own.items())
+    ]
+    held = stored(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), "profiled")
+    return {
+        name: held.where(F.col("table") == k).select(*(F.col(f"c{i}").alias(c) for i, c in fields))
+        for k, (name, fields) in enumerate(own.items())
+    }
+
+
 def null_counts(df: DataFrame) -> DataFrame:
     """Number of nulls per column, all columns in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
@@ -78,8 +97,9 @@ def mode_per_group(df: DataFrame, keys: list[str], columns: list[str]) -> DataFr
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation: ``column_name, probability, value``. Columns without values give NULL."""
     names = [("", c) for c in columns]
-    found = quantiles.summaries(quantiles.long_form({"": df}, names), len(names))
-    values = quantiles.quantiles({"": df}, names, found, probabilities)
+    tables = _held({"": df}, names)
+    found = quantiles.summaries(quantiles.long_form(tables, names), len(names))
+    values = quantiles.quantiles(tables, names, found, probabilities)
     rows = [(columns[i], float(p), value) for (i, p), value in values.items()]
     return df.sparkSession.createDataFrame(rows, "column_name string, probability double, value double")
 
@@ -93,7 +113,12 @@ def _sketched(df: DataFrame, columns: list[str], probabilities: list[float]) ->
 def bounds_of_tables(tables: dict[str, DataFrame], exclude: list[str] | None = None, approximate: bool = False) -> DataFrame:
     """Per numeric column of each table the quartiles and the bounds 1.5 interquartile ranges outside them."""
     columns = [(name, c) for name, df in tables.items() for c in numeric_columns(df, exclude)]
-    spark, schema = next(iter(tables.values())).sparkSession, "table_name string, column_name string, q1 double, q3 double"
+    held = tables if approximate or not columns else _held(tables, columns)
+    return _bounds(next(iter(tables.values())).sparkSession, held, columns, approximate)
+
+
+def _bounds(spark: SparkSession, tables: dict[str, DataFrame], columns: list[tuple[str, str]], approximate: bool) -> DataFrame:
+    schema = "table_name string, column_name string, q1 double, q3 double"
     if not columns:
         quartiles = spark.createDataFrame([], schema)
     elif approximate:
@@ -136,8 +161,9 @@ def outliers_of_tables(tables: dict[str, DataFrame], exclude: list[str] | None =
     spark = next(iter(tables.values())).sparkSession
     if not columns:
         return spark.createDataFrame([], "table_name string, column_name string, lower_bound double, upper_bound double, outliers bigint")
+    tables = _held(tables, columns)
     numbers = spark.createDataFrame([(i, *c) for i, c in enumerate(columns)], "id int, table_name string, column_name string")
-    limits = bounds_of_tables(tables, exclude, approximate).join(numbers, ["table_name", "column_name"])
+    limits = _bounds(spark, tables, columns, approximate).join(numbers, ["table_name", "column_name"])
     outside = (F.col("x") < F.col("lower_bound")) | (F.col("x") > F.col("upper_bound"))
     return (
         quantiles.long_form(tables, columns)
