@@ -172,11 +172,12 @@ def test_a_join_is_made_once_for_all_passes(spark):
     """Quantiles and counts read what is stored; the joins of a table are not made again for each pass."""
     a = spark.range(2000).select("id", (F.col("id") * 37 % 1009 / 7).alias("x"))
     joined = a.join(spark.range(2000).withColumnRenamed("id", "other"), F.col("id") == F.col("other")).select("x", F.col("id").cast("string").alias("s"))
-    for report in (lambda: P.outliers_of_tables({"t": joined, "u": a}), lambda: P.outliers(joined)):
+    for report in (lambda: P.outliers_of_tables({"t": joined, "u": a}), lambda: P.outliers(joined), lambda: P.describe_tables({"t": joined, "u": a})):
         plan = plan_of(report())
         assert "profiled" in plan and "other" not in plan
     same = joined.localCheckpoint()
     assert rows(P.outliers_of_tables({"t": joined, "u": a})) == rows(P.outliers_of_tables({"t": same, "u": a}))
+    assert rows(P.describe_tables({"t": joined, "u": a}).drop("mean", "std")) == rows(P.describe_tables({"t": same, "u": a}).drop("mean", "std"))
 
 
 def test_describe_and_nulls(spark):

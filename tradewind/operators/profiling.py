@@ -190,6 +190,11 @@ def describe_tables(tables: dict[str, DataFrame], approximate: bool = False) ->
     columns; mean, deviation, minimum, quartiles and maximum for numeric ones. All columns are summarised together."""
     spark = next(iter(tables.values())).sparkSession
     columns = [(name, c) for name, df in tables.items() for c in numeric_columns(df)]
+    kinds = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    others = {name: [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)] for name, df in tables.items()}
+    described = columns + [(name, c) for name, own in others.items() for c in own]
+    if described:
+        tables = tables | _held(tables, described)
     rows = []
     if columns:
         found = quantiles.summaries(quantiles.long_form(tables, columns), len(columns))
@@ -204,12 +209,11 @@ def describe_tables(tables: dict[str, DataFrame], approximate: bool = False) ->
         for i, s in enumerate(found):
             rows.append((*columns[i], s.count, None, None, None, s.mean, s.std, s.least, *(values[i, p] for p in _QUARTERS.values()), s.most))
     parts = [spark.createDataFrame(rows, _DESCRIPTION)]
-    kinds = (T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    texts = []
-    for name, df in tables.items():
-        others = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
-        if others:
-            texts.append(df.select(F.lit(name).alias("table_name"), _pairs({c: F.col(c).cast("string") for c in others})))
+    texts = [
+        tables[name].select(F.lit(name).alias("table_name"), _pairs({c: F.col(c).cast("string") for c in own}))
+        for name, own in others.items()
+        if own
+    ]
     if texts:
         counted = reduce(DataFrame.unionByName, texts).groupBy("table_name", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
         real = F.col("value").isNotNull()
