@@ -37,3 +37,24 @@ def test_search_reads_the_buckets_of_its_terms(spark, tmp_path):
     assert found.count() == 1
     # the hash of the term is a literal by then
     assert re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ (=|IN) \(?\d+", plan) and re.search(r"PushedFilters: \[[^\]]*token", plan)
+
+
+def test_entries_move_once(spark, tmp_path, monkeypatch):
+    """Only the table itself is dealt by bucket; counts in documents and documents of words need no exchange of all entries."""
+    path, plans = str(tmp_path / "tokens"), []
+    write = type(spark.range(0).write).parquet
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda self, *a, **b: plans.append(plan_of(self._df)) or write(self, *a, **b))
+    df = spark.createDataFrame([(i, "a b a", "b c") for i in range(20)], "id int, name string, description string")
+    K.write_tokens(df, "id", ["name", "description"], path)
+    assert sum(p.count("Exchange hashpartitioning(token") for p in plans) == 0 and not any("id#" in x for p in plans for x in re.findall(r"Exchange hashpartitioning\(bucket#[^)]*token#[^)]*", p))
+    stored = rows(spark.read.parquet(f"{path}/tokens").where("id = 3").select("token", "field", "count", "size"))
+    assert stored == [("a", "name", 2, 3), ("b", "description", 1, 2), ("b", "name", 1, 3), ("c", "description", 1, 2)]
+    assert rows(K.frequencies(spark, path)) == [("a", 20), ("b", 20), ("c", 20)]
+
+
+def test_ids_that_come_again_count_once(spark, tmp_path):
+    path = str(tmp_path / "tokens")
+    df = spark.createDataFrame([(1, "a b"), (1, "a c c"), (None, "a"), (None, "a d"), (2, "a"), (3, "")], "id int, name string")
+    K.write_tokens(df.where("id = 1 and name = 'a b' or id >= 2"), "id", ["name"], path)
+    K.write_tokens(df.where("id is null or name = 'a c c'"), "id", ["name"], path, mode="append")
+    assert rows(K.frequencies(spark, path)) == [("a", 3), ("b", 1), ("c", 1), ("d", 1)]

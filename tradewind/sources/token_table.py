@@ -2,15 +2,21 @@
 
 ``tokens`` has a row for each word, document and field: how often it occurs and how many words the field has. It is partitioned by
 a hash of the word and sorted within files, so a search reads the partitions of its terms and skips blocks of
-other words. ``frequencies`` has the number of documents of each word.
+other words. ``frequencies`` has the number of documents of each word, ``ids`` the id of every document.
+
+Words are counted inside their document, so an entry moves once, to its bucket. Documents of a word are counted in
+every task first; only entries of ids that were written more than once are brought together by word and id.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions import text
+from tradewind.session import stored
 
 BUCKETS = 64
 
@@ -19,20 +25,57 @@ def _bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
+def _entries(fields: list[str]) -> Column:
+    """Each word of each field of a document: its count, the field's size, and whether no field before has the word.
+
+    Equal words stand together in the sorted array; a count is the distance between two starts. An array that is named
+    more than once is a lambda's argument, so that it is computed once.
+    """
+    once = lambda array, use: F.flatten(F.transform(F.array(array), use))
+
+    def tagged(k: int, f: str) -> Column:
+        words = text.words(F.coalesce(F.col(f), F.lit("")))
+        return once(words, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("token"), F.lit(k).alias("k"), F.size(ws).alias("size"))))
+
+    def starts(ws: Column) -> Column:
+        new = lambda w, i: F.when((i == 0) | (w != F.get(ws, i - 1)), i)
+        return F.array_compact(F.transform(ws, new))
+
+    def counted(ws: Column, at: Column) -> Column:
+        def entry(a: Column, i: Column) -> Column:
+            w, before = F.get(ws, a), F.get(ws, a - 1)
+            return F.struct(
+                F.array(*map(F.lit, fields))[w["k"]].alias("field"),
+                w["size"].alias("size"),
+                w["token"].alias("token"),
+                (F.coalesce(F.get(at, i + 1), F.size(ws)) - a).cast("long").alias("count"),
+                ((a == 0) | (before["token"] != w["token"])).alias("first"),
+            )
+
+        return F.transform(at, entry)
+
+    return once(F.sort_array(F.concat(*(tagged(k, f) for k, f in enumerate(fields)))), lambda ws: once(starts(ws), lambda at: counted(ws, at)))
+
+
 def write_tokens(df: DataFrame, key: str, fields: list[str], path: str, buckets: int = BUCKETS, mode: str = "overwrite") -> None:
     """Store the words of the fields of ``df``; with ``mode="append"`` those of more documents. Every document is written once.
 
     A bucket is cut into as many files as its size asks for, so a very common word is not one task's.
     """
     spark = df.sparkSession
-    entries = F.array(*(F.struct(F.lit(f).alias("field"), text.words(F.coalesce(F.col(f), F.lit(""))).alias("words")) for f in fields))
-    each = df.select(F.col(key).alias("id"), F.inline(entries)).select("id", "field", F.size("words").alias("size"), F.explode("words").alias("token"))
-    counted = each.groupBy("token", "id", "field").agg(F.count(F.lit(1)).alias("count"), F.max("size").alias("size"))
-    placed = counted.withColumn("bucket", _bucket(F.col("token"), buckets)).hint("rebalance", F.col("bucket"))
+    each = df.select(F.col(key).alias("id"), F.inline(_entries(fields)))
+    placed = each.select("token", "id", "field", "count", "size", "first", _bucket(F.col("token"), buckets).alias("bucket")).hint("rebalance", F.col("bucket"))
     placed.sortWithinPartitions("bucket", "token", "id").write.mode(mode).partitionBy("bucket").parquet(f"{path}/tokens")
-    stored = spark.read.schema(placed.schema).parquet(f"{path}/tokens")
+    ids = df.select(F.col(key).alias("id"))
+    ids.write.mode(mode).parquet(f"{path}/ids")
+    tokens = spark.read.schema(placed.schema).parquet(f"{path}/tokens")
     # a document with a word in two fields counts once
-    documents = stored.groupBy("bucket", "token", "id").agg(F.lit(1)).groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("documents"))
+    counts = [tokens.where("first")]
+    again = stored(spark.read.schema(ids.schema).parquet(f"{path}/ids").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("again")), "repeated-ids")
+    if not again.isEmpty():
+        same = F.col("id").eqNullSafe(F.col("again"))
+        counts = [counts[0].join(again, same, "left_anti"), tokens.join(again, same, "left_semi").select("bucket", "token", "id").distinct()]
+    documents = reduce(DataFrame.unionByName, (c.select("bucket", "token") for c in counts)).groupBy("bucket", "token").agg(F.count(F.lit(1)).alias("documents"))
     documents.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/frequencies")
 
 
