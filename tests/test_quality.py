@@ -232,6 +232,16 @@ def test_wide_fact_and_back(spark):
     assert E.monthly_sales_by_state_and_payment(t["order"], t["customer"], t["payment"]).count() == 4
 
 
+def test_pairs_are_made_distinct_apart_from_the_join(spark):
+    """No table of pairs is held beside the sorts of the join with products: the pairs are dealt first."""
+    t = seeds.orders(spark)
+    plan = plan_of(E.review_score_by_category(t["order_item"], t["product"], t["review"]))
+    dealt = re.search(r"Exchange hashpartitioning\(order_id#\d+, product_category_name#\d+[^)]*\)[^\n]*\n([^\n]*)", plan)
+    assert dealt and "Aggregate" not in dealt.group(1)
+    twice = E.review_score_by_category(t["order_item"].union(t["order_item"]), t["product"], t["review"])
+    assert rows(twice) == rows(E.review_score_by_category(t["order_item"], t["product"], t["review"]))
+
+
 def test_dimensions_join_before_orders_are_multiplied(spark):
     t = seeds.orders(spark)
     geo = spark.createDataFrame(

@@ -241,6 +241,8 @@ def review_score_by_category(order_item: DataFrame, product: DataFrame, review:
         order_item.select("order_id", "product_id")
         .join(product.select("product_id", F.col("category_name").alias("product_category_name")), "product_id")
         .select("order_id", "product_category_name")
+        # dealt before they are made distinct: few pairs of a task are equal, and a table of them beside the join's sort takes memory
+        .repartition("order_id", "product_category_name")
         .distinct()
     )
     return (
