@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tradewind.llm import language_model
+from tradewind.llm.frequent import Lookup
 from tradewind.llm.text import Hasher, mixed
 
 
@@ -86,3 +87,41 @@ def test_the_model_grows_with_the_corpus(spark):
     words = spark.createDataFrame([(i, 10_000 - i) for i in range(5000)], "key long, n long")
     model = language_model.start_model(words, 10, 10**8)
     assert model.width == round(10**2 / 3) and len(model.keys) == model.width * (model.width - 1)
+
+
+def test_gradients_of_equal_rows_are_added_up():
+    """Rows that occur once, a few times and many times in a step: sums as by hand."""
+    rng = np.random.default_rng(5)
+    for most in (1 << 10, 1 << 18):
+        numbers = rng.integers(0, most, 60)
+        rows = rng.permutation(numbers.repeat(rng.integers(1, 5 * language_model.LIGHT, 60)))
+        values = rng.standard_normal((len(rows), 3))
+        found, total = language_model._added(values, rows, most)
+        assert sorted(found.tolist()) == np.unique(rows).tolist()
+        for r, sums in zip(found, total):
+            assert np.allclose(sums, values[rows == r].sum(0))
+
+
+def test_scores_far_from_zero():
+    """Exponentials that would leave the range of the numbers: shares and logs as by a plain computation."""
+    x = np.array([[0, 1, -np.inf], [200, 199, 0], [-300, -301, -302], [-np.inf, -90, -91]], np.float32)
+    p, total, log = language_model.exponentials(x)
+    for row, parts, size, value in zip(x.astype(float), p, total, log):
+        want = np.log(np.exp(row - row.max()).sum()) + row.max()
+        assert abs(value - want) < 1e-4 and np.allclose(parts / size, np.exp(row - want), atol=1e-6)
+
+
+def test_lookups_step_to_the_key(monkeypatch):
+    """Hashed keys are found from their first bits, without a search over all keys."""
+    rng = np.random.default_rng(7)
+    searched = np.searchsorted
+    for kind in ("hashes", "few", "none", "crowded"):
+        size = {"hashes": 100_000, "few": 3, "none": 0}.get(kind, 500)
+        keys = np.arange(size) if kind == "crowded" else np.unique(rng.integers(-(1 << 63), (1 << 63) - 1, size))
+        asked = np.concatenate([keys, keys + 1, np.array([-(1 << 63), (1 << 63) - 1, 0])])
+        lookup = Lookup(keys, keys % 97 + 1)
+        if kind != "crowded":
+            monkeypatch.setattr(np, "searchsorted", None)
+        found, value = lookup(asked)
+        monkeypatch.setattr(np, "searchsorted", searched)
+        assert (found == np.isin(asked, keys)).all() and (value == np.where(found, asked % 97 + 1, 0)).all()

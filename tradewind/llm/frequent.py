@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LIMIT = 250_000
+#: Keys with equal first bits that a lookup steps over one by one.
+STEPS = 32
 
 
 def at_least(table: DataFrame, count: str, limit: int = LIMIT) -> DataFrame:
@@ -41,18 +43,45 @@ def arrays(table: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarr
 
 
 class Lookup:
-    """Values by 64-bit key; what is not there has no value."""
+    """Values by 64-bit key, sorted by it; what is not there has no value.
+
+    Keys are hashes: their first bits tell the place but for few steps. Where they do not, the place is searched for.
+    """
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys, self.values = keys, values
+        bits = max(8, (2 * len(keys)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        ends = np.cumsum(np.bincount(self._head(keys), minlength=1 << bits))
+        self.start = np.concatenate(([0], ends[:-1])).astype(np.int32)
+        self.steps = int(np.diff(ends, prepend=0).max())
+
+    def _head(self, keys: np.ndarray) -> np.ndarray:
+        """The first bits, in the order of signed keys."""
+        return ((keys.view(np.uint64) ^ np.uint64(1 << 63)) >> self.shift).view(np.int64)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        """How many keys are less than each."""
+        if self.steps > STEPS:
+            return np.searchsorted(self.keys, keys)
+        place = self.start.take(self._head(keys))
+        # most are there after the first look
+        left = np.flatnonzero((self.keys.take(place, mode="clip") < keys) & (place < len(self.keys)))
+        for _ in range(self.steps):
+            if not len(left):
+                break
+            place[left] += 1
+            at = place.take(left)
+            left = left[(at < len(self.keys)) & (self.keys.take(at, mode="clip") < keys.take(left))]
+        return place
 
     def __call__(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(found, value) of each key; the value of missing ones is 0."""
         if not len(self.keys):
             return np.zeros(len(keys), bool), np.zeros(len(keys), self.values.dtype)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        found = self.keys[place] == keys
-        return found, np.where(found, self.values[place], 0)
+        place = np.minimum(self._place(keys), len(self.keys) - 1)
+        found = self.keys.take(place) == keys
+        return found, np.where(found, self.values.take(place), 0)
 
 
 def pair_counts(row: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

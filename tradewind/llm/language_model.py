@@ -38,6 +38,8 @@ ROUNDS = 2
 STEP = 0.15
 #: Tokens in one gradient step.
 BATCH = 8192
+#: Gradients of fewer than so many equal rows of a step are added row by row for all at once, longer ones each for itself.
+LIGHT = 8
 #: Counts of so many of the most frequent tokens are looked up in every task; those of others are joined.
 FREQUENT = 1_000_000
 END = np.uint64(0xD1B54A32D192ED03)
@@ -124,14 +126,23 @@ def features(token: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     ]
 
 
-def softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(log probabilities, probabilities) of rows of scores; the scores are overwritten."""
-    x -= x.max(1, keepdims=True)
-    p = np.exp(x)
-    total = p.sum(1, keepdims=True)
-    x -= np.log(total)
-    p /= total
-    return x, p
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(exponentials of rows of scores, their sums, logs of the sums of the scores as given).
+
+    The largest score is taken off only in rows whose sum would leave the range of the numbers.
+    """
+    with np.errstate(over="ignore"):
+        p = np.exp(x)
+    total = p @ np.ones(x.shape[1], x.dtype)
+    far = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
+    if not len(far):
+        return p, total, np.log(total)
+    most = x[far].max(1)
+    p[far] = np.exp(x[far] - most[:, None])
+    total[far] = p[far].sum(1)
+    log = np.log(total)
+    log[far] += most
+    return p, total, log
 
 
 def _rows(feature: np.ndarray, n: int) -> np.ndarray:
@@ -139,7 +150,7 @@ def _rows(feature: np.ndarray, n: int) -> np.ndarray:
 
 
 def logits(model: Model, found: list[np.ndarray], place: np.ndarray) -> tuple:
-    """Log probabilities of the classes for each token, and of the places for tokens of the vocabulary, with their rows."""
+    """Scores of the classes for each token, and of the places for tokens of the vocabulary, with their rows."""
     kind = place // model.width
     class_at = [_rows(f, len(model.class_rows)) for f in found]
     score = model.class_rows.take(class_at[0], axis=0)
@@ -147,13 +158,13 @@ def logits(model: Model, found: list[np.ndarray], place: np.ndarray) -> tuple:
     for rows in class_at[1:]:
         score += model.class_rows.take(rows, axis=0)
     known = np.flatnonzero(kind != model.width - 1)
-    own = kind[known]
+    own = kind.take(known)
     turn = own.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    token_at = [_rows(mixed(f[known] + turn), len(model.token_rows)) for f in found]
+    token_at = [_rows(mixed(f.take(known) + turn), len(model.token_rows)) for f in found]
     within = model.bias.take(1 + own, axis=0)
     for rows in token_at:
         within += model.token_rows.take(rows, axis=0)
-    return softmax(score), class_at, kind, known, softmax(within), token_at
+    return score, class_at, kind, known, within, token_at
 
 
 def log_probability(model: Model, token: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -163,32 +174,57 @@ def log_probability(model: Model, token: np.ndarray, first: np.ndarray) -> tuple
     out = np.zeros(len(token))
     for a in range(0, len(token), BATCH):
         part = slice(a, a + BATCH)
-        (classes, _), _, kind, known, (within, _), _ = logits(model, [f[part] for f in found], place[part])
-        value = classes[np.arange(len(kind)), kind].astype(float)
-        value[known] += within[np.arange(len(known)), place[part][known] % model.width]
+        score, _, kind, known, within, _ = logits(model, [f[part] for f in found], place[part])
+        value = (score[np.arange(len(kind)), kind] - exponentials(score)[2]).astype(float)
+        value[known] += within[np.arange(len(known)), place[part][known] % model.width] - exponentials(within)[2]
         out[part] = value
     return out, place == model.outside
 
 
-def _descend(weights: np.ndarray, spread: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
-    """One AdaGrad step on the rows that occur, with the gradients of equal rows added up."""
-    # a stable sort of numbers of 16 bits is a radix sort
-    order = np.argsort(rows.astype(np.uint16 if len(weights) <= 1 << 16 else np.uint32), kind="stable")
+def _sorted(rows: np.ndarray, most: int) -> np.ndarray:
+    """The order that sorts row numbers below ``most``; a stable sort of numbers of 16 bits is a radix sort."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
+    for shift in range(16, (most - 1).bit_length(), 16):
+        order = order.take(np.argsort((rows >> shift).astype(np.uint16).take(order), kind="stable"))
+    return order
+
+
+def _added(values: np.ndarray, rows: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct numbers of ``rows``, all below ``most``; sums of the rows of ``values`` that have each)."""
+    order = _sorted(rows, most)
     ordered = rows.take(order)
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    total = gradient.take(order.take(first), axis=0)
-    # most rows occur once in a step; only the others are added up
     count = np.diff(np.append(first, len(order)))
-    often = count > 1
-    if often.any():
-        size = count[often]
-        part = gradient.take(order[np.repeat(often, count)], axis=0)
-        total[often] = np.add.reduceat(part, np.cumsum(size) - size, axis=0)
-    found = ordered.take(first)
-    grown = spread[found] + np.einsum("ij,ij->i", total, total) / np.float32(weights.shape[1])
+    # those with most rows first, so the k-th rows of all that have so many are added to the head of the sums
+    by_count = np.argsort((LIGHT - np.minimum(count, LIGHT)).astype(np.uint16), kind="stable")
+    first, count = first.take(by_count), count.take(by_count)
+    found, out = ordered.take(first), values.take(order.take(first), axis=0)
+    longer = np.cumsum(np.bincount(np.minimum(count, LIGHT), minlength=LIGHT + 1)[::-1])[::-1]
+    for k in range(1, LIGHT - 1):
+        size = longer[k + 1]
+        if not size:
+            break
+        out[:size] += values.take(order.take(first[:size] + k), axis=0)
+    many = longer[LIGHT]
+    if many:
+        size = count[:many] - (LIGHT - 1)
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(first[:many] + (LIGHT - 1) - (ends - size), size)
+        out[:many] += np.add.reduceat(values.take(order.take(at), axis=0), ends - size, axis=0)
+    return found, out
+
+
+def _descend(weights: np.ndarray, spread: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    """One AdaGrad step on the rows that occur, with the gradients of equal rows added up."""
+    found, total = _added(gradient, rows, len(weights))
+    grown = spread.take(found) + np.einsum("ij,ij->i", total, total) / np.float32(weights.shape[1])
     spread[found] = grown
     total *= (np.float32(STEP) / np.sqrt(grown + np.float32(1e-3)))[:, None]
-    weights[found] = weights.take(found, axis=0) - total
+    # a row is put in place as one value
+    changed = weights.take(found, axis=0)
+    changed -= total
+    whole = np.dtype((np.void, weights.itemsize * weights.shape[1]))
+    weights.view(whole)[found, 0] = changed.view(whole)[:, 0]
 
 
 def train_on(model: Model, spread: list[np.ndarray], token: np.ndarray, first: np.ndarray) -> None:
@@ -197,14 +233,17 @@ def train_on(model: Model, spread: list[np.ndarray], token: np.ndarray, first: n
     found = features(token, first)
     for a in range(0, len(token), BATCH):
         part = slice(a, a + BATCH)
-        (_, step), class_at, kind, known, (_, inner), token_at = logits(model, [f[part] for f in found], place[part])
-        step[np.arange(len(kind)), kind] -= 1
-        for rows in class_at:
-            _descend(model.class_rows, spread[0], rows, step)
-        if len(known):
-            inner[np.arange(len(known)), place[part][known] % model.width] -= 1
-            for rows in token_at:
-                _descend(model.token_rows, spread[1], rows, inner)
+        score, class_at, kind, known, within, token_at = logits(model, [f[part] for f in found], place[part])
+        for scores, own, weights, grown, at in (
+            (score, kind, model.class_rows, spread[0], class_at),
+            (within, place[part][known] % model.width, model.token_rows, spread[1], token_at),
+        ):
+            if len(own):
+                step, total, _ = exponentials(scores)
+                step *= (1 / total)[:, None]
+                step[np.arange(len(own)), own] -= 1
+                for rows in at:
+                    _descend(weights, grown, rows, step)
 
 
 def start_model(words: DataFrame, documents: int, total: int) -> Model:

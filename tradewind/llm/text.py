@@ -71,12 +71,9 @@ class Words:
         self.data = data[offset[0] : offset[-1]]
         self.offset = offset - offset[0]
         if lower:
-            table = np.arange(256, dtype=np.uint8)
-            table[65:91] += 32
-            self.data = table[self.data]
-        space = np.zeros(256, bool)
-        space[[9, 10, 11, 12, 13, 32]] = True
-        solid = ~space[self.data]
+            # numbers of a byte turn over: A to Z are those below 26
+            self.data = self.data + (((self.data - np.uint8(65)) < 26).view(np.uint8) << 5)
+        solid = (self.data != 32) & ((self.data - np.uint8(9)) > 4)
         edge = np.zeros(len(self.data) + 1, bool)
         edge[self.offset] = True
         before = np.concatenate(([False], solid[:-1])) if len(solid) else solid
@@ -99,13 +96,13 @@ class Words:
 
 
 class Hasher:
-    """64-bit hashes of stretches of bytes from one running sum; powers are kept between calls."""
+    """64-bit hashes of stretches of bytes from one running sum; powers and the room for the sum are kept between calls."""
 
     BASE = 0x9E3779B97F4A7C15
 
     def __init__(self) -> None:
         self.table = keys(256, 77)
-        self.power = self.inverse = np.ones(1, np.uint64)
+        self.power = self.inverse = self.part = self.total = np.ones(1, np.uint64)
 
     def __call__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(data)
@@ -115,8 +112,10 @@ class Hasher:
                 table = np.full(size, base, np.uint64)
                 table[0] = 1
                 setattr(self, name, np.multiply.accumulate(table))
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.table[data] * self.power[:n], out=total[1:])
+            self.part, self.total = np.zeros(size, np.uint64), np.zeros(size + 1, np.uint64)
+        part, total = self.part[:n], self.total[: n + 1]
+        np.multiply(self.table.take(data, out=part, mode="clip"), self.power[:n], out=part)
+        np.cumsum(part, out=total[1:])
         return mixed((total[end] - total[start]) * self.inverse[start])
 
 
