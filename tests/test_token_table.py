@@ -58,3 +58,23 @@ def test_ids_that_come_again_count_once(spark, tmp_path):
     K.write_tokens(df.where("id = 1 and name = 'a b' or id >= 2"), "id", ["name"], path)
     K.write_tokens(df.where("id is null or name = 'a c c'"), "id", ["name"], path, mode="append")
     assert rows(K.frequencies(spark, path)) == [("a", 3), ("b", 1), ("c", 1), ("d", 1)]
+
+
+def test_words_are_counted_row_by_row(spark, tmp_path, monkeypatch):
+    """Arrays of a document hold words and numbers only: no records are made or sorted inside them, and of a table with one field no constants move."""
+    plans, write = [], type(spark.range(0).write).parquet
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda self, *a, **b: plans.append(plan_of(self._df)) or write(self, *a, **b))
+    df = spark.createDataFrame([(1, "b a b", "b c C"), (2, None, ""), (3, "", "É é a1")], "id int, name string, description string")
+    K.write_tokens(df, "id", ["name"], str(tmp_path / "one"))
+    assert not any("struct(" in line for line in plans[0].splitlines() if "lambda" in line) and "name AS field" not in plans[0].split("Exchange")[-1]
+    K.write_tokens(df, "id", ["name", "description"], str(tmp_path / "two"))
+    read = lambda name: rows(spark.read.parquet(str(tmp_path / name / "tokens")).select("id", "token", "field", "count", "size", "first"))
+    assert read("one") == [(1, "a", "name", 1, 3, True), (1, "b", "name", 2, 3, True)]
+    assert read("two") == [
+        (1, "a", "name", 1, 3, True),
+        (1, "b", "description", 1, 3, False),
+        (1, "b", "name", 2, 3, True),
+        (1, "c", "description", 2, 3, True),
+        (3, "a1", "description", 1, 3, True),
+        (3, "é", "description", 2, 3, True),
+    ]

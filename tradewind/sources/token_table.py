@@ -25,36 +25,42 @@ def _bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
-def _entries(fields: list[str]) -> Column:
-    """Each word of each field of a document: its count, the field's size, and whether no field before has the word.
+def _entries(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """(id, size, token, count): each word of each field of a document, its count, and the field's size. With more than one field
+    also the field's number ``k`` and whether no field before has the word (``first``).
 
-    Equal words stand together in the sorted array; a count is the distance between two starts. An array that is named
-    more than once is a lambda's argument, so that it is computed once.
+    Equal words stand together in the sorted array of a document; a count is the distance between two starts. Only the starts are
+    found inside the array, all else is taken from it row by row. With more than one field a word ends in its field's number.
     """
-    once = lambda array, use: F.flatten(F.transform(F.array(array), use))
-
-    def tagged(k: int, f: str) -> Column:
-        words = text.words(F.coalesce(F.col(f), F.lit("")))
-        return once(words, lambda ws: F.transform(ws, lambda w: F.struct(w.alias("token"), F.lit(k).alias("k"), F.size(ws).alias("size"))))
-
-    def starts(ws: Column) -> Column:
-        new = lambda w, i: F.when((i == 0) | (w != F.get(ws, i - 1)), i)
-        return F.array_compact(F.transform(ws, new))
-
-    def counted(ws: Column, at: Column) -> Column:
-        def entry(a: Column, i: Column) -> Column:
-            w, before = F.get(ws, a), F.get(ws, a - 1)
-            return F.struct(
-                F.array(*map(F.lit, fields))[w["k"]].alias("field"),
-                w["size"].alias("size"),
-                w["token"].alias("token"),
-                (F.coalesce(F.get(at, i + 1), F.size(ws)) - a).cast("long").alias("count"),
-                ((a == 0) | (before["token"] != w["token"])).alias("first"),
-            )
-
-        return F.transform(at, entry)
-
-    return once(F.sort_array(F.concat(*(tagged(k, f) for k, f in enumerate(fields)))), lambda ws: once(starts(ws), lambda at: counted(ws, at)))
+    several = len(fields) > 1
+    words = [text.words(F.coalesce(F.col(f), F.lit(""))) for f in fields]
+
+    def marked(ws: Column, k: int) -> Column:
+        return F.transform(ws, lambda w: F.concat(w, F.lit(chr(k + 1)))) if several else ws
+
+    def word(marked: Column) -> Column:
+        return F.left(marked, F.length(marked) - 1) if several else marked
+
+    new = lambda w, i: F.when((i == 0) | (w != F.get(F.col("ws"), i - 1)), i)
+    docs = df.select(F.col(key).alias("id"), *(ws.alias(f"w{k}") for k, ws in enumerate(words)))
+    docs = docs.select(
+        "id",
+        F.array(*(F.size(f"w{k}") for k in range(len(fields)))).alias("sizes"),
+        F.sort_array(F.concat(*(marked(F.col(f"w{k}"), k) for k in range(len(fields))))).alias("ws"),
+    )
+    docs = docs.select("id", "sizes", "ws", F.array_compact(F.transform("ws", new)).alias("at"))
+    after = F.slice("at", 2, F.greatest(F.size("at"), F.lit(1)))
+    each = docs.select("id", "sizes", "ws", F.size("ws").alias("all"), F.inline(F.arrays_zip("at", after.alias("after"))).alias("start", "next"))
+    here, before = F.get("ws", F.col("start")), F.get("ws", F.col("start") - 1)
+    k = F.ascii(F.right(here, F.lit(1))) - 1 if several else F.lit(0)
+    first = (F.col("start") == 0) | (word(before) != word(here))
+    return each.select(
+        "id",
+        F.get("sizes", k).alias("size"),
+        word(here).alias("token"),
+        (F.coalesce("next", "all") - F.col("start")).cast("long").alias("count"),
+        *([k.alias("k"), first.alias("first")] if several else []),
+    )
 
 
 def write_tokens(df: DataFrame, key: str, fields: list[str], path: str, buckets: int = BUCKETS, mode: str = "overwrite") -> None:
@@ -63,12 +69,15 @@ def write_tokens(df: DataFrame, key: str, fields: list[str], path: str, buckets:
     A bucket is cut into as many files as its size asks for, so a very common word is not one task's.
     """
     spark = df.sparkSession
-    each = df.select(F.col(key).alias("id"), F.inline(_entries(fields)))
-    placed = each.select("token", "id", "field", "count", "size", "first", _bucket(F.col("token"), buckets).alias("bucket")).hint("rebalance", F.col("bucket"))
-    placed.sortWithinPartitions("bucket", "token", "id").write.mode(mode).partitionBy("bucket").parquet(f"{path}/tokens")
+    each = _entries(df, key, fields)
+    placed = each.select("*", _bucket(F.col("token"), buckets).alias("bucket")).hint("rebalance", F.col("bucket")).sortWithinPartitions("bucket", "token")
+    # what is the same in all rows is neither shuffled nor sorted
+    field, first = (F.get(F.array(*map(F.lit, fields)), F.col("k")), F.col("first")) if len(fields) > 1 else (F.lit(fields[0]), F.lit(True))
+    entries = placed.select("token", "id", field.alias("field"), "count", "size", first.alias("first"), "bucket")
+    entries.write.mode(mode).partitionBy("bucket").parquet(f"{path}/tokens")
     ids = df.select(F.col(key).alias("id"))
     ids.write.mode(mode).parquet(f"{path}/ids")
-    tokens = spark.read.schema(placed.schema).parquet(f"{path}/tokens")
+    tokens = spark.read.schema(entries.schema).parquet(f"{path}/tokens")
     # a document with a word in two fields counts once
     counts = [tokens.where("first")]
     again = stored(spark.read.schema(ids.schema).parquet(f"{path}/ids").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("id").alias("again")), "repeated-ids")
